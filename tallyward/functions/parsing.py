@@ -40,6 +40,11 @@ def cell_to_text(value: Column, type_name: str = "string") -> Column:
         seconds = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss")
         micros = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         return F.when(micros.endswith(".000000"), seconds).otherwise(micros)
+    if type_name in ("double", "float"):
+        text = value.cast("string")
+        # Plain digits in the range where a spreadsheet shows them, instead of 1.0E7.
+        plain = F.regexp_replace(text.try_cast("decimal(38,18)").cast("string"), r"(\.\d+?)0*$", "$1")
+        return F.when(text.contains("E") & F.abs(value).between(1e-4, 1e16), plain).otherwise(text)
     if type_name != "string":
         return value.cast("string")
     return F.regexp_replace(value, r"(?U)^\s+|\s+\z", "")

@@ -41,6 +41,29 @@ class RunRecord:
     gate: list[dict] = field(default_factory=list)
 
 
+# What the reports read of a keyed bet; a cut of just these is narrow.
+REPORT_INPUT = [
+    "source_file",
+    "source_row_number",
+    "ingestion_id",
+    "source_refid",
+    "source_uuid",
+    "ticket_no",
+    "bookmaker_name",
+    "customer_name",
+    "bet_placed_at",
+    "event_scheduled_at",
+    "total_stake_amount",
+    "total_payout_amount",
+    "is_cancelled",
+    "is_refunded",
+    "bet_record_key",
+    "bet_business_key",
+    "bet_key_rows",
+    "is_duplicate_bet_key",
+]
+
+
 def build_reports(keyed: DataFrame) -> Reports:
     """Reports from keyed bets. The three day-grain tables are cut; the rest derive from them."""
     recon = cut(reconcile.daily_reconciliation_summary(keyed), "daily_reconciliation_summary")

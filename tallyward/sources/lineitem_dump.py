@@ -18,214 +18,166 @@ SHEET = "bets"
 PART_SHIFT = 1 << 32
 
 
-def _words(pick: Column, *words: str | None) -> Column:
-    """Spelling by ``pick`` modulo the number of words."""
-    result = F.lit(words[-1])
-    for i, word in reversed(list(enumerate(words[:-1]))):
-        result = F.when(pick % len(words) == i, F.lit(word)).otherwise(result)
-    return result
+def _spelled(pick: str, *words: str) -> str:
+    """One of the spellings, by ``pick`` modulo their number."""
+    cases = " ".join(f"when {i} then {word}" for i, word in enumerate(words))
+    return f"case ({pick}) % {len(words)} {cases} end"
 
 
-def _money_text(cents: Column, style: Column) -> Column:
+def _padded(number: str) -> str:
+    return f"lpad(string({number}), 2, '0')"
+
+
+def _money(cents: str) -> str:
     """Cents as ``$1,234.56`` / ``1234.56`` / padded, with three ways to write a negative."""
-    size = F.abs(cents)
-    dollars = F.floor(size / 100)
-    fraction = F.concat(F.lit("."), F.lpad((size % 100).cast("string"), 2, "0"))
-    thousands = F.when(
-        dollars >= 1000, F.concat(F.floor(dollars / 1000), F.lit(","), F.lpad((dollars % 1000).cast("string"), 3, "0"))
-    ).otherwise(dollars.cast("string"))
-    grouped = F.concat(thousands, fraction)
-    plain = F.concat(dollars, fraction)
-    positive = (
-        F.when(style % 3 == 0, F.concat(F.lit("$"), grouped))
-        .when(style % 3 == 1, plain)
-        .otherwise(F.concat(F.lit("  $"), grouped, F.lit(" ")))
+    size = f"abs({cents})"
+    fraction = f"'.' || {_padded(f'{size} % 100')}"
+    grouped = (
+        f"if({size} >= 100000, concat({size} div 100000, ',', lpad(string({size} div 100 % 1000), 3, '0')), "
+        f"string({size} div 100)) || {fraction}"
     )
-    negative = (
-        F.when(style % 3 == 0, F.concat(F.lit("($"), grouped, F.lit(")")))
-        .when(style % 3 == 1, F.concat(F.lit("-"), plain))
-        .otherwise(F.concat(F.lit(" ("), grouped, F.lit(") ")))
+    plain = f"({size} div 100) || {fraction}"
+    return (
+        f"case line % 3 when 0 then if({cents} < 0, '($' || {grouped} || ')', '$' || {grouped}) "
+        f"when 1 then if({cents} < 0, '-' || {plain}, {plain}) "
+        f"else if({cents} < 0, ' (' || {grouped} || ') ', '  $' || {grouped} || ' ') end"
     )
-    return F.when(cents < 0, negative).otherwise(positive)
+
+
+# Typed view of a line item; each step may use the names of the earlier ones.
+_STEPS = (
+    {
+        "file": "l_returnflag",
+        "line": "l_linenumber",
+        "part": "l_partkey",
+        "supp": "l_suppkey",
+        "ord": "l_orderkey",
+        "ship": "date(l_shipdate)",
+        "status": "l_linestatus",
+        "position": f"file_part * {PART_SHIFT} + idx",
+        "qty": "int(l_quantity)",
+        "disc": "int(round(l_discount * 100))",
+        "tax": "int(round(l_tax * 100))",
+        "cents": "bigint(round(l_extendedprice * 100)) div 100",
+        "quarter": "trunc(date(l_shipdate), 'quarter')",
+    },
+    {
+        "clean": "file = 'R'",
+        "month": "month(quarter)",
+        "day_text": "string(quarter)",
+        "half_part": "part div 2",
+        "no_stake": "file <> 'R' and qty = 48 and line = 4",
+        "zero_stake": "file <> 'R' and qty = 50",
+        "cancelled": "file <> 'R' and tax = 8 and status = 'F'",
+        "no_event": "file <> 'R' and line = 7 and status = 'O'",
+        "no_date": "file = 'A' and qty = 2 and line = 7",
+        "own_time": "line = 3 and qty = 1",
+        # Negative stakes: a floor on the discount per file, with a few odd years.
+        "negative": """disc >= case file when 'A' then 9 when 'N' then if(year(quarter) = 1998, 4, 7)
+                       else case year(quarter) when 1999 then 8 when 2000 then 10 when 2001 then 9 else 99 end end""",
+    },
+    {
+        "win_cents": "case when no_stake then null when zero_stake then 0 when negative then -cents else cents end",
+        "place_cents": """case when no_stake or line = 2 then null
+                          when line = 6 and not zero_stake and not negative then 500 + part % 100 else 0 end""",
+        "win_payout": """case when clean then cents div 2 when file = 'A' and tax >= 5 then 2 * cents
+                         when file = 'N' and tax >= 7 and month in (1, 7) then 2 * cents else 0 end""",
+        "place_payout": """case when line = 2 then null
+                           when file = 'A' and line = 6 and tax >= 5 then 700 else 0 end""",
+    },
+)
+
+_CELLS = {
+    "refid": "if(qty = 7, '  ', 'REF' || ord)",
+    "source_uuid": """case when clean then concat('r-', ord, '-', line)
+                      when (qty = 50 and line = 1) or (qty = 49 and line = 2) then '   '
+                      when file = 'A' then concat('a', half_part, '-', replace(left(day_text, 7), '-', ''))
+                      when supp % 4 = 0 then ' n' || part
+                      else concat('n', part, '-', replace(left(day_text, 7), '-', '')) end""",
+    "license": "'LIC-1'",
+    "bookmaker": "if(supp % 50 <> 49, 'BM' || (supp % 7), null)",
+    "location": "'Site ' || (supp % 5)",
+    "state": _spelled("supp", "'NSW'", "'VIC'", "'QLD'", "null"),
+    "area": "'Metro'",
+    "wagering_provider": "'WP' || (supp % 2)",
+    "sys_ver_no": "'1.0'",
+    "bet_date": """case when no_date then null when own_time then day_text || 'T09:30:00'
+                   when line = 5 then day_text || 'T00:00:00' else day_text end""",
+    "bet_time": f"""if(own_time, null,
+                    concat_ws(':', {_padded('ord % 24')}, {_padded('part % 60')}, {_padded('supp % 60')}))""",
+    "event_date": "if(no_event, null, string(ship))",
+    "event_time": f"if(no_event or line = 1, null, {_padded('supp % 24')} || ':30:00')",
+    "ticket_no": """case when clean then concat_ws('-', part, supp, cents)
+                    when qty = 50 and line = 1 then null else 'T' || (half_part % 100) end""",
+    "event_category": _spelled("supp", "'RACING'", "'GREYHOUNDS'", "' SPORT '"),
+    "sport_event": "'Meeting ' || (part % 50)",
+    "venue": "'Venue ' || (supp % 20)",
+    "venue_state": _spelled("supp % 20", "'NSW'", "'VIC'", "'QLD'", "null"),
+    "bet_type": "if(line = 6, 'PLACE', 'WIN')",
+    "bet_method": _spelled("ord", "'Terminal'", "'Phone'", "'Online'"),
+    "bet_details": "null",
+    "race_number": "case when qty = 3 then null when line = 4 then '4.0' when line = 5 then ' 5 ' else string(line) end",
+    "runner_number": "if(part % 200 = 0, 'n/a', string(qty))",
+    "runner_name": "'Runner ' || part",
+    "bet_amount_win": _money("win_cents"),
+    "bet_amount_place": _money("place_cents"),
+    "win_price": "(part % 900 + 100) || '.125'",
+    "place_price": f"'1.' || {_padded('part % 100')}",
+    "customer_name": """case when supp % 10 < 3 then null
+                        when line % 3 = 0 then '  Customer ' || lpad(string(ord div 10), 9, '0')
+                        when line % 3 = 1 then 'customer   ' || lpad(string(ord div 10), 9, '0')
+                        else 'CUSTOMER' || chr(9) || lpad(string(ord div 10), 9, '0') || ' ' end""",
+    "betback_claim": "null",
+    "bet_information": "if(qty = 5, ' fixed odds ', null)",
+    "cancelled_flag": f"""case when cancelled then {_spelled("line", "'Y'", "'yes'", "'TRUE'", "' 1 '")}
+                          when qty = 20 then null
+                          else {_spelled("line", "'N'", "'no'", "'FALSE'", "' 0 '")} end""",
+    "time_cancelled": f"if(cancelled, concat('13:', {_padded('part % 60')}, ':00'), null)",
+    "bet_win_takeout": "if(line = 1, '0.1550', null)",
+    "bet_place_takeout": "if(line = 1, '.2', null)",
+    "horse_win_takeout": "null",
+    "horse_win_hold": "'$' || part",
+    "horse_place_takeout": "null",
+    "horse_place_hold": "if(line = 2, '(12.34567)', null)",
+    "race_hold": "(supp * 1000) || '.00005'",
+    "betback_information": "null",
+    "betback_flag": "if(qty = 11, 'maybe', 'N')",
+    "refund_flag": "if(qty = 10, 'Yes', 'No')",
+    "placing_position": "if(win_payout > 0, '1st', null)",
+    "win_deduction": "if(line = 3, '-0.05', null)",
+    "place_deduction": "null",
+    "win_result": "if(win_payout > 0, '1', '0')",
+    "place_result": "'()'",
+    "win_payout_amount": _money("win_payout"),
+    "place_payout_amount": _money("place_payout"),
+    "paid_status": "if(win_payout > 0, 'Paid', 'Unpaid')",
+    "bet_terminal": f"'TERM-' || {_padded('supp % 40')}",
+}
 
 
 def lineitem_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw landing rows (without payload) from ``<sf_dir>/lineitem.parquet``."""
-    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        F.col("_metadata.row_index").alias("idx"),
-        F.coalesce(
-            F.nullif(F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1), F.lit("")), F.lit("0")
-        )
-        .cast("long")
-        .alias("file_part"),
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
         "*",
+        "_metadata.row_index as idx",
+        "bigint(coalesce(nullif(regexp_extract(_metadata.file_name, 'part-([0-9]+)', 1), ''), '0')) as file_part",
     )
     # A table smaller than the cluster (few splits) is spread before the text work;
     # a large one already has more splits than cores and is left in place.
     cores = spark.sparkContext.defaultParallelism
     if items.rdd.getNumPartitions() < cores:
         items = items.repartition(cores, "idx")
-    file, line, part, supp, order = (
-        F.col(c) for c in ("l_returnflag", "l_linenumber", "l_partkey", "l_suppkey", "l_orderkey")
-    )
-    derived = items.withColumns(
-        {
-            "position": F.col("file_part") * PART_SHIFT + F.col("idx"),
-            "qty": F.col("l_quantity").cast("int"),
-            "disc": F.round(F.col("l_discount") * 100).cast("int"),
-            "tax": F.round(F.col("l_tax") * 100).cast("int"),
-            "cents": F.floor(F.round(F.col("l_extendedprice") * 100).cast("long") / 100).cast("long"),
-            "clean": file == "R",
-            "quarter": F.trunc(F.col("l_shipdate").cast("date"), "quarter"),
-        }
-    )
-    qty, disc, tax, cents, clean, quarter = (
-        F.col(c) for c in ("qty", "disc", "tax", "cents", "clean", "quarter")
-    )
-    derived = derived.withColumns(
-        {
-            "year": F.year(quarter),
-            "month": F.month(quarter),
-            "no_stake": ~clean & (qty == 48) & (line == 4),
-            "zero_stake": ~clean & (qty == 50),
-            "cancelled": ~clean & (tax == 8) & (F.col("l_linestatus") == "F"),
-            "no_event": ~clean & (line == 7) & (F.col("l_linestatus") == "O"),
-            "no_date": (file == "A") & (qty == 2) & (line == 7),
-            "own_time": (line == 3) & (qty == 1),
-            "day_text": quarter.cast("string"),
-            "half_part": F.floor(part / 2),
-        }
-    )
-    year, no_stake, zero_stake, cancelled, no_event, no_date, own_time, day_text, half_part = (
-        F.col(c)
-        for c in (
-            "year", "no_stake", "zero_stake", "cancelled", "no_event", "no_date", "own_time",
-            "day_text", "half_part",
-        )
-    )
-    # Negative stakes: a floor on the discount per file, with a few odd years.
-    floor = (
-        F.when(file == "A", 9)
-        .when(file == "N", F.when(year == 1998, 4).otherwise(7))
-        .otherwise(F.when(year == 1999, 8).when(year == 2000, 10).when(year == 2001, 9).otherwise(99))
-    )
-    derived = derived.withColumn("negative", disc >= floor)
-    negative = F.col("negative")
-    derived = derived.withColumns(
-        {
-            "win_cents": F.when(
-                ~no_stake, F.when(zero_stake, F.lit(0)).when(negative, -cents).otherwise(cents)
-            ),
-            "place_cents": F.when(
-                ~no_stake & (line != 2),
-                F.when((line == 6) & ~zero_stake & ~negative, 500 + part % 100).otherwise(0),
-            ),
-            "win_payout": F.when(clean, F.floor(cents / 2))
-            .when((file == "A") & (tax >= 5), 2 * cents)
-            .when((file == "N") & (tax >= 7) & F.col("month").isin(1, 7), 2 * cents)
-            .otherwise(0)
-            .cast("long"),
-            "place_payout": F.when(
-                line != 2, F.when((file == "A") & (line == 6) & (tax >= 5), 700).otherwise(0)
-            ),
-        }
-    )
-    win_cents, place_cents, win_payout, place_payout = (
-        F.col(c) for c in ("win_cents", "place_cents", "win_payout", "place_payout")
-    )
-
-    month = F.replace(F.substring("day_text", 1, 7), F.lit("-"), F.lit(""))
-    uuid = (
-        F.when(clean, F.concat_ws("-", F.lit("r"), order, line))
-        .when(((qty == 50) & (line == 1)) | ((qty == 49) & (line == 2)), F.lit("   "))
-        .when(file == "A", F.concat(F.lit("a"), half_part, F.lit("-"), month))
-        .when(supp % 4 == 0, F.concat(F.lit(" n"), part))
-        .otherwise(F.concat(F.lit("n"), part, F.lit("-"), month))
-    )
-    ticket = (
-        F.when(clean, F.concat_ws("-", part, supp, F.col("cents")))
-        .when((qty == 50) & (line == 1), F.lit(None))
-        .otherwise(F.concat(F.lit("T"), half_part % 100))
-    )
-    two_digits = lambda c: F.lpad(c.cast("string"), 2, "0")
-    customer = F.lpad(F.floor(order / 10).cast("string"), 9, "0")
-
-    text = {
-        "refid": F.when(qty == 7, F.lit("  ")).otherwise(F.concat(F.lit("REF"), order)),
-        "source_uuid": uuid,
-        "license": F.lit("LIC-1"),
-        "bookmaker": F.when(supp % 50 != 49, F.concat(F.lit("BM"), supp % 7)),
-        "location": F.concat(F.lit("Site "), supp % 5),
-        "state": _words(supp, "NSW", "VIC", "QLD", None),
-        "area": F.lit("Metro"),
-        "wagering_provider": F.concat(F.lit("WP"), supp % 2),
-        "sys_ver_no": F.lit("1.0"),
-        "bet_date": F.when(no_date, F.lit(None))
-        .when(own_time, F.concat(day_text, F.lit("T09:30:00")))
-        .when(line == 5, F.concat(day_text, F.lit("T00:00:00")))
-        .otherwise(day_text),
-        "bet_time": F.when(
-            ~own_time,
-            F.concat_ws(":", two_digits(order % 24), two_digits(part % 60), two_digits(supp % 60)),
-        ),
-        "event_date": F.when(~no_event, F.col("l_shipdate").cast("date").cast("string")),
-        "event_time": F.when(~no_event & (line != 1), F.concat(two_digits(supp % 24), F.lit(":30:00"))),
-        "ticket_no": ticket,
-        "event_category": _words(supp, "RACING", "GREYHOUNDS", " SPORT "),
-        "sport_event": F.concat(F.lit("Meeting "), part % 50),
-        "venue": F.concat(F.lit("Venue "), supp % 20),
-        "venue_state": _words(supp % 20, "NSW", "VIC", "QLD", None),
-        "bet_type": F.when(line == 6, "PLACE").otherwise("WIN"),
-        "bet_method": _words(order, "Terminal", "Phone", "Online"),
-        "bet_details": F.lit(None),
-        "race_number": F.when(qty == 3, F.lit(None))
-        .when(line == 4, F.lit("4.0"))
-        .when(line == 5, F.lit(" 5 "))
-        .otherwise(line.cast("string")),
-        "runner_number": F.when(part % 200 == 0, F.lit("n/a")).otherwise(qty.cast("string")),
-        "runner_name": F.concat(F.lit("Runner "), part),
-        "bet_amount_win": _money_text(win_cents, line),
-        "bet_amount_place": _money_text(place_cents, line),
-        "win_price": F.concat((part % 900 + 100).cast("string"), F.lit(".125")),
-        "place_price": F.concat(F.lit("1."), two_digits(part % 100)),
-        "customer_name": F.when(supp % 10 < 3, F.lit(None))
-        .when(line % 3 == 0, F.concat(F.lit("  Customer "), customer))
-        .when(line % 3 == 1, F.concat(F.lit("customer   "), customer))
-        .otherwise(F.concat(F.lit("CUSTOMER\t"), customer, F.lit(" "))),
-        "betback_claim": F.lit(None),
-        "bet_information": F.when(qty == 5, F.lit(" fixed odds ")),
-        "cancelled_flag": F.when(cancelled, _words(line, "Y", "yes", "TRUE", " 1 "))
-        .when(qty == 20, F.lit(None))
-        .otherwise(_words(line, "N", "no", "FALSE", " 0 ")),
-        "time_cancelled": F.when(cancelled, F.concat(F.lit("13:"), two_digits(part % 60), F.lit(":00"))),
-        "bet_win_takeout": F.when(line == 1, F.lit("0.1550")),
-        "bet_place_takeout": F.when(line == 1, F.lit(".2")),
-        "horse_win_takeout": F.lit(None),
-        "horse_win_hold": F.concat(F.lit("$"), part),
-        "horse_place_takeout": F.lit(None),
-        "horse_place_hold": F.when(line == 2, F.lit("(12.34567)")),
-        "race_hold": F.concat(supp * 1000, F.lit(".00005")),
-        "betback_information": F.lit(None),
-        "betback_flag": F.when(qty == 11, F.lit("maybe")).otherwise(F.lit("N")),
-        "refund_flag": F.when(qty == 10, F.lit("Yes")).otherwise(F.lit("No")),
-        "placing_position": F.when(win_payout > 0, F.lit("1st")),
-        "win_deduction": F.when(line == 3, F.lit("-0.05")),
-        "place_deduction": F.lit(None),
-        "win_result": F.when(win_payout > 0, F.lit("1")).otherwise(F.lit("0")),
-        "place_result": F.lit("()"),
-        "win_payout_amount": _money_text(win_payout, line),
-        "place_payout_amount": _money_text(place_payout, line),
-        "paid_status": F.when(win_payout > 0, "Paid").otherwise("Unpaid"),
-        "bet_terminal": F.concat(F.lit("TERM-"), two_digits(supp % 40)),
-    }
-    return derived.select(
-        (F.col("position") + 1).alias("ingestion_id"),
-        F.concat(F.lit("dump_"), file, F.lit(".csv")).alias("source_file"),
-        F.lit(SHEET).alias("source_sheet"),
-        (F.col("position") + 2).alias("source_row_number"),
-        F.lit("2026-01-01 00:00:00").cast("timestamp").alias("ingested_at"),
-        *[text[c].cast("string").alias(c) for c in TEXT_COLUMNS],
-        F.lit(None).cast("string").alias("raw_payload"),
+    rows = items
+    for step in _STEPS:
+        rows = rows.selectExpr("*", *[f"{expression} as {name}" for name, expression in step.items()])
+    return rows.selectExpr(
+        "position + 1 as ingestion_id",
+        "concat('dump_', file, '.csv') as source_file",
+        f"'{SHEET}' as source_sheet",
+        "position + 2 as source_row_number",
+        "timestamp'2026-01-01 00:00:00' as ingested_at",
+        *[f"string({_CELLS[c]}) as {c}" for c in TEXT_COLUMNS],
+        "string(null) as raw_payload",
     ).select(*RAW_COLUMNS)
 
 
