@@ -115,17 +115,18 @@ def _capped(points: Column, cap: int) -> Column:
 
 def score_components(base: DataFrame) -> DataFrame:
     """The five components, each rounded to 2 decimals and capped."""
-    # Points per unit of each ratio.
+    one = F.lit(1).cast("decimal(18,4)")
     loss = F.greatest(F.coalesce("payout_ratio", F.lit(0)) - 1, F.lit(0).cast("decimal(18,4)"))
     severity = sum(
         (F.col(f"{name}_alert_count") * points for name, points in SEVERITY_POINTS[1:]),
         F.col(f"{SEVERITY_POINTS[0][0]}_alert_count") * SEVERITY_POINTS[0][1],
     )
+    # Points per unit of each ratio. Past a ratio of one every cap is long reached.
     points = {
-        "duplicate_component_score": F.col("duplicate_ratio") * 200,
-        "negative_stake_component_score": F.col("negative_stake_ratio") * 150,
-        "payout_loss_component_score": F.least(loss, F.lit(100).cast("decimal(18,4)")) * 100,
-        "issue_density_component_score": F.least(F.col("issue_ratio"), F.lit(100).cast("decimal(18,4)")) * 50,
+        "duplicate_component_score": F.least(F.col("duplicate_ratio"), one) * 200,
+        "negative_stake_component_score": F.least(F.col("negative_stake_ratio"), one) * 150,
+        "payout_loss_component_score": F.least(loss, one) * 100,
+        "issue_density_component_score": F.least(F.col("issue_ratio"), one) * 50,
         "alert_severity_component_score": severity.cast("decimal(18,0)"),
     }
     return base.withColumns({name: _capped(points[name], cap) for name, cap, _ in COMPONENTS})
