@@ -40,8 +40,8 @@ def _dump_name() -> Column:
     def unescape(text: Column) -> Column:
         return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
 
-    # The path is URL-encoded, and partition directories escape special characters themselves.
-    return F.when(folder != "", unescape(unescape(folder))).otherwise(F.col("_metadata.file_name"))
+    # Names are URL-encoded, and partition directories escape special characters themselves.
+    return F.when(folder != "", unescape(unescape(folder))).otherwise(unescape(F.col("_metadata.file_name")))
 
 
 def _reader(spark: SparkSession, sep: str):
@@ -176,13 +176,22 @@ def number_rows(scanned: DataFrame) -> DataFrame:
     )
 
 
-def _coordinates() -> list[Column]:
-    return [
+def _with_coordinates(rows: DataFrame) -> DataFrame:
+    """Add where each row stands, and whether any of its cells is filled.
+
+    The test for blank rows belongs here, next to the cells as read: as a filter
+    over 52 derived columns it would have Catalyst derive a constraint for every
+    subset of them.
+    """
+    cells = [F.col(f"`{c}`") for c in rows.columns]
+    return rows.select(
+        *cells,
+        F.coalesce(*[c.cast("string") for c in cells]).isNotNull().alias("_filled"),
         _dump_name().alias("source_file"),
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_id"),
-    ]
+    )
 
 
 def _scan_csv(spark: SparkSession, path, sep: str) -> tuple[DataFrame, list[str]]:
@@ -192,22 +201,18 @@ def _scan_csv(spark: SparkSession, path, sep: str) -> tuple[DataFrame, list[str]
     if len(layouts) <= 1:
         headers = list(layouts[0].header) if layouts else HEADERS
         schema = T.StructType([T.StructField(h, T.StringType()) for h in headers])
-        rows = reader.schema(schema).csv(path)
-        return rows.select(*[F.col(f"`{h}`") for h in headers], *_coordinates()), headers
+        return _with_coordinates(reader.schema(schema).csv(path)), headers
     # Files differ in their columns: read cells by position, pick them by each file's own header.
     width = heads.agg(F.max(F.size("header"))).first()[0]
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
-    rows = reader.schema(schema).csv(path).select("*", *_coordinates())
+    rows = _with_coordinates(reader.schema(schema).csv(path))
     joined = rows.join(heads.select(F.col("file_path").alias("_path"), "header"), "_path")
     cells = F.array(*[f"_c{i}" for i in range(width)])
+    # get() past either end of the cells is NULL, which is also what an absent header reads as.
     return (
         joined.select(
-            *[
-                F.try_element_at(
-                    cells, F.nullif(F.array_position("header", h), F.lit(0)).cast("int")
-                ).alias(h)
-                for h in HEADERS
-            ],
+            *[F.get(cells, F.array_position("header", h).cast("int") - 1).alias(h) for h in HEADERS],
+            "_filled",
             "source_file",
             "_path",
             "_block",
@@ -244,10 +249,10 @@ def landing_scan(
         else:
             rows = reader.option("mergeSchema", True).parquet(path)
         headers = list(rows.columns)
-        rows = rows.select(*[F.col(f"`{h}`") for h in headers], *_coordinates())
-    numbered = number_rows(rows)
+        rows = _with_coordinates(rows)
+    numbered = number_rows(rows).where("_filled")
     columns = [HEADER_TO_COLUMN[h.strip()] for h in headers]
-    landed = drop_blank_rows(cells_to_text(rename_headers(numbered), columns), columns)
+    landed = cells_to_text(rename_headers(numbered), columns)
     if with_raw_payload:
         landed = with_payload(landed, columns)
     else:
