@@ -143,10 +143,10 @@ def run_pipeline(
     landed = landing.read_landed(spark, table)
 
     names = incoming.select("source_file").distinct()
-    counts = landed.join(names, "source_file", "left_semi").groupBy("source_file").agg(
+    counts = landed.join(F.broadcast(names), "source_file", "left_semi").groupBy("source_file").agg(
         F.count(F.lit(1)).alias("row_count")
     )
-    # One row per dump of this run.
+    # Names and counts are one row per dump of this run.
     row_counts = {r.source_file: r.row_count for r in counts.orderBy("source_file").collect()}
     files = list(row_counts)
 

@@ -289,7 +289,8 @@ def limit_to_rows(landed: DataFrame, rows: int) -> DataFrame:
         landed.where(beyond).groupBy("source_file").agg(F.min("source_row_number").alias("_stop"))
     )
     return (
-        landed.join(stops, "source_file", "left")
+        # One narrow row per dump.
+        landed.join(F.broadcast(stops), "source_file", "left")
         .where(~beyond | (F.col("source_row_number") <= F.col("_stop")))
         .select(*landed.columns)
     )
@@ -340,5 +341,6 @@ def read_landed(spark: SparkSession, table: str) -> DataFrame:
 
 def replace_by_file(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """The same replacement as a query: existing rows of other dumps, plus the incoming rows."""
+    # One name per incoming dump; broadcast, so that a dump holding a third of the rows is not shuffled to one task.
     names = incoming.select("source_file").distinct()
-    return existing.join(names, "source_file", "left_anti").unionByName(incoming)
+    return existing.join(F.broadcast(names), "source_file", "left_anti").unionByName(incoming)
