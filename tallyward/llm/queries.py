@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, embedding_dedup, licenses, warc
+from tallyward.llm import bpe, embedding_dedup, licenses, minhash_dedup, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,10 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_embedding_dedup": op2_embedding_dedup,
+    "op3_minhash_dedup": op3_minhash_dedup,
     "op4_licenses": op4_licenses,
     "op7_warc_fixity": op7_warc_fixity,
 }
