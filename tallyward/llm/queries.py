@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, embedding_dedup, licenses, minhash_dedup, warc
+from tallyward.llm import bpe, embedding_dedup, licenses, minhash_dedup, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,12 +45,28 @@ def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.fixity_report(pages, damaged(pages))
 
 
+def id_draw(n: int) -> Column:
+    """crc32 of the id as text, modulo n; -1 without an id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % n, F.lit(-1))
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    return toxicity.train(docs.where(id_draw(3) != 1), labels)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
+    return scored.withColumn("held_out", id_draw(3) == 1)
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_licenses": op4_licenses,
     "op7_warc_fixity": op7_warc_fixity,
+    "op8_toxicity": op8_toxicity,
 }
 
 OP7 = """
