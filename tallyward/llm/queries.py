@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, embedding_dedup, licenses, minhash_dedup, toxicity, warc
+from tallyward.llm import bpe, embedding_dedup, licenses, minhash_dedup, perplexity, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +60,15 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", id_draw(3) == 1)
 
 
+def quality_judge(docs: DataFrame, labels: DataFrame) -> perplexity.Judge:
+    return perplexity.Judge(perplexity.trusted_texts(docs, labels))
+
+
+def op9_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return perplexity.classify(docs, quality_judge(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -67,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op4_licenses": op4_licenses,
     "op7_warc_fixity": op7_warc_fixity,
     "op8_toxicity": op8_toxicity,
+    "op9_perplexity": op9_perplexity,
 }
 
 OP7 = """
