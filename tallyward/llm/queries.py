@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, embedding_dedup, licenses, minhash_dedup, perplexity, toxicity, warc
+from tallyward.llm import bpe, decontaminate, embedding_dedup, licenses, minhash_dedup, perplexity, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +69,10 @@ def op9_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.classify(docs, quality_judge(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -77,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op7_warc_fixity": op7_warc_fixity,
     "op8_toxicity": op8_toxicity,
     "op9_perplexity": op9_perplexity,
+    "op10_decontamination": op10_decontamination,
 }
 
 OP7 = """
