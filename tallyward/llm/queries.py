@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, decontaminate, embedding_dedup, licenses, minhash_dedup, perplexity, toxicity, warc
+from tallyward.llm import bpe, decontaminate, embedding_dedup, licenses, minhash_dedup, perplexity, suffix_tree, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def id_draw(n: int) -> Column:
+    """crc32 of the id as text, modulo n; -1 without an id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % n, F.lit(-1))
+
+
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -33,6 +38,17 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_draw(7) == 2
+    fitted = suffix_tree.train(docs.where(~held_out).select("text"))
+    if fitted is None:  # nothing to learn from: every score is 0
+        n_tokens = F.lit(1).cast("long") + F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), 0))
+        zero, none = F.lit(0.0), F.lit(0).cast("long")
+        return docs.select("doc_id", n_tokens.alias("n_tokens"), none.alias("n_known"), none.alias("train_tokens"), zero.alias("base_score"), zero.alias("score"), held_out.alias("held_out"))
+    return suffix_tree.score(docs, *fitted).withColumn("held_out", held_out)
+
+
 def damaged(pages: DataFrame) -> DataFrame:
     """A replica with known damage, drawn by the hash of the id: some bodies altered, some records lost."""
     draw = F.substring(F.md5(F.col("page_id").cast("string")), 1, 2)
@@ -45,11 +61,6 @@ def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.fixity_report(pages, damaged(pages))
 
 
-def id_draw(n: int) -> Column:
-    """crc32 of the id as text, modulo n; -1 without an id."""
-    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % n, F.lit(-1))
-
-
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     return toxicity.train(docs.where(id_draw(3) != 1), labels)
 
@@ -78,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_licenses": op4_licenses,
+    "op6_suffix_tree": op6_suffix_tree,
     "op7_warc_fixity": op7_warc_fixity,
     "op8_toxicity": op8_toxicity,
     "op9_perplexity": op9_perplexity,
