@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, decontaminate, embedding_dedup, licenses, minhash_dedup, perplexity, suffix_tree, toxicity, warc
+from tallyward.llm import bpe, decontaminate, embedding_dedup, licenses, minhash_dedup, perplexity, quotations, suffix_tree, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,10 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotations.conversations(table(spark, sf_dir, "conversations"))
+
+
 def op6_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = id_draw(7) == 2
@@ -84,16 +88,24 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it imports this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_licenses": op4_licenses,
+    "op5_quotations": op5_quotations,
     "op6_suffix_tree": op6_suffix_tree,
     "op7_warc_fixity": op7_warc_fixity,
     "op8_toxicity": op8_toxicity,
     "op9_perplexity": op9_perplexity,
     "op10_decontamination": op10_decontamination,
+    "pipeline": pipeline,
 }
 
 OP7 = """
