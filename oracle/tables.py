@@ -7,7 +7,14 @@ integer hundredths, so nothing here shares a code path with the Spark side.
 
 from __future__ import annotations
 
-from tallyward.operators.quality import ISSUE_DETAILS
+# The text of each issue.
+ISSUE_DETAILS = {
+    "duplicate_bet_key": "Duplicate source_uuid + ticket_no within the same source file",
+    "negative_total_stake": "Total stake amount is below zero after parsing win/place stake values",
+    "missing_event_timestamp": "Event timestamp is null after combining event date and time fields",
+    "cancelled_with_payout": "Cancelled bet still shows a positive payout amount",
+    "payout_without_stake": "Positive payout amount exists while parsed stake amount is zero or null",
+}
 
 
 def r4(part: str, whole: str) -> str:

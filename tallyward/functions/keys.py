@@ -63,4 +63,5 @@ def bookmaker_alert_id() -> Column:
 
 
 def ml_score_id(model_name: str) -> Column:
-    return hashed(F.lit(model_name), F.col("source_file"), F.col("report_date"))
+    """A day without a date is written as the word None."""
+    return hashed(F.lit(model_name), F.col("source_file"), F.coalesce(F.col("report_date").cast("string"), F.lit("None")))

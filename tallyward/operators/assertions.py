@@ -22,6 +22,39 @@ from tallyward.operators.reconcile import ISSUE_COUNT_COLUMNS
 from tallyward.operators.scorecard import COMPONENTS
 
 
+class AssertionsError(RuntimeError):
+    """Tables of a run break at least one invariant."""
+
+
+# Columns that must be filled, and columns that must be unique, by table.
+NOT_NULL = {
+    "raw": ("ingestion_id", "source_file", "source_row_number", "source_uuid"),
+    "bets": ("ingestion_id", "source_uuid", "bet_placed_at", "bet_record_key", "bet_business_key"),
+    "dim_customers": ("customer_key",),
+    "dim_events": ("event_key",),
+    "fct_payouts": ("payout_record_key",),
+    "validation_issues": ("bet_record_key", "issue_type"),
+    "validation_summary": ("issue_type",),
+    "daily_reconciliation_summary": ("source_file", "report_date"),
+    "source_day_alerts": ("alert_id",),
+    "bookmaker_day_alerts": ("alert_id",),
+    "alert_feed": ("alert_id",),
+    "anomaly_scorecard": ("anomaly_id", "source_file", "report_date", "risk_band"),
+}
+UNIQUE = {
+    "raw": ("ingestion_id",),
+    "bets": ("ingestion_id", "bet_record_key"),
+    "dim_customers": ("customer_key",),
+    "dim_events": ("event_key",),
+    "fct_payouts": ("payout_record_key",),
+    "validation_summary": ("issue_type",),
+    "source_day_alerts": ("alert_id",),
+    "bookmaker_day_alerts": ("alert_id",),
+    "alert_feed": ("alert_id",),
+    "anomaly_scorecard": ("anomaly_id",),
+}
+
+
 def _any(conditions: Sequence[Column]) -> Column:
     return reduce(or_, conditions)
 
@@ -139,3 +172,41 @@ def assert_reconciliation_status(reconciliation: DataFrame) -> DataFrame:
     return reconciliation.where(
         (F.col("reconciliation_status") != expected) | (no_stake != F.col("payout_ratio").isNull())
     )
+
+
+def null_counts(name: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(assertion, violations) of every column that must be filled, in one pass."""
+    counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    pairs = F.array(*[F.struct(F.lit(f"not_null {name}.{c}").alias("assertion"), F.col(c).alias("violations")) for c in columns])
+    return counted.select(F.inline(pairs))
+
+
+def violation_count(name: str, violations: DataFrame) -> DataFrame:
+    return violations.agg(F.lit(name).alias("assertion"), F.count(F.lit(1)).alias("violations"))
+
+
+def run_assertions(tables: dict[str, DataFrame]) -> DataFrame:
+    """(assertion, violations) of every invariant over the tables of a run."""
+    found = [null_counts(name, tables[name], columns) for name, columns in NOT_NULL.items()]
+    found += [violation_count(f"unique {n}.{c}", assert_unique(tables[n], c)) for n, columns in UNIQUE.items() for c in columns]
+    card, recon, feed = tables["anomaly_scorecard"], tables["daily_reconciliation_summary"], tables["alert_feed"]
+    found += [
+        violation_count("accepted_values anomaly_scorecard.risk_band", assert_accepted_values(card, "risk_band")),
+        violation_count("alert_scope", assert_alert_scope(feed)),
+        violation_count("summary_matches_feed", assert_summary_matches_feed(feed, tables["alert_summary"])),
+        violation_count("risk_band", assert_risk_band(card)),
+        violation_count("score_bounds", assert_score_bounds(card)),
+        violation_count("components_sum", assert_components_sum(card)),
+        violation_count("source_thresholds", assert_source_thresholds(tables["source_day_alerts"])),
+        violation_count("bookmaker_thresholds", assert_bookmaker_thresholds(tables["bookmaker_day_alerts"])),
+        violation_count("reconciliation_counts", assert_reconciliation_counts(recon)),
+        violation_count("reconciliation_status", assert_reconciliation_status(recon)),
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def enforce_assertions(counts: DataFrame) -> None:
+    """Raise once with every broken invariant; there is one row for each that was asked."""
+    broken = counts.where("violations > 0").orderBy("assertion").collect()
+    if broken:
+        raise AssertionsError("; ".join(f"{r.assertion}: {r.violations} rows" for r in broken))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.operators.alerts import SOURCE_RULES
-from tallyward.sources.exports import EXPORTS
+from tallyward.sources.exports import EXPORTS, exported_size
 
 EXPECTED_ALERT_TYPES = tuple(rule.name for rule in SOURCE_RULES)
 ML_OUTPUTS = ("ml_anomaly_scores",)
@@ -19,11 +19,18 @@ class QualityGateError(RuntimeError):
     """The run failed at least one gate."""
 
 
-def _of_files(df: DataFrame, source_files: Sequence[str]) -> DataFrame:
-    return df.where(F.col("source_file").isin(list(source_files)))
+def files_table(spark: SparkSession, source_files: Sequence[str] | DataFrame) -> DataFrame:
+    """Dump names as a table with the column ``source_file``."""
+    if isinstance(source_files, DataFrame):
+        return source_files.select("source_file")
+    return spark.createDataFrame([(f,) for f in source_files], "source_file string")
 
 
-def gate_anomaly_metrics(scorecard: DataFrame, source_files: Sequence[str]) -> DataFrame:
+def _of_files(df: DataFrame, source_files: Sequence[str] | DataFrame) -> DataFrame:
+    return df.join(files_table(df.sparkSession, source_files), "source_file", "left_semi")
+
+
+def gate_anomaly_metrics(scorecard: DataFrame, source_files: Sequence[str] | DataFrame) -> DataFrame:
     return _of_files(scorecard, source_files).agg(
         F.count(F.lit(1)).alias("anomaly_row_count"),
         F.coalesce(F.max("anomaly_score"), F.lit(0)).alias("max_anomaly_score"),
@@ -31,7 +38,7 @@ def gate_anomaly_metrics(scorecard: DataFrame, source_files: Sequence[str]) -> D
     )
 
 
-def gate_alert_types(feed: DataFrame, source_files: Sequence[str]) -> DataFrame:
+def gate_alert_types(feed: DataFrame, source_files: Sequence[str] | DataFrame) -> DataFrame:
     """Alert types raised for the files; bookmaker alerts have no file and drop out."""
     return _of_files(feed, source_files).select("alert_type").distinct().orderBy("alert_type")
 
@@ -41,7 +48,7 @@ def gate_missing_alert_types(seen: DataFrame, expected: Sequence[str] = EXPECTED
     return wanted.join(seen, "alert_type", "left_anti").orderBy("alert_type")
 
 
-def gate_ml_metrics(ml_scores: DataFrame, source_files: Sequence[str]) -> DataFrame:
+def gate_ml_metrics(ml_scores: DataFrame, source_files: Sequence[str] | DataFrame) -> DataFrame:
     return _of_files(ml_scores, source_files).agg(
         F.count(F.lit(1)).alias("ml_row_count"),
         F.count_if(F.col("model_outlier_flag").cast("boolean")).alias("ml_outlier_count"),
@@ -52,17 +59,15 @@ def gate_ml_metrics(ml_scores: DataFrame, source_files: Sequence[str]) -> DataFr
 
 
 def output_inventory(
-    spark: SparkSession, found: Mapping[str, int], expected: Sequence[str] = EXPECTED_OUTPUTS
+    spark: SparkSession, out_dir: str, counts: Mapping[str, int], expected: Sequence[str] = EXPECTED_OUTPUTS
 ) -> DataFrame:
-    """Expected outputs with their row counts; ``complete`` is false for missing or empty ones."""
-    rows = [(name, int(found.get(name, 0))) for name in expected]
-    return spark.createDataFrame(rows, "output string, row_count long").withColumn(
-        "complete", F.col("row_count") > 0
-    )
+    """Expected outputs in a folder. One is complete when it is there, with its header at least; rows are information."""
+    rows = [(name, int(counts.get(name, 0)), exported_size(spark, f"{out_dir}/{name}.csv") > 0) for name in expected]
+    return spark.createDataFrame(rows, "output string, row_count long, complete boolean")
 
 
 def gate_checks(
-    source_files: Sequence[str],
+    source_files: Sequence[str] | DataFrame,
     row_counts: DataFrame,
     anomaly_metrics: DataFrame,
     alert_types: DataFrame,
@@ -77,7 +82,7 @@ def gate_checks(
     score and a model outlier.
     """
     spark = row_counts.sparkSession
-    files = spark.createDataFrame([(f,) for f in source_files], "subject string")
+    files = files_table(spark, source_files).withColumnRenamed("source_file", "subject")
 
     def at_least_one(check: str, subject: str, metrics: DataFrame, column: str) -> DataFrame:
         return metrics.select(
@@ -100,7 +105,7 @@ def gate_checks(
             inventory.select(
                 F.lit("output_complete").alias("check"),
                 F.col("output").alias("subject"),
-                F.col("row_count").alias("observed"),
+                F.col("complete").cast("long").alias("observed"),
             )
         )
     if ml_metrics is not None:
@@ -132,7 +137,8 @@ def gate_failures(checks: DataFrame) -> DataFrame:
 
 
 def enforce_gate(checks: DataFrame) -> None:
-    """Raise once with every failed check; the failures number one per file and output at most."""
-    failed = gate_failures(checks).orderBy("check", "subject").collect()
+    """Raise once with every failed check."""
+    line = F.format_string("%s failed for %s", "check", "subject")
+    failed = gate_failures(checks).agg(F.array_join(F.array_sort(F.collect_list(line)), "; ")).first()[0]
     if failed:
-        raise QualityGateError("; ".join(f"{r.check} failed for {r.subject}" for r in failed))
+        raise QualityGateError(failed)

@@ -66,7 +66,7 @@ def _row_measures() -> dict[str, Column]:
     """Aggregates over bets that add up across any split of the rows."""
     return {
         "bets": F.count(F.lit(1)),
-        "named": F.count_if(F.col("customer_name").isNotNull()),
+        "named": F.count_if(F.col("customer_key").isNotNull()),
         "cancelled": F.count_if("is_cancelled"),
         "refunded": F.count_if("is_refunded"),
         "stake": money_sum(F.col("total_stake_amount")),

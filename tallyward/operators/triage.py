@@ -23,6 +23,7 @@ from tallyward.functions.bands import risk_band
 from tallyward.operators.quantiles import exact_quantile
 from tallyward.sources.shared import cut
 
+# Fixed value.
 MODEL_NAME = "isolation_forest_source_day_v1"
 SEED = 42
 TREES = 100
@@ -209,10 +210,15 @@ def tree_subsamples(
     drawn = features.select(
         *FEATURE_COLUMNS,
         F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]).alias("_key"),
-        F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"),
-    ).withColumn("_draw", F.xxhash64(F.lit(seed), F.col("tree"), F.col("_key")))
+    )
     ceiling = int(-(2**63) + share * (2**64 - 1)) if share < 1.0 else 2**63 - 1
-    candidates = drawn.where(F.col("_draw") <= F.lit(ceiling))
+    draws = F.transform(
+        F.sequence(F.lit(0), F.lit(trees - 1)),
+        lambda tree: F.struct(tree.alias("tree"), F.xxhash64(F.lit(seed), tree, F.col("_key")).alias("_draw")),
+    )
+    # Most rows are drawn by no tree; only the trees that draw a row make a copy of it.
+    won = F.filter(draws, lambda d: d["_draw"] <= F.lit(ceiling))
+    candidates = drawn.withColumn("_won", F.explode(won)).select(*FEATURE_COLUMNS, "_key", "_won.tree", "_won._draw")
     place = F.row_number().over(Window.partitionBy("tree").orderBy("_draw", "_key"))
     return (
         candidates.withColumn("_place", place)
@@ -413,6 +419,13 @@ def ml_report_metrics(scores: DataFrame) -> DataFrame:
     )
 
 
+def ml_figures(scores: DataFrame) -> DataFrame:
+    """The figures with the first rows of the triage list as JSON, one row: what a model report shows."""
+    top = ml_top(scores).select(F.struct(*ML_COLUMNS).alias("row"))
+    listed = top.agg(F.to_json(F.collect_list("row")).alias("top_rows"))
+    return ml_report_metrics(scores).withColumn("top_rows", listed.scalar())
+
+
 def ml_top(scores: DataFrame, rows: int = 5) -> DataFrame:
     """The first rows of the triage list."""
     return in_triage_order(scores).limit(rows)

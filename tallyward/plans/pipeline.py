@@ -1,4 +1,4 @@
-"""One whole run: land, stage, check, reconcile, alert, score, triage, export, gate."""
+"""One whole run: land, stage, check, reconcile, alert, score, triage, assert, export, gate."""
 
 from __future__ import annotations
 
@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.functions.parsing import STRICT
-from tallyward.operators import alerts, bets, gates, quality, reconcile, scorecard, staging, triage
+from tallyward.operators import alerts, assertions, bets, gates, quality, reconcile, scorecard, staging, summaries, triage
 from tallyward.session import tune
 from tallyward.sources import exports, landing
-from tallyward.sources.shared import cut
+from tallyward.sources.shared import cut, scratch
 
 
 @dataclass
@@ -34,11 +34,12 @@ class Reports:
 class RunRecord:
     run_id: str
     generated_at: str
-    source_files: list[str]
-    source_row_counts: dict[str, int]
+    source_file_count: int
+    source_row_count: int
     output_rows: dict[str, int]
     metrics: dict[str, float]
-    gate: list[dict] = field(default_factory=list)
+    checks: int
+    assertions: dict[str, int] = field(default_factory=dict)
 
 
 # What the reports read of a keyed bet; a cut of just these is narrow.
@@ -50,7 +51,7 @@ REPORT_INPUT = [
     "source_uuid",
     "ticket_no",
     "bookmaker_name",
-    "customer_name",
+    "customer_key",
     "bet_placed_at",
     "event_scheduled_at",
     "total_stake_amount",
@@ -109,6 +110,26 @@ def run_metrics(checks: DataFrame, reports: Reports, ml: DataFrame | None = None
     return row.withColumn("_ml", figures.scalar()).select("*", "_ml.*").drop("_ml")
 
 
+# What of a run's figures is written beside the reports: one CSV each, one or a few rows.
+def figures(reports: Reports, issues: DataFrame, ml: DataFrame | None) -> dict[str, DataFrame]:
+    card, feed, by_day = reports.anomaly_scorecard, reports.alert_feed, reports.daily_issue_summary
+    found = {
+        "eod_overview": summaries.eod_overview(card, feed, by_day),
+        "eod_risk_bands": summaries.eod_risk_bands(card),
+        "eod_top_anomalies": summaries.eod_top_anomalies(card),
+        "eod_alert_summary": summaries.eod_alert_summary(feed),
+        "eod_quality_issues": summaries.eod_quality_issues(issues),
+        "dash_top_anomalies": summaries.dash_top_anomalies(card),
+        "dash_alert_mix": summaries.dash_alert_mix(feed),
+        "dash_issue_mix": summaries.dash_issue_mix(by_day),
+    }
+    if ml is not None:
+        found["dash_kpis"] = summaries.dash_kpis(reports.daily_reconciliation_summary, card, feed, ml)
+        found["dash_top_ml"] = summaries.dash_top_ml(ml)
+        found["ml_report_metrics"] = triage.ml_figures(ml)
+    return found
+
+
 def run_pipeline(
     spark: SparkSession,
     raw_path: str,
@@ -122,37 +143,50 @@ def run_pipeline(
     limit_files: int | None = None,
     limit_rows: int | None = None,
     date_formats: Sequence[str] = (),
+    multi_line: bool = False,
+    enforce: bool = True,
 ) -> RunRecord:
-    """Run every stage over the dumps under ``raw_path``; raise if a gate fails.
+    """Run every stage over the dumps under ``raw_path``; raise if an assertion or a gate fails.
 
     ``table`` is the landed Parquet table, which may hold earlier dumps too: the
-    reports cover all of it, the gates only the dumps of this run.
+    reports cover all of it, the gates only the dumps of this run, empty ones
+    included. Everything is written to ``out_dir`` before assertions are
+    enforced; ``enforce=False`` only writes what they found. Intermediate tables
+    are removed at the end.
     """
     tune(spark)
-    first_id = 1
-    if not replace_files:
-        try:
-            first_id = landing.next_ingestion_id(spark, table)
-        except Exception as error:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-    incoming = landing.landing_scan(
-        spark, raw_path, fmt, limit_files=limit_files, limit_rows=limit_rows, first_id=first_id
-    )
-    landing.land(incoming, table, replace_files)
+    with scratch(spark):
+        return _run(
+            spark, raw_path, table, out_dir, fmt, replace_files, parse_mode, skip_ml, require_alerts, limit_files,
+            limit_rows, date_formats, multi_line, enforce,
+        )
+
+
+def _run(
+    spark, raw_path, table, out_dir, fmt, replace_files, parse_mode, skip_ml, require_alerts, limit_files, limit_rows,
+    date_formats, multi_line, enforce,
+) -> RunRecord:
+    dumps = landing.open_dumps(spark, raw_path, fmt, limit_files=limit_files, multi_line=multi_line)
+    first_id = landing.next_ingestion_id(spark, table)
+    incoming = landing.landing_scan(spark, limit_rows=limit_rows, first_id=first_id, dumps=dumps)
+    files = cut(dumps.names(), "dumps")
+    landing.land(incoming, table, replace_files, files, first_id)
     landed = landing.read_landed(spark, table)
+    in_table = landed.groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count"))
+    counts = cut(files.join(in_table, "source_file", "left").fillna(0, ["row_count"]), "dump_rows")
 
-    names = incoming.select("source_file").distinct()
-    counts = landed.join(F.broadcast(names), "source_file", "left_semi").groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("row_count")
-    )
-    # Names and counts are one row per dump of this run.
-    row_counts = {r.source_file: r.row_count for r in counts.orderBy("source_file").collect()}
-    files = list(row_counts)
+    # Readers of this table take just the columns they need.
+    keyed = cut(bets.key_bets(staging.stage_bets(landed, parse_mode, date_formats)), "bets")
+    models = {
+        "dim_customers": bets.dim_customers(keyed),
+        "dim_events": bets.dim_events(keyed),
+        "fct_bets": bets.fct_bets(keyed),
+        "fct_payouts": bets.fct_payouts(keyed),
+    }
+    for name, model in models.items():
+        model.write.mode("overwrite").parquet(f"{out_dir}/{name}")
+    written = {name: spark.read.schema(model.schema).parquet(f"{out_dir}/{name}") for name, model in models.items()}
 
-    keyed = cut(
-        bets.key_bets(staging.stage_bets(landed, parse_mode, date_formats)), "bets"
-    )
     reports = build_reports(keyed)
     outputs = {
         name: exports.export_report(name, getattr(reports, name), out_dir) for name in exports.EXPORTS
@@ -165,25 +199,57 @@ def run_pipeline(
             triage.in_triage_order(ml), f"{out_dir}/ml_anomaly_scores.csv"
         )
         expected = gates.EXPECTED_OUTPUTS
+    issues = quality.validation_issues(keyed)
+    for name, figure in figures(reports, issues, ml).items():
+        outputs[name] = exports.write_csv(figure, f"{out_dir}/{name}.csv")
+    exports.write_csv(counts.orderBy("source_file"), f"{out_dir}/source_files.csv")
+
+    broken = cut(
+        assertions.run_assertions(
+            {
+                "raw": landed,
+                "bets": keyed,
+                **written,
+                "validation_issues": issues,
+                "validation_summary": quality.validation_summary(issues),
+                "daily_reconciliation_summary": reports.daily_reconciliation_summary,
+                "source_day_alerts": alerts.source_day_alerts(reports.daily_reconciliation_summary),
+                "bookmaker_day_alerts": alerts.bookmaker_day_alerts(reports.daily_bookmaker_summary),
+                "alert_feed": reports.alert_feed,
+                "alert_summary": reports.alert_summary,
+                "anomaly_scorecard": reports.anomaly_scorecard,
+            }
+        ),
+        "assertions",
+    )
+    exports.write_csv(broken.orderBy("assertion"), f"{out_dir}/assertions.csv")
 
-    checks = gates.gate_checks(
-        files,
-        spark.createDataFrame(list(row_counts.items()) or [], "source_file string, row_count long"),
-        gates.gate_anomaly_metrics(reports.anomaly_scorecard, files),
-        gates.gate_alert_types(reports.alert_feed, files),
-        None if ml is None else gates.gate_ml_metrics(ml, files),
-        gates.output_inventory(spark, outputs, expected),
-        require_alerts,
+    checks = cut(
+        gates.gate_checks(
+            files,
+            counts,
+            gates.gate_anomaly_metrics(reports.anomaly_scorecard, files),
+            gates.gate_alert_types(reports.alert_feed, files),
+            None if ml is None else gates.gate_ml_metrics(ml, files),
+            gates.output_inventory(spark, out_dir, outputs, expected),
+            require_alerts,
+        ),
+        "gate_checks",
     )
+    exports.write_csv(checks.orderBy("check", "subject"), f"{out_dir}/gate_checks.csv")
     gates.enforce_gate(checks)
+    if enforce:
+        assertions.enforce_assertions(broken)
+    total = counts.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows")).first()
     record = RunRecord(
         run_id=str(uuid4()),
         generated_at=datetime.now(timezone.utc).isoformat(timespec="seconds"),
-        source_files=files,
-        source_row_counts=row_counts,
+        source_file_count=total.files,
+        source_row_count=total.rows,
         output_rows=outputs,
         metrics=run_metrics(checks, reports, ml).first().asDict(),
-        gate=[r.asDict() for r in checks.orderBy("check", "subject").collect()],
+        checks=checks.count(),
+        assertions={r.assertion: r.violations for r in broken.where("violations > 0").collect()},
     )
     spark.createDataFrame([(json.dumps(asdict(record)),)], "value string").coalesce(1).write.mode(
         "overwrite"

@@ -17,6 +17,7 @@ EXPORTS = (
 )
 
 
+# The sort orders of the reports.
 def export_order(report: str) -> list[Column]:
     """Sort order of an exported report; NULL days last, severity descending as text."""
     day = F.asc_nulls_last("report_date")
@@ -44,13 +45,24 @@ def sorted_for_export(report: str, df: DataFrame) -> DataFrame:
 def write_csv(df: DataFrame, folder: str) -> int:
     """Write rows with a header line per part and return how many; counted while writing."""
     seen = Observation()
+    header = ",".join(df.columns)
     (
         df.observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .option("header", True)
         .csv(folder)
     )
-    return seen.get["rows"]
+    rows = seen.get["rows"]
+    if not rows:  # without rows there may be no part, and so no header
+        df.sparkSession.createDataFrame([(header,)], "value string").coalesce(1).write.mode("overwrite").text(folder)
+    return rows
+
+
+def exported_size(spark: SparkSession, folder: str) -> int:
+    """Bytes of an export; 0 if it isn't there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.getContentSummary(path).getLength() if files.exists(path) else 0
 
 
 def export_report(report: str, df: DataFrame, out_dir: str) -> int:

@@ -3,20 +3,33 @@
 A dump is either one file or a ``source_file=<name>`` directory of part files;
 the directory form is what a dump too large for one file looks like. Either way
 its rows are numbered from 2 in (part name, position) order, header being row 1.
+
+Everything a run wants to know about its files comes from one listing and one
+pass over the text (``open_dumps``): which dumps there are, empty ones included,
+their headers, and where each input split starts counting. A second pass reads
+the data.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyward.functions.parsing import cell_to_text
 from tallyward.sources.contract import HEADER_TO_COLUMN, HEADERS, RAW_COLUMNS, RAW_SCHEMA, TEXT_COLUMNS
+from tallyward.sources.shared import cut
 
 FORMATS = ("csv", "json", "parquet")
+# Most columns a dump with line breaks inside cells may have.
+MOST_COLUMNS = 256
+# A split's place is about 300 bytes; up to this many of them are sent to every task.
+BROADCAST_SPLITS = 500_000
+# The columns of a preview.
 PREVIEW_COLUMNS = (
     "refid",
     "bookmaker",
@@ -33,6 +46,33 @@ class UnknownHeadersError(ValueError):
     """A dump carries headers outside the contract."""
 
 
+class BrokenRowsError(ValueError):
+    """A dump holds lines that can't be read as rows."""
+
+
+@dataclass(frozen=True)
+class Dumps:
+    """What the listing and the first pass found.
+
+    files: (file_path, source_file) of every file, empty ones too. places: one row
+    per input split with its first data row's id (``first``), its ``last`` id, how
+    many rows its dump has before it, and its file's ``header``. broken: lines per
+    file that are no rows.
+    """
+
+    path: str | list[str]
+    fmt: str
+    sep: str
+    multi_line: bool
+    files: DataFrame
+    places: DataFrame
+    headers: DataFrame
+    broken: DataFrame
+
+    def names(self) -> DataFrame:
+        return self.files.select("source_file").distinct()
+
+
 def _dump_name() -> Column:
     """Name of the ``source_file=`` directory, or else of the file."""
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"/source_file=([^/]+)/[^/]+$", 1)
@@ -52,63 +92,164 @@ def _reader(spark: SparkSession, sep: str):
     )
 
 
-def first_lines(spark: SparkSession, path: str | Sequence[str], sep: str = ",") -> DataFrame:
-    """(file path, dump, header names) of every delimited file."""
-    lines = (
-        spark.read.option("recursiveFileLookup", True)
-        .text(path)
-        .select(
-            F.col("_metadata.file_path").alias("file_path"),
-            _dump_name().alias("source_file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("id"),
-            "value",
-        )
-        .where(F.col("block") == 0)
+def _lines(spark: SparkSession, path, fmt: str, sep: str, multi_line: bool) -> DataFrame:
+    """(value or cells, _path, source_file, _block, _id) of every line or, in multi-line mode, row."""
+    if multi_line:
+        reader = _reader(spark, sep).option("multiLine", True).option("recursiveFileLookup", True)
+        names = [f"_c{i}" for i in range(MOST_COLUMNS)]
+        read = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).csv(path)
+        content = F.array(*names).alias("cells")
+    else:
+        read = spark.read.option("recursiveFileLookup", True).text(path)
+        content = F.col("value")
+    return read.select(
+        content,
+        F.col("_metadata.file_path").alias("_path"),
+        _dump_name().alias("source_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_id"),
     )
-    header = F.transform(
-        F.split(F.regexp_replace("value", "^﻿", ""), "[" + sep + "]"),
-        lambda h: F.trim(F.regexp_replace(h, '"', "")),
+
+
+def _parsed(line: Column, sep: str, width: int) -> Column:
+    """Cells of a delimited line, by the CSV reader's own rules."""
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
+    options = {"sep": sep, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    return F.from_csv(line, schema.simpleString(), options)
+
+
+def _as_array(parsed: Column, width: int) -> Column:
+    return F.array(*[parsed[f"_c{i}"] for i in range(width)])
+
+
+def _csv_places(lines: DataFrame, sep: str, multi_line: bool) -> tuple[DataFrame, DataFrame]:
+    """Splits with the header that starts their file, and broken lines per file."""
+    if multi_line:
+        filled, odd = F.exists("cells", lambda c: c.isNotNull()), F.lit(0)
+        content = F.col("cells")
+    else:
+        filled, content = F.trim("value") != "", F.col("value")
+        odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2
+    opens = (F.col("_block") == 0) & filled
+    found = lines.groupBy("_path", "source_file", "_block").agg(
+        F.min("_id").alias("_from"),
+        F.max("_id").alias("last"),
+        F.min(F.when(opens, F.col("_id"))).alias("_header_id"),
+        F.min_by(content, F.when(opens, F.col("_id"))).alias("_header"),
+        F.sum(odd.cast("long")).alias("broken"),
     )
-    return (
-        lines.groupBy("file_path", "source_file")
-        .agg(F.min_by("value", "id").alias("value"))
-        .select("file_path", "source_file", header.alias("header"))
+    splits = cut(found.withColumn("first", F.coalesce(F.col("_header_id") + 1, "_from")), "splits")
+    top = splits.where(F.col("_header").isNotNull()).select("_path", "_header")
+    if not multi_line:
+        # At least as many columns as the widest header has; quoted separators only add empty ones.
+        seps = (F.length("_header") - F.length(F.replace("_header", F.lit(sep), F.lit("")))) / len(sep)
+        width = int(top.agg(F.max(seps)).first()[0] or 0) + 1
+        line = F.regexp_replace("_header", "^\ufeff", "")
+        top = top.select("_path", _as_array(_parsed(line, sep, width), width).alias("_header"))
+    header = F.transform("_header", lambda h: F.trim(F.regexp_replace(h, "^\ufeff", "")))
+    # Empty names behind the last column are none.
+    size = F.array_max(F.transform(header, lambda h, i: F.when(h.isNotNull() & (h != ""), i + 1).otherwise(0)))
+    top = top.select("_path", F.slice(header, 1, F.greatest(size, F.lit(0))).alias("header"))
+    places = splits.drop("_header", "_header_id", "_from", "broken").join(top, "_path", "left")
+    return places, splits.groupBy("source_file").agg(F.sum("broken").alias("broken"))
+
+
+def _json_places(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    keys = F.json_object_keys("value")
+    blank = F.trim("value") == ""
+    # One pass: a row per key, and one without for the line itself.
+    seen = lines.select(
+        "_path", "source_file", "_block", "_id",
+        (keys.isNull() & ~blank).cast("long").alias("broken"),
+        F.explode(F.array_append(F.coalesce(keys, F.array().cast("array<string>")), F.lit(None))).alias("key"),
+    ).groupBy("_path", "source_file", "_block", F.trim("key").alias("key")).agg(
+        F.min("_id").alias("first"), F.max("_id").alias("last"), F.sum(F.when(F.col("key").isNull(), F.col("broken"))).alias("broken")
+    )
+    seen = cut(seen, "splits")
+    names = seen.where(F.col("key").isNotNull()).groupBy("_path").agg(F.array_sort(F.collect_set("key")).alias("header"))
+    splits = seen.where(F.col("key").isNull()).select("_path", "source_file", "_block", "first", "last")
+    broken = seen.groupBy("source_file").agg(F.coalesce(F.sum("broken"), F.lit(0)).alias("broken"))
+    return splits.join(names, "_path", "left"), broken
+
+
+def _numbered_places(places: DataFrame) -> DataFrame:
+    """Add ``before``: rows of the dump ahead of the split. One narrow row per split is ordered per dump."""
+    earlier = Window.partitionBy("source_file").orderBy("_path", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    return places.withColumn("before", F.coalesce(F.sum(F.col("last") - F.col("first") + 1).over(earlier), F.lit(0)))
+
+
+def open_dumps(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    fmt: str = "csv",
+    sep: str = ",",
+    limit_files: int | None = None,
+    multi_line: bool = False,
+) -> Dumps:
+    """List the dumps under ``path`` and go over their text once.
+
+    ``limit_files`` keeps the first dumps by name before anything is read.
+    ``multi_line`` allows line breaks inside quoted cells, at the price that a
+    file is read in one piece.
+    """
+    if fmt not in FORMATS:
+        raise ValueError(f"unknown format {fmt}, expected one of {FORMATS}")
+    path = [path] if isinstance(path, str) else list(path)
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    files = listing.select(
+        F.col("_metadata.file_path").alias("file_path"), _dump_name().alias("source_file"), F.col("path").alias("raw_path")
     )
+    if limit_files is not None:
+        kept = files.select("source_file").distinct().orderBy("source_file").limit(limit_files)
+        files = files.join(kept, "source_file", "left_semi")
+        folder = F.regexp_extract("raw_path", r"^(.*/source_file=[^/]+)/[^/]+$", 1)
+        # One place per dump that is kept.
+        path = [r[0] for r in files.select(F.when(folder != "", folder).otherwise(F.col("raw_path"))).distinct().collect()]
+    files = cut(files.select("file_path", "source_file"), "files")
+    nothing = spark.createDataFrame([], "source_file string, broken long")
+    if fmt == "parquet":
+        if not path:
+            names = []
+        else:
+            names = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(*path).columns
+        headers = files.select("source_file").distinct().select("source_file", F.explode(F.array(*[F.lit(c) for c in names]).cast("array<string>")).alias("header"))
+        return Dumps(path, fmt, sep, False, files, spark.createDataFrame([], "_path string"), headers, nothing)
+    if not path:
+        places = spark.createDataFrame([], "_path string, source_file string, _block long, first long, last long, header array<string>, before long")
+        return Dumps(path, fmt, sep, multi_line, files, places, spark.createDataFrame([], "source_file string, header string"), nothing)
+    lines = _lines(spark, path, fmt, sep, multi_line)
+    places, broken = _csv_places(lines, sep, multi_line) if fmt == "csv" else _json_places(lines)
+    places = cut(_numbered_places(places), "places")
+    headers = places.select("source_file", F.explode("header").alias("header")).where("header <> ''").distinct()
+    return Dumps(path, fmt, sep, multi_line, files, places, headers, broken)
 
 
 def dump_headers(
     spark: SparkSession, path: str | Sequence[str], fmt: str = "csv", sep: str = ","
 ) -> DataFrame:
     """(dump, header) pairs found in the files of a directory."""
-    if fmt == "csv":
-        found = first_lines(spark, path, sep).select("source_file", F.explode("header").alias("header"))
-    elif fmt == "json":
-        rows = spark.read.option("recursiveFileLookup", True).text(path)
-        keys = F.json_object_keys("value")
-        found = rows.select(_dump_name().alias("source_file"), F.explode(keys).alias("header"))
-    elif fmt == "parquet":
-        names = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(path)
-        found = (
-            names.select(_dump_name().alias("source_file"))
-            .distinct()
-            .select("source_file", F.explode(F.array(*[F.lit(c) for c in names.columns])).alias("header"))
-        )
-    else:
-        raise ValueError(f"unknown format {fmt}, expected one of {FORMATS}")
+    found = open_dumps(spark, path, fmt, sep).headers
     return found.select("source_file", F.trim("header").alias("header")).distinct()
 
 
 def check_headers(headers: DataFrame) -> DataFrame:
     """Headers outside the contract, per dump; empty means the dumps may be landed."""
-    known = headers.sparkSession.createDataFrame([(h,) for h in HEADERS], "header string")
-    return headers.join(F.broadcast(known), "header", "left_anti").select("source_file", "header")
+    return headers.where(~F.col("header").isin(HEADERS)).select("source_file", "header")
 
 
 def require_known_headers(headers: DataFrame) -> None:
-    unknown = check_headers(headers).select("header").distinct().orderBy("header").limit(20).collect()
+    """Raise with every unknown name."""
+    unknown = check_headers(headers).agg(F.array_sort(F.collect_set("header"))).first()[0]
     if unknown:
-        raise UnknownHeadersError(f"unknown source headers: {[r.header for r in unknown]}")
+        raise UnknownHeadersError(f"unknown source headers: {unknown}")
+
+
+def require_whole_rows(dumps: Dumps) -> None:
+    """Raise when lines of a dump are no rows: an open quote, or text that is no JSON object."""
+    broken = dumps.broken.where("broken > 0").agg(F.count("*"), F.sum("broken"), F.min("source_file")).first()
+    if broken[0]:
+        hint = "; multi_line reads cells with line breaks" if dumps.fmt == "csv" else ""
+        raise BrokenRowsError(f"{broken[1]} broken lines in {broken[0]} dumps, the first of them {broken[2]}{hint}")
 
 
 def rename_headers(dump: DataFrame) -> DataFrame:
@@ -168,7 +309,7 @@ def number_rows(scanned: DataFrame) -> DataFrame:
     located = scanned.withColumn("_task", F.shiftright("_id", 33))
     return (
         located.join(
-            F.broadcast(offsets.withColumnRenamed("_task", "_block_task")),
+            offsets.withColumnRenamed("_task", "_block_task"),
             (F.col("_task") == F.col("_block_task")) & F.col("_id").between(F.col("_first"), F.col("_last")),
         )
         .withColumn("source_row_number", F.col("_id") + F.col("_offset"))
@@ -194,37 +335,61 @@ def _with_coordinates(rows: DataFrame) -> DataFrame:
     )
 
 
-def _scan_csv(spark: SparkSession, path, sep: str) -> tuple[DataFrame, list[str]]:
-    heads = first_lines(spark, path, sep)
-    layouts = heads.select("header").distinct().limit(2).collect()
-    reader = _reader(spark, sep).option("header", True).option("recursiveFileLookup", True)
-    if len(layouts) <= 1:
-        headers = list(layouts[0].header) if layouts else HEADERS
-        schema = T.StructType([T.StructField(h, T.StringType()) for h in headers])
-        return _with_coordinates(reader.schema(schema).csv(path)), headers
-    # Files differ in their columns: read cells by position, pick them by each file's own header.
-    width = heads.agg(F.max(F.size("header"))).first()[0]
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
-    rows = _with_coordinates(reader.schema(schema).csv(path))
-    joined = rows.join(heads.select(F.col("file_path").alias("_path"), "header"), "_path")
-    cells = F.array(*[f"_c{i}" for i in range(width)])
-    # get() past either end of the cells is NULL, which is also what an absent header reads as.
-    return (
-        joined.select(
-            *[F.get(cells, F.array_position("header", h).cast("int") - 1).alias(h) for h in HEADERS],
-            "_filled",
-            "source_file",
-            "_path",
-            "_block",
-            "_id",
-        ),
-        HEADERS,
+def _placed(lines: DataFrame, dumps: Dumps, *more: str) -> DataFrame:
+    """Data rows with ``source_row_number``; header lines, and dumps that aren't wanted, fall away."""
+    places = dumps.places.select("_path", "_block", "first", "last", "before", *more)
+    if places.count() <= BROADCAST_SPLITS:
+        places = F.broadcast(places)
+    inside = F.col("_id") >= F.col("first")
+    # Both passes split the files alike; if a listing changed in between, stop rather than misnumber.
+    checked = F.when(F.col("_id") <= F.col("last"), F.col("_id") - F.col("first") + F.col("before") + 2).otherwise(
+        F.raise_error(F.lit("the files changed while they were landed")).cast("long")
     )
+    return lines.join(places, ["_path", "_block"]).where(inside).withColumn("source_row_number", checked)
+
+
+def _csv_rows(spark: SparkSession, dumps: Dumps, extra_cells: str) -> tuple[DataFrame, list[str] | None]:
+    """Rows with their cells as contract columns; the layout if all files share one, else a ``cells`` map."""
+    lines = _lines(spark, dumps.path, "csv", dumps.sep, dumps.multi_line)
+    layouts = dumps.places.where(F.col("header").isNotNull()).select("header").distinct().limit(2).collect()
+    beyond = F.raise_error(F.concat(F.lit("a row has more cells than its header has names, in "), F.col("source_file"))).cast("string")
+    if len(layouts) <= 1 and not dumps.multi_line:
+        headers = list(layouts[0].header) if layouts else list(HEADERS)
+        width = len(headers) + 1
+        rows = _placed(lines, dumps).withColumn("_row", _parsed(F.col("value"), dumps.sep, width))
+        cells = {h: F.col(f"_row._c{i}") for i, h in enumerate(headers) if h}
+        over = F.col(f"_row._c{width - 1}").isNotNull()
+        keep = [F.when(over, beyond).otherwise(c) if extra_cells == "raise" and k == 0 else c for k, c in enumerate(cells.values())]
+        return rows.select("source_file", "_path", "_id", "source_row_number", *[c.alias(h) for h, c in zip(cells, keep)]), list(cells)
+    # Files differ in their columns: cells by position, named by each file's own header.
+    rows = _placed(lines, dumps, "header")
+    if not dumps.multi_line:
+        width = (dumps.places.agg(F.max(F.size("header"))).first()[0] or 0) + 1
+        rows = rows.withColumn("cells", _as_array(_parsed(F.col("value"), dumps.sep, width), width))
+    n = F.size("header")
+    named = F.filter(F.arrays_zip(F.col("header").alias("h"), F.slice("cells", 1, n).alias("c")), lambda e: e["h"] != "")
+    over = F.exists(F.slice("cells", n + 1, MOST_COLUMNS), lambda c: c.isNotNull())
+    cells = F.map_from_entries(named)
+    if extra_cells == "raise":
+        cells = F.when(over, F.map_from_arrays(F.array(beyond), F.array(beyond))).otherwise(cells)
+    return rows.select("source_file", "_path", "_id", "source_row_number", cells.alias("cells")), None
+
+
+def _json_rows(spark: SparkSession, dumps: Dumps) -> DataFrame:
+    lines = _lines(spark, dumps.path, "json", dumps.sep, False)
+    own = F.transform_keys(F.from_json("value", "map<string,string>"), lambda k, v: F.trim(k))
+    # The names of the file, in the row's own spelling of the values; a line that is no object keeps its text.
+    whole = F.map_from_arrays("header", F.transform("header", lambda h: F.element_at(F.col("_own"), h)))
+    return _placed(lines, dumps, "header").withColumn("_own", own).select(
+        "source_file", "_path", "_id", "source_row_number",
+        F.when(F.json_object_keys("value").isNotNull(), whole).alias("cells"),
+        F.when(F.json_object_keys("value").isNull() & (F.trim("value") != ""), F.col("value")).alias("_broken"),
+    )
 
 
 def landing_scan(
     spark: SparkSession,
-    path: str | Sequence[str],
+    path: str | Sequence[str] | None = None,
     fmt: str = "csv",
     sheet: str = "bets",
     sep: str = ",",
@@ -232,50 +397,65 @@ def landing_scan(
     limit_rows: int | None = None,
     first_id: int = 1,
     with_raw_payload: bool = True,
+    multi_line: bool = False,
+    tolerant: bool = False,
+    extra_cells: str = "raise",
+    dumps: Dumps | None = None,
 ) -> DataFrame:
-    """Read every dump under ``path`` into the raw landing shape.
+    """Read every dump under ``path`` (or of ``dumps``) into the raw landing shape.
 
-    Unknown headers are an error; absent ones become NULL. ``first_id`` starts
-    the ingestion ids, which stay unique and follow scan order.
+    Unknown headers are an error; absent ones become NULL. Lines that are no rows
+    are an error too; ``tolerant`` keeps them, as rows whose payload is the line
+    (JSON) or as the reader takes them (CSV). ``extra_cells`` beyond the header
+    "raise" or "drop". ``first_id`` starts the ingestion ids, which stay unique and
+    follow scan order.
     """
-    require_known_headers(dump_headers(spark, path, fmt, sep))
-    if fmt == "csv":
-        rows, headers = _scan_csv(spark, path, sep)
+    dumps = dumps or open_dumps(spark, path, fmt, sep, limit_files, multi_line)
+    require_known_headers(dumps.headers.select("source_file", F.trim("header").alias("header")))
+    if not tolerant:
+        require_whole_rows(dumps)
+    headers: list[str] | None = None
+    if not dumps.path:
+        rows = spark.createDataFrame([], "source_file string, _path string, _id long, source_row_number long")
+        headers = []
+    elif dumps.fmt == "csv":
+        rows, headers = _csv_rows(spark, dumps, extra_cells)
+    elif dumps.fmt == "json":
+        rows = _json_rows(spark, dumps)
     else:
-        reader = spark.read.option("recursiveFileLookup", True)
-        if fmt == "json":
-            schema = T.StructType([T.StructField(h, T.StringType()) for h in HEADERS])
-            rows = reader.schema(schema).json(path)
-        else:
-            rows = reader.option("mergeSchema", True).parquet(path)
-        headers = list(rows.columns)
-        rows = _with_coordinates(rows)
-    numbered = number_rows(rows).where("_filled")
-    columns = [HEADER_TO_COLUMN[h.strip()] for h in headers]
-    landed = cells_to_text(rename_headers(numbered), columns)
-    if with_raw_payload:
-        landed = with_payload(landed, columns)
+        read = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(*dumps.path)
+        headers = list(read.columns)
+        rows = number_rows(_with_coordinates(read)).where("_filled")
+    if headers is not None:
+        columns = [HEADER_TO_COLUMN[h.strip()] for h in headers]
+        cells = F.coalesce(*[F.col(f"`{h}`").cast("string") for h in headers]) if headers else F.lit(None).cast("string")
+        filled = rows if dumps.fmt == "parquet" else rows.withColumn("_any", cells).where("_any is not null").drop("_any")
+        landed = cells_to_text(rename_headers(filled), columns)
+        landed = with_payload(landed, columns) if with_raw_payload and columns else landed.withColumn("raw_payload", F.lit(None).cast("string"))
+        landed = fill_contract(landed)
     else:
-        landed = landed.withColumn("raw_payload", F.lit(None).cast("string"))
-    landed = fill_contract(landed).withColumns(
+        clean = F.transform_values("cells", lambda k, v: cell_to_text(v, "string"))
+        held = rows.withColumn("cells", clean)
+        kept = F.exists(F.map_values("cells"), lambda v: v.isNotNull())
+        payload = F.to_json("cells", {"ignoreNullFields": "false"})
+        if "_broken" in rows.columns:
+            kept, payload = F.coalesce(kept, F.lit(False)) | F.col("_broken").isNotNull(), F.coalesce("_broken", payload)
+        landed = held.where(kept).withColumns({column: F.col("cells")[header] for header, column in HEADER_TO_COLUMN.items()})
+        landed = landed.withColumn("raw_payload", payload if with_raw_payload else F.lit(None).cast("string"))
+    landed = landed.withColumns(
         {
             "ingestion_id": F.col("_id") + F.lit(first_id).cast("long"),
             "source_sheet": F.lit(sheet),
             "ingested_at": F.current_timestamp(),
         }
-    )
-    landed = landed.select(*RAW_COLUMNS)
-    if limit_files is not None:
-        landed = limit_to_files(landed, limit_files)
-    if limit_rows is not None:
-        landed = limit_to_rows(landed, limit_rows)
-    return landed
+    ).select(*RAW_COLUMNS)
+    return landed if limit_rows is None else limit_to_rows(landed, limit_rows)
 
 
 def limit_to_files(landed: DataFrame, files: int) -> DataFrame:
-    """Rows of the first dumps by name; the kept names are ``files`` rows, so they broadcast."""
+    """Rows of the first dumps by name, of a table that is landed already (a scan takes ``limit_files`` instead)."""
     names = landed.select("source_file").distinct().orderBy("source_file").limit(files)
-    return landed.join(F.broadcast(names), "source_file", "left_semi")
+    return landed.join(names, "source_file", "left_semi")
 
 
 def limit_to_rows(landed: DataFrame, rows: int) -> DataFrame:
@@ -289,8 +469,7 @@ def limit_to_rows(landed: DataFrame, rows: int) -> DataFrame:
         landed.where(beyond).groupBy("source_file").agg(F.min("source_row_number").alias("_stop"))
     )
     return (
-        # One narrow row per dump.
-        landed.join(F.broadcast(stops), "source_file", "left")
+        landed.join(stops, "source_file", "left")
         .where(~beyond | (F.col("source_row_number") <= F.col("_stop")))
         .select(*landed.columns)
     )
@@ -316,22 +495,40 @@ def landing_row_counts(landed: DataFrame, source_files: Sequence[str]) -> DataFr
 
 
 def next_ingestion_id(spark: SparkSession, table: str) -> int:
-    """First id above those already landed in a table folder."""
-    top = spark.read.parquet(table).agg(F.max("ingestion_id")).first()[0]
+    """First id above those already landed in a table folder; 1 where there is no table yet."""
+    try:
+        top = spark.read.schema(RAW_SCHEMA).parquet(table).agg(F.max("ingestion_id")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 1
     return 1 if top is None else top + 1
 
 
-def land(landed: DataFrame, table: str, replace_files: bool = True) -> None:
+def land(
+    landed: DataFrame, table: str, replace_files: bool = True, names: DataFrame | None = None, first_id: int | None = None
+) -> None:
     """Write landed rows to a Parquet table partitioned by dump.
 
     Replacing overwrites exactly the partitions of the incoming dumps, so a
     reload is idempotent; appending keeps what is there, so a reload doubles it.
+    ``names`` (the dumps of the run) lets a dump that became empty lose its rows;
+    with ``first_id`` the dumps that have rows are read off the table.
     """
     writer = landed.write.partitionBy("source_file")
-    if replace_files:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(table)
-    else:
+    if not replace_files:
         writer.mode("append").parquet(table)
+        return
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(table)
+    if names is not None:
+        spark = landed.sparkSession
+        filled = landed if first_id is None else read_landed(spark, table).where(F.col("ingestion_id") >= first_id)
+        emptied = names.join(filled.select("source_file").distinct(), "source_file", "left_anti")
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        for row in emptied.toLocalIterator():  # a handful: dumps without a single row
+            files.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, f"source_file={escape(row.source_file)}"), True)
 
 
 def read_landed(spark: SparkSession, table: str) -> DataFrame:
@@ -339,8 +536,10 @@ def read_landed(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.schema(RAW_SCHEMA).parquet(table).select(*RAW_COLUMNS)
 
 
-def replace_by_file(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """The same replacement as a query: existing rows of other dumps, plus the incoming rows."""
-    # One name per incoming dump; broadcast, so that a dump holding a third of the rows is not shuffled to one task.
-    names = incoming.select("source_file").distinct()
-    return existing.join(F.broadcast(names), "source_file", "left_anti").unionByName(incoming)
+def replace_by_file(existing: DataFrame, incoming: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """The same replacement as a query: existing rows of other dumps, plus the incoming rows.
+
+    ``names`` are the dumps of the run; without them, those that have incoming rows.
+    """
+    names = incoming.select("source_file").distinct() if names is None else names
+    return existing.join(names, "source_file", "left_anti").unionByName(incoming)

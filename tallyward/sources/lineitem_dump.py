@@ -8,6 +8,8 @@ repeated ids that the parsing and checking operators are there to handle.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -155,19 +157,21 @@ _CELLS = {
 }
 
 
-def lineitem_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw landing rows (without payload) from ``<sf_dir>/lineitem.parquet``."""
+def lineitem_raw(spark: SparkSession, sf_dir: str, spread: int | None = None) -> DataFrame:
+    """Raw landing rows (without payload) from ``<sf_dir>/lineitem.parquet``.
+
+    ``spread`` deals the rows to so many tasks first: for a table of a single row
+    group, which one task would read.
+    """
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
         "*",
         "_metadata.row_index as idx",
         "bigint(coalesce(nullif(regexp_extract(_metadata.file_name, 'part-([0-9]+)', 1), ''), '0')) as file_part",
     )
-    # A table smaller than the cluster (few splits) is spread before the text work;
-    # a large one already has more splits than cores and is left in place.
-    cores = spark.sparkContext.defaultParallelism
-    if items.rdd.getNumPartitions() < cores:
-        items = items.repartition(cores, "idx")
-    rows = items
+    numbers = [re.search(r"part-([0-9]+)", name.rsplit("/", 1)[-1]) for name in items.inputFiles()]
+    if len(numbers) > 1 and (None in numbers or len({int(n[1]) for n in numbers}) < len(numbers)):
+        raise ValueError("several files need distinct part numbers in their names, or their rows would share positions")
+    rows = items if spread is None else items.repartition(spread, "idx")
     for step in _STEPS:
         rows = rows.selectExpr("*", *[f"{expression} as {name}" for name, expression in step.items()])
     return rows.selectExpr(

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,8 +22,25 @@ def shared_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/tallyward/{uuid.uuid4().hex}/{name}"
+    root = _SCRATCH.get() or f"{shared_root(spark)}/tallyward"
+    return f"{root}/{uuid.uuid4().hex}/{name}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Tables cut inside lie in one folder, which is removed at the end."""
+    folder = f"{shared_root(spark)}/tallyward/run-{uuid.uuid4().hex}"
+    before = _SCRATCH.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCRATCH.reset(before)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
