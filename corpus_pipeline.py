@@ -24,7 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity is out of bounds go."""
-    return perplexity.keep_good(docs, queries.quality_judge(docs, queries.table(spark, sf_dir, "labels")))
+    return perplexity.keep_good(docs, perplexity.Judge(docs, queries.table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

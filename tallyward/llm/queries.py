@@ -75,13 +75,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", id_draw(3) == 1)
 
 
-def quality_judge(docs: DataFrame, labels: DataFrame) -> perplexity.Judge:
-    return perplexity.Judge(perplexity.trusted_texts(docs, labels))
-
-
 def op9_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return perplexity.classify(docs, quality_judge(docs, table(spark, sf_dir, "labels")))
+    return perplexity.Judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).report()
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -199,8 +199,8 @@ def test_chunks_do_not_matter(monkeypatch):
 
 def test_perplexity_on_held_out_labels(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
-    fitted = perplexity.Judge(perplexity.trusted_texts(docs.where("doc_id % 2 = 0"), labels))
-    found = perplexity.classify(docs.where("doc_id % 2 = 1"), fitted).join(labels, "doc_id")
+    fitted = perplexity.Judge(docs.where("doc_id % 2 = 0"), labels)
+    found = fitted.judged(docs.where("doc_id % 2 = 1"), "verdict").select("doc_id", "verdict.kept").join(labels, "doc_id")
     counts = {(r["quality"], r["kept"]): r["n"] for r in found.groupBy("quality", "kept").agg(F.count("*").alias("n")).collect()}
     assert counts.get((1, False), 0) <= 0.02 * counts[1, True]
     assert counts[0, False] >= 0.85 * (counts[0, False] + counts.get((0, True), 0))
@@ -211,11 +211,14 @@ def test_quality_edges(spark):
     odd = [(100, None, None, None, None, None, None), (101, "", "en", "", 0, "", ""), (102, "%%% $$$ ### @@@ !!! &&& *** ||| ===", "en", "", 0, "", ""), (None, "plain words go.", "xx", "", 0, "", "")]
     docs = spark.createDataFrame(rows + odd, DOCS).withColumn("_quality", F.lit(1))
     labels = spark.createDataFrame([(k, 1, 0) for k in range(60)] + [(0, 0, 0), (1, None, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
-    assert perplexity.trusted_texts(docs, labels).count() == 59
-    fitted = perplexity.Judge(perplexity.trusted_texts(docs, labels))
+    assert perplexity.trusted_ids(labels).count() == 59
+    fitted = perplexity.Judge(docs, labels)
+    report = {r["doc_id"]: r for r in fitted.report().collect()}
+    assert len(report) == 64 and report[100]["perplexity"] is None and report[100]["kept"] and not report[102]["kept"]
     kept = perplexity.keep_good(docs, fitted)
     assert kept.columns == docs.columns
     ids = {r["doc_id"] for r in kept.collect()}
     assert {100, 101, None} <= ids and 102 not in ids
-    nothing = perplexity.Judge(perplexity.trusted_texts(docs, labels.limit(0)))
-    assert perplexity.keep_good(docs, nothing).count() == 64 and perplexity.classify(docs.limit(0), fitted).collect() == []
+    nothing = perplexity.Judge(docs, labels.limit(0))
+    assert perplexity.keep_good(docs, nothing).count() == 64 and all(r["kept"] for r in nothing.report().collect())
+    assert perplexity.keep_good(docs.limit(0), fitted).collect() == [] and perplexity.Judge(docs.limit(0), labels).report().collect() == []
