@@ -44,7 +44,11 @@ def cell_to_text(value: Column, type_name: str = "string") -> Column:
         text = value.cast("string")
         # Plain digits in the range where a spreadsheet shows them, instead of 1.0E7.
         plain = F.regexp_replace(text.try_cast("decimal(38,18)").cast("string"), r"(\.\d+?)0*$", "$1")
-        return F.when(text.contains("E") & F.abs(value).between(1e-4, 1e16), plain).otherwise(text)
+        # Beyond it, the shortest exponent form: 1e-05, 2.5e+17.
+        power = F.regexp_extract(text, "E(-?[0-9]+)$", 1).try_cast("int")
+        short = F.regexp_replace(F.regexp_extract(text, "^(.*)E", 1), r"\.0$", "")
+        exponent = F.concat(short, F.format_string("e%s%02d", F.when(power < 0, "-").otherwise("+"), F.abs(power)))
+        return F.when(~text.contains("E"), text).when(F.abs(value).between(1e-4, 1e16), plain).otherwise(exponent)
     if type_name != "string":
         return value.cast("string")
     return F.regexp_replace(value, r"(?U)^\s+|\s+\z", "")

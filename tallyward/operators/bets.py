@@ -92,7 +92,9 @@ def with_surrogate_keys(staged: DataFrame) -> DataFrame:
     )
 
 
-def rank_duplicates(staged: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def rank_duplicates(
+    staged: DataFrame, block_rows: int = BLOCK_ROWS, last_positions: DataFrame | None = None
+) -> DataFrame:
     """Rank rows that share file, uuid and ticket, over the whole file; also the group size."""
     ranked = number_within_key(
         staged,
@@ -103,16 +105,19 @@ def rank_duplicates(staged: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFram
         rank_name="duplicate_rank",
         size_name="bet_key_rows",
         block_rows=block_rows,
+        last_positions=last_positions,
     )
     return ranked.withColumn("is_duplicate_bet_key", F.col("duplicate_rank") > 1)
 
 
-def key_bets(staged: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def key_bets(
+    staged: DataFrame, block_rows: int = BLOCK_ROWS, last_positions: DataFrame | None = None
+) -> DataFrame:
     """Every staged column plus keys, duplicate rank and key group size.
 
     This is what later stages read; ``fct_bets`` is its public projection.
     """
-    return with_surrogate_keys(rank_duplicates(staged, block_rows))
+    return with_surrogate_keys(rank_duplicates(staged, block_rows, last_positions))
 
 
 def fct_bets(bets: DataFrame) -> DataFrame:

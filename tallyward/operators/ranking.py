@@ -20,6 +20,7 @@ def number_within_key(
     rank_name: str,
     size_name: str,
     block_rows: int = BLOCK_ROWS,
+    last_positions: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``row_number()`` and ``count(*)`` per key, ordered by position, NULL keys grouped.
 
@@ -31,15 +32,16 @@ def number_within_key(
     the empty broadcast and drops the whole correction branch.
 
     ``scope`` is the key column naming the dump that ``position`` counts within.
+    ``last_positions`` (scope, _last) saves a pass over ``df`` where the last
+    positions are known already. ``block_rows`` never changes a result.
     """
     block = "_block"
-    parts = [f"_key{i}" for i in range(len(key))]
-    # NULL-safe equality by value: a NULL part and an empty part stay different.
-    encoded = {
-        part: F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit(""))
-        for part, name in zip(parts, key)
-    }
-    keyed = df.withColumns({**encoded, block: F.floor(F.col(position) / F.lit(block_rows)).cast("long")})
+    parts = ["_key"]
+    # One digest per row, so that window and join share their partitioning. A NULL part differs from an empty one.
+    text = [F.col(name).cast("string") for name in key]
+    encoded = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit("="), t), F.lit("-")) for t in text]
+    digest = F.unhex(F.md5(F.concat(*encoded)))
+    keyed = df.withColumns({"_key": digest, block: F.floor(F.col(position) / F.lit(block_rows)).cast("long")})
 
     in_block = Window.partitionBy(*parts, block)
     local = keyed.withColumns(
@@ -49,16 +51,16 @@ def number_within_key(
         }
     )
 
-    # At most one row per block_rows rows of input, hence a bounded broadcast.
+    if last_positions is None:
+        last_positions = df.groupBy(scope).agg(F.max(position).alias("_last"))
     long_dumps = (
-        df.groupBy(scope)
-        .agg(F.max(position).alias("_last"))
+        last_positions
         .where(F.col("_last") >= block_rows)
         .select(scope)
     )
     over_key = Window.partitionBy(*parts)
     crossing = (
-        keyed.join(F.broadcast(long_dumps), scope, "left_semi")
+        keyed.join(long_dumps, scope, "left_semi")
         .groupBy(*parts, block)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumns(

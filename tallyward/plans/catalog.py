@@ -25,7 +25,7 @@ from tallyward.operators import quality as Q
 from tallyward.operators import reconcile as R
 from tallyward.operators import scorecard as S
 from tallyward.operators import staging, summaries, triage
-from tallyward.operators.quantiles import exact_quantile
+from tallyward.operators.quantiles import exact_quantiles
 from tallyward.plans import pipeline
 from tallyward.session import tune
 from tallyward.sources import exports, landing
@@ -429,16 +429,8 @@ def amount_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("total_stake_amount").cast("double").alias("stake"),
         F.col("total_payout_amount").cast("double").alias("payout"),
     )
-    columns = ["stake", "payout"]
-    halves = exact_quantile(amounts, columns, 0.5).select(F.struct(*columns)).scalar()
-    return (
-        exact_quantile(amounts, columns, 0.95)
-        .withColumn("_half", halves)
-        .select(
-            *[F.round(c, 6).alias(f"{c}_95") for c in columns],
-            *[F.round(f"_half.{c}", 6).alias(f"{c}_50") for c in columns],
-        )
-    )
+    wanted = [(f"{c}_{int(100 * q)}", c, q) for c in ("stake", "payout") for q in (0.5, 0.95)]
+    return exact_quantiles(amounts, wanted).select(*[F.round(name, 6).alias(name) for name, _, _ in wanted])
 
 
 TRIAGE: dict[str, Query] = {

@@ -176,7 +176,9 @@ def _run(
     counts = cut(files.join(in_table, "source_file", "left").fillna(0, ["row_count"]), "dump_rows")
 
     # Readers of this table take just the columns they need.
-    keyed = cut(bets.key_bets(staging.stage_bets(landed, parse_mode, date_formats)), "bets")
+    last = landed.groupBy("source_file").agg(F.max("source_row_number").alias("_last"))
+    staged = staging.stage_bets(landed, parse_mode, date_formats)
+    keyed = cut(bets.key_bets(staged, last_positions=last), "bets")
     models = {
         "dim_customers": bets.dim_customers(keyed),
         "dim_events": bets.dim_events(keyed),

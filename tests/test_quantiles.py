@@ -25,3 +25,14 @@ def test_matches_linear_interpolation(spark, monkeypatch, bracketed, q):
 def test_bracket_keeps_few_values(spark):
     df = spark.range(200000).select(F.col("id").cast("double").alias("x"))
     assert quantiles.exact_quantile(df, ["x"], 0.5).first().x == 99999.5
+
+
+def test_several_at_once_and_split_tally(spark):
+    values = np.random.default_rng(3).normal(size=3000)
+    df = spark.createDataFrame(__import__("pandas").DataFrame({"x": values})).repartition(3)
+    wanted = [(f"q{k}", "x", q) for k, q in enumerate((0.0, 0.1, 0.5, 0.9, 1.0))]
+    for small_rows in (0, 20000):
+        row = quantiles.exact_quantiles(df, wanted, small_rows).first()
+        inner = range(5) if small_rows else (0, 2, 4)
+        for k in inner:
+            assert row[f"q{k}"] == pytest.approx(np.quantile(values, wanted[k][2]), abs=1e-12)
