@@ -178,3 +178,34 @@ def test_against_duckdb(spark, name):
     expected = sorted((str([r[names.index(c)] for c in order]) for r in result.fetchall()))
     got = sorted(str([r[c] for c in order]) for r in df.collect())
     assert got == expected
+
+
+def clean_dump(folder, name, rows):
+    os.makedirs(folder, exist_ok=True)
+    cells = {"REFID": "r", "UUID": "u", "Ticket No": "t", "Bookmaker": "BM", "Bet Date": "2026-03-01", "Bet Time": "10:00:00",
+             "Event Date": "2026-03-01", "Event Time": "12:00:00", "Bet Amount Win": "10.00", "Win Payout Amount": "0"}
+    with open(f"{folder}/{name}", "w") as out:
+        out.write(",".join(cells) + "\n")
+        for k in range(rows):
+            out.write(",".join(v + str(k) if h in ("REFID", "UUID", "Ticket No") else v for h, v in cells.items()) + "\n")
+
+
+def test_a_clean_run_passes_and_an_empty_dump_does_not(spark, tmp_path):
+    raw, table, out = (str(tmp_path / n) for n in ("in", "raw", "out"))
+    clean_dump(raw, "a.csv", 5)
+    clean_dump(raw, "b.csv", 3)
+    record = pipeline.run_pipeline(spark, raw, table, out, skip_ml=True)
+    assert record.output_rows["alert_feed"] == record.output_rows["daily_issue_summary"] == 0
+    assert record.source_row_count == 8 and exports.exported_size(spark, f"{out}/alert_feed.csv") > 0
+    # Intermediate tables are gone.
+    root = spark.conf.get("spark.checkpoint.dir")
+    assert not [d for d in os.listdir(f"{root}/tallyward") if d.startswith("run-")]
+    clean_dump(raw, "b.csv", 0)
+    with pytest.raises(gates.QualityGateError, match="raw_rows_loaded failed for b.csv"):
+        pipeline.run_pipeline(spark, raw, table, out, skip_ml=True)
+    with open(f"{raw}/b.csv", "w") as file:
+        file.write("REFID,UUID,Bet Date\nr,,2026-03-01\n")
+    with pytest.raises(assertions.AssertionsError, match="not_null raw.source_uuid: 1 rows"):
+        pipeline.run_pipeline(spark, raw, table, out, skip_ml=True)
+    record = pipeline.run_pipeline(spark, raw, table, out, skip_ml=True, enforce=False, replace_files=False)
+    assert record.assertions["not_null raw.source_uuid"] == 2 and "unique raw.ingestion_id" not in record.assertions

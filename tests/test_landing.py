@@ -138,3 +138,86 @@ def test_append_doubles_and_replace_does_not(spark, mixed, tmp_path):
 
 def test_contract_has_52_headers():
     assert len(HEADERS) == 52 and len(RAW_COLUMNS) == 58
+
+
+def test_all_unknown_headers_are_reported(spark, tmp_path):
+    write(str(tmp_path), "b.csv", [",".join(["REFID", *[f"X{k:02d}" for k in range(30)], '"Foo, Bar"']), "1"])
+    with pytest.raises(landing.UnknownHeadersError) as error:
+        landing.landing_scan(spark, str(tmp_path))
+    assert all(f"X{k:02d}" in str(error.value) for k in range(30)) and "'Foo, Bar'" in str(error.value)
+
+
+def test_separators_of_any_kind(spark, tmp_path):
+    write(str(tmp_path), "b.csv", ["REFID^UUID", "r1^u1"])
+    assert landing.landing_scan(spark, str(tmp_path), sep="^").first().source_uuid == "u1"
+    write(str(tmp_path / "two"), "b.csv", ["REFID||UUID", "r1||u1"])
+    assert landing.landing_scan(spark, str(tmp_path / "two"), sep="||").first().source_uuid == "u1"
+
+
+def test_limited_files_are_not_validated(spark, tmp_path):
+    folder = str(tmp_path)
+    write(folder, "a.csv", ["REFID", "1"])
+    write(folder, "b.csv", ["Unexpected", "1"])
+    write(folder, "source_file=a0.csv/part-0.csv", ["REFID", "7"])
+    got = landing.landing_scan(spark, folder, limit_files=2).orderBy("source_file").collect()
+    assert [(r.source_file, r.refid) for r in got] == [("a.csv", "1"), ("a0.csv", "7")]
+    with pytest.raises(landing.UnknownHeadersError):
+        landing.landing_scan(spark, folder, limit_files=3)
+
+
+def test_json_padding_and_broken_lines(spark, tmp_path):
+    lines = ['{" Bookmaker ": " BM ", "REFID": 8.50}', '{"REFID": "r2"}']
+    write(str(tmp_path / "j"), "d.json", lines)
+    first, second = landing.landing_scan(spark, str(tmp_path / "j"), "json").orderBy("source_row_number").collect()
+    assert (first.bookmaker, first.refid, second.bookmaker) == ("BM", "8.5", None)
+    assert json.loads(second.raw_payload) == {"Bookmaker": None, "REFID": "r2"}
+    write(str(tmp_path / "k"), "d.json", [lines[0], '{"REFID": ', "", lines[1]])
+    with pytest.raises(landing.BrokenRowsError, match="1 broken lines in 1 dumps, the first of them d.json"):
+        landing.landing_scan(spark, str(tmp_path / "k"), "json")
+    kept = landing.landing_scan(spark, str(tmp_path / "k"), "json", tolerant=True).orderBy("source_row_number").collect()
+    assert [(r.source_row_number, r.refid) for r in kept] == [(2, "8.5"), (3, None), (5, "r2")]
+    assert kept[1].raw_payload == '{"REFID": '
+
+
+def test_line_breaks_inside_cells(spark, tmp_path):
+    write(str(tmp_path), "b.csv", ["REFID,Bet Details", 'r1,"one', 'two"', "r2,x"])
+    with pytest.raises(landing.BrokenRowsError, match="multi_line"):
+        landing.landing_scan(spark, str(tmp_path))
+    rows = landing.landing_scan(spark, str(tmp_path), multi_line=True).orderBy("source_row_number").collect()
+    assert [(r.source_row_number, r.refid, r.bet_details) for r in rows] == [(2, "r1", "one\ntwo"), (3, "r2", "x")]
+    assert json.loads(rows[1].raw_payload) == {"REFID": "r2", "Bet Details": "x"}
+
+
+@pytest.mark.parametrize("other", [[], ["UUID", "u1"]])
+def test_cells_beyond_the_header(spark, tmp_path, other):
+    write(str(tmp_path), "b.csv", ["REFID,Venue", "r1,v,more"])
+    if other:
+        write(str(tmp_path), "c.csv", other)
+    with pytest.raises(Exception, match="more cells than its header"):
+        landing.landing_scan(spark, str(tmp_path)).collect()
+    rows = landing.landing_scan(spark, str(tmp_path), extra_cells="drop").orderBy("source_file").collect()
+    assert (rows[0].refid, rows[0].venue) == ("r1", "v")
+
+
+def test_payload_of_mixed_layouts_is_each_dumps_own(spark, mixed):
+    rows = {(r.source_file, r.source_row_number): json.loads(r.raw_payload) for r in landing.landing_scan(spark, mixed).collect()}
+    assert rows["b.csv", 2] == {"UUID": "u1", "REFID": "r1", "Bookmaker": "BM one"}
+    assert rows["a c+d.csv", 2] == {"REFID": "q1", "Ticket No": "t1"}
+
+
+def test_emptied_dumps_and_ids(spark, tmp_path):
+    folder, table = str(tmp_path / "in"), str(tmp_path / "table")
+    assert landing.next_ingestion_id(spark, table) == 1
+    write(folder, "a b.csv", ["REFID", "1", "2"])
+    write(folder, "c.csv", ["REFID", "3"])
+    write(folder, "none.csv", [])
+    for _ in range(2):
+        dumps = landing.open_dumps(spark, folder)
+        assert {r[0] for r in dumps.names().collect()} == {"a b.csv", "c.csv", "none.csv"}
+        first = landing.next_ingestion_id(spark, table)
+        landing.land(landing.landing_scan(spark, dumps=dumps, first_id=first), table, names=dumps.names(), first_id=first)
+        write(folder, "a b.csv", ["REFID"])
+    stored = landing.read_landed(spark, table).collect()
+    assert [(r.source_file, r.refid) for r in stored] == [("c.csv", "3")] and stored[0].ingestion_id > 3
+    rows = landing.read_landed(spark, table)
+    assert landing.replace_by_file(rows, rows.limit(0), spark.createDataFrame([("c.csv",)], "source_file string")).count() == 0
