@@ -1,10 +1,11 @@
 """Toxic spans by a linear-chain conditional random field, and a document score from its marginals.
 
-Learning. Words and their beginnings are counted in all labelled training documents, toxic and clean; those that lean
-towards toxic ones by ``MIN_LEAN`` (log odds) and stand in at least ``MIN_SHARE`` of them are cues, ``MAX_CUES`` at most.
-A cue in a toxic document labels its token 1, every other token is 0. From a sample of at most ``SAMPLE_DOCS`` labelled
-documents a class (those with the smallest hashes of their ids) the weights of a two-state chain are fitted by gradient
-ascent on its likelihood, and a logistic curve from a document's marginals to its score.
+Learning, from a bounded sample: of each class at most ``SAMPLE_DOCS`` labelled documents, those with the smallest hashes
+of their ids. Their ids are few enough to be sent to every task, so no text is shuffled. Words and their beginnings are
+counted in the sample; those that lean towards toxic documents by ``MIN_LEAN`` (log odds) and stand in at least
+``MIN_SHARE`` of them are cues, ``MAX_CUES`` at most. A cue in a toxic document labels its token 1, every other token is 0.
+On the first ``FIT_DOCS`` of each class the weights of a two-state chain are fitted by gradient ascent on its likelihood,
+and a logistic curve from a document's marginals to its score.
 
 Scoring. A document is cut into sequences of ``SEQUENCE`` words. Forward-backward gives each word's marginal; sequences
 without a cue all look alike, so their sums come from a table by length. Marginals of a document add up to its score, and
@@ -28,12 +29,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyward.sources.shared import cut
+
 MIN_LEAN = 3.0
 MIN_SHARE = 0.01
 MIN_DOCS = 5
 MAX_CUES = 20_000
 BEGINNINGS = (4, 5, 6, 7)
-SAMPLE_DOCS = 2000
+SAMPLE_DOCS = 8000
+FIT_DOCS = 1500
 SEQUENCE = 64
 KINDS = 8
 CUT_SCORE = 0.7
@@ -168,8 +172,8 @@ class Model:
         out, spans = np.zeros((len(kinds), 2)), [[] for _ in kinds]
         where, rows = [], []
         for d, k in enumerate(kinds):
-            cut, rest = divmod(len(k), SEQUENCE)
-            out[d, 0] = cut * plain[SEQUENCE] + plain[rest]
+            full, rest = divmod(len(k), SEQUENCE)
+            out[d, 0] = full * plain[SEQUENCE] + plain[rest]
             if k.any():
                 for s in np.unique(np.flatnonzero(k) // SEQUENCE):
                     part = k[s * SEQUENCE : (s + 1) * SEQUENCE]
@@ -207,7 +211,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on ``docs`` with a label; leave rows out of ``docs`` to hold them out."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).dropna()
     known = known.groupBy("id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    labelled = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(known, "id")
+    order = F.xxhash64("id")
+    drawn = [known.where(F.col("toxic") == t).orderBy(order, "id").limit(SAMPLE_DOCS) for t in (0, 1)]
+    # At most 2 * SAMPLE_DOCS ids.
+    drawn = F.broadcast(drawn[0].unionByName(drawn[1]))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    labelled = cut(texts.join(drawn, "id"), "labelled")
     totals = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:
         return Model({}, None, None)
@@ -227,8 +236,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     model = Model({cue: leans[cue] for cue in best}, None, None)
     if not model.lean:
         return model
-    drawn = [known.where(F.col("toxic") == t).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS) for t in (0, 1)]
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(drawn[0].unionByName(drawn[1]), "id")
+    first = [labelled.where(F.col("toxic") == t).orderBy(order, "id").limit(FIT_DOCS) for t in (0, 1)]
+    sample = first[0].unionByName(first[1])
     lean_by_cue = model.lean
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,8 +275,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     for d, row in enumerate(rows):
         n = len(row["parts"])
         own = states[at : at + n]
-        cut, rest = divmod(row["n"], SEQUENCE)
-        plain_part = cut * base[SEQUENCE] + base[rest] - sum(base[len(p)] for p in row["parts"])
+        full, rest = divmod(row["n"], SEQUENCE)
+        plain_part = full * base[SEQUENCE] + base[rest] - sum(base[len(p)] for p in row["parts"])
         measures[d] = plain_part + own.sum(), own.max(initial=0.0)
         at += n
     model.curve = logistic(model.curve_input(measures), np.array([r["toxic"] for r in rows], float))
