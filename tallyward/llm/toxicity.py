@@ -1,9 +1,10 @@
 """Toxic spans by a linear-chain conditional random field, and a document score from its marginals.
 
 Learning, from a bounded sample: of each class at most ``SAMPLE_DOCS`` labelled documents, those with the smallest hashes
-of their ids. Their ids are few enough to be sent to every task, so no text is shuffled. Words and their beginnings are
-counted in the sample; those that lean towards toxic documents by ``MIN_LEAN`` (log odds) and stand in at least
-``MIN_SHARE`` of them are cues, ``MAX_CUES`` at most. A cue in a toxic document labels its token 1, every other token is 0.
+of their ids. Their ids are few enough to be sent to every task, so no text is shuffled. Of documents with the same
+smallest shingle hash, as copies and most near copies have, one teaches. Words are counted in the sample, and beginnings
+of words that aren't cues themselves; those that lean towards toxic documents by ``MIN_LEAN`` (log odds) and stand in at
+least ``MIN_SHARE`` of them are cues, ``MAX_CUES`` at most. A cue in a toxic document labels its token 1, any other is 0.
 On the first ``FIT_DOCS`` of each class the weights of a two-state chain are fitted by gradient ascent on its likelihood,
 and a logistic curve from a document's marginals to its score.
 
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,13 +49,10 @@ _EDGES = b".,;:!?\"'()[]{}<>|*#$%&-_"
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def cues_of(word: bytes) -> list[bytes]:
-    """The word itself and its beginnings (cut between letters); a beginning ends in *."""
-    bare = word.strip(_EDGES)
-    if not bare:
-        return []
+def beginnings(bare: bytes) -> list[bytes]:
+    """Cut between letters, and marked by a *."""
     text = bare.decode("utf-8", "replace")
-    return [bare, *(text[:k].encode() + b"*" for k in BEGINNINGS if len(text) >= k)]
+    return [text[:k].encode() + b"*" for k in BEGINNINGS if len(text) >= k]
 
 
 class Kinds(dict):
@@ -64,7 +63,8 @@ class Kinds(dict):
         self.lean = lean
 
     def __missing__(self, word: bytes) -> int:
-        best = max((self.lean.get(cue, 0.0) for cue in cues_of(word)), default=0.0)
+        bare = word.strip(_EDGES)
+        best = max((self.lean.get(cue, 0.0) for cue in (bare, *beginnings(bare))), default=0.0)
         kind = 0 if best <= 0 else min(KINDS, 1 + int(best - MIN_LEAN))
         if len(self) >= KNOWN_WORDS:
             self.clear()
@@ -193,20 +193,52 @@ class Model:
         return np.column_stack([np.ones(len(measures)), np.log1p(measures[:, 0]), measures[:, 1]])
 
 
-def count_cues(texts: DataFrame, wanted: frozenset[bytes] | None = None) -> DataFrame:
-    """(cue, docs): in how many texts each cue (of the wanted ones) stands, pre-aggregated by batch."""
+def copy_key(text: str | None) -> int:
+    """Smallest hash of the text's five-word shingles."""
+    words = words_of(text)
+    return min((xxhash.xxh3_64_intdigest(b" ".join(words[k : k + 5])) for k in range(max(1, len(words) - 4))), default=0) >> 1
+
+
+def copy_keys(texts: pd.Series) -> pd.Series:
+    return texts.map(copy_key)
+
+
+def count_cues(texts: DataFrame, wanted: frozenset[bytes] | None = None, known: frozenset[bytes] | None = None) -> DataFrame:
+    """(cue, docs): in how many texts each cue (of the wanted ones) stands, pre-aggregated by batch.
+
+    Cues are words; or, where ``known`` words are given, beginnings of all other words.
+    """
+
+    def cues(text: str | None) -> set[bytes]:
+        words = {word.strip(_EDGES) for word in words_of(text)} - {b""}
+        found = words if known is None else {cue for word in words - known for cue in beginnings(word)}
+        return found if wanted is None else found & wanted
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: Counter = Counter()
             for text in batch.column(0):
-                found = {cue for word in set(words_of(text.as_py())) for cue in cues_of(word)}
-                seen.update(found if wanted is None else found & wanted)
+                seen.update(cues(text.as_py()))
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["cue", "docs"])
 
     return texts.select("text").mapInArrow(run, "cue binary, docs long").groupBy("cue").agg(F.sum("docs").alias("docs"))
 
 
+def leaning(labelled: DataFrame, n_clean: int, n_toxic: int, known: frozenset[bytes] | None = None) -> dict[bytes, float]:
+    """Cues with their lean: frequent among toxic texts first (few, by their share), then counted among clean ones."""
+    frequent = (
+        count_cues(labelled.where("toxic = 1"), None, known)
+        .where((F.col("docs") >= max(MIN_DOCS, MIN_SHARE * n_toxic)) & (F.octet_length("cue") <= 64))
+        .orderBy(F.desc("docs"), "cue")
+        .limit(10 * MAX_CUES)
+    )
+    toxic = {bytes(r["cue"]): r["docs"] for r in frequent.collect()}
+    clean = {bytes(r["cue"]): r["docs"] for r in count_cues(labelled.where("toxic = 0"), frozenset(toxic), known).collect()}
+    odds = lambda docs, n: math.log((docs + 1) / (n + 2))
+    leans = {cue: odds(docs, n_toxic) - odds(clean.get(cue, 0), n_clean) for cue, docs in toxic.items()}
+    return {cue: lean for cue, lean in leans.items() if lean >= MIN_LEAN}
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit on ``docs`` with a label; leave rows out of ``docs`` to hold them out."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).dropna()
@@ -216,23 +248,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # At most 2 * SAMPLE_DOCS ids.
     drawn = F.broadcast(drawn[0].unionByName(drawn[1]))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    labelled = cut(texts.join(drawn, "id"), "labelled")
+    keyed = cut(texts.join(drawn, "id").withColumn("copies", F.pandas_udf(copy_keys, "long")(F.col("text"))), "labelled")
+    first = keyed.groupBy("toxic", "copies").agg(F.min("id").alias("id")).select("id")
+    labelled = keyed.drop("copies").join(F.broadcast(first), "id", "left_semi")
     totals = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:
         return Model({}, None, None)
     n_clean, n_toxic = totals[0], totals[1]
-    # Cues frequent among toxic documents first (few, by their share), then those counted among clean ones.
-    frequent = (
-        count_cues(labelled.where("toxic = 1"))
-        .where((F.col("docs") >= max(MIN_DOCS, MIN_SHARE * n_toxic)) & (F.octet_length("cue") <= 64))
-        .orderBy(F.desc("docs"), "cue")
-        .limit(10 * MAX_CUES)
-    )
-    toxic = {bytes(r["cue"]): r["docs"] for r in frequent.collect()}
-    clean = {bytes(r["cue"]): r["docs"] for r in count_cues(labelled.where("toxic = 0"), frozenset(toxic)).collect()}
-    odds = lambda docs, n: math.log((docs + 1) / (n + 2))
-    leans = {cue: odds(docs, n_toxic) - odds(clean.get(cue, 0), n_clean) for cue, docs in toxic.items()}
-    best = sorted((cue for cue in leans if leans[cue] >= MIN_LEAN), key=lambda cue: (-leans[cue], cue))[:MAX_CUES]
+    leans = leaning(labelled, n_clean, n_toxic)
+    leans |= leaning(labelled, n_clean, n_toxic, frozenset(leans))
+    best = sorted(leans, key=lambda cue: (-leans[cue], cue))[:MAX_CUES]
     model = Model({cue: leans[cue] for cue in best}, None, None)
     if not model.lean:
         return model
