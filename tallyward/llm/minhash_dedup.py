@@ -7,8 +7,9 @@ similarity for short texts too. ``BINS / ROWS`` bands give buckets.
 
 Candidates are stars: each bucket names one centre, and only pairs of centre and member are compared, so a bucket of m
 classes gives m - 1 pairs. Pairs are confirmed on the full sets. Buckets whose members aren't all in one component yet
-name another centre in the next round, and rounds go on until ``QUIET`` of them in turn have linked nothing. At
-similarity 0.75 a pair shares no bucket with a chance of 5e-6.
+name ``CENTRES`` others in the next round, members of the smallest components first, so that stragglers get compared with
+all of their bucket. Rounds go on until ``QUIET`` of them in turn have linked nothing. At similarity 0.75 a pair shares no
+bucket with a chance of 5e-6.
 
 Skew: copies collapse before anything is joined; buckets are counted with partial aggregates; a centre with very many
 members is one row on the other side of a join that AQE splits.
@@ -36,6 +37,7 @@ WORDS = 5
 NUMERATOR, DENOMINATOR = 75, 100
 BINS, ROWS = 128, 4
 QUIET = 2
+CENTRES = 4
 KNOWN_WORDS = 200_000
 
 _U = np.uint64
@@ -125,10 +127,7 @@ def hash_sets(docs: DataFrame, words: int, bins: int = 0, rows: int = ROWS) -> D
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, numerator: int, denominator: int) -> DataFrame:
-    """Pairs (a, b) of class representatives whose full sets are similar enough."""
-    sizes = lambda side: reps.select(F.col("rep").alias(side), F.col("n_shingles").alias(f"n_{side}"))
-    fits = F.least("n_a", "n_b") * denominator >= F.greatest("n_a", "n_b") * numerator
-    pairs = cut(pairs.join(sizes("a"), "a").join(sizes("b"), "b").where(fits), "pairs")
+    """Pairs (a, b) of class representatives, with their sets' sizes, whose full sets are similar enough."""
     wanted = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
     wanted = wanted.join(reps.select("rep", "set_key"), "rep")
     texts = docs.join(wanted.select(F.col("rep").alias("id")), "id", "left_semi")
@@ -142,6 +141,18 @@ def confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, nu
     return pairs.join(side("b"), "b").join(side("a"), "a").where(similar).select("a", "b")
 
 
+def merged(parts: DataFrame | None, found: DataFrame) -> DataFrame:
+    """(rep, part) after the links (a, b) joined parts; only links between parts are followed."""
+    if parts is None:
+        return components(found).select(F.col("node").alias("rep"), F.col("component").alias("part"))
+    part_of = lambda end: parts.select(F.col("rep").alias(end), F.col("part").alias(f"part_{end}"))
+    between = found.join(part_of("a"), "a", "left").join(part_of("b"), "b", "left")
+    joined = components(between.select(F.coalesce("part_a", "a").alias("a"), F.coalesce("part_b", "b").alias("b")))
+    joined = joined.select(F.col("node").alias("part"), F.col("component").alias("onto"))
+    fresh = joined.select(F.col("part").alias("rep")).join(parts.select("rep"), "rep", "left_anti").withColumn("part", F.col("rep"))
+    return parts.unionByName(fresh).join(joined, "part", "left").select("rep", F.coalesce("onto", "part").alias("part"))
+
+
 def near_duplicates(
     docs: DataFrame, words: int = WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR, bins: int = BINS, rows: int = ROWS,
     id_col: str = "doc_id", text_col: str = "text",
@@ -158,24 +169,31 @@ def near_duplicates(
         "classes",
     )
     reps = classes.select("rep", "set_key", "n_shingles")
-    buckets = classes.select("rep", F.explode("bands").alias("bucket"))
+    buckets = classes.select("rep", "n_shingles", F.explode("bands").alias("bucket"))
     crowded = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = cut(buckets.join(crowded, "bucket"), "buckets")
 
-    # Rows that share a set, or an id, belong together without any comparison.
-    links = cut(usable.join(classes.select("set_key", "rep"), "set_key").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct(), "copies")
-    parts, compared, quiet, turn = components(links), None, 0, 0
+    # parts: of the classes that are linked so far, the smallest one reachable.
+    parts, compared, quiet, turn = None, None, 0, 0
+    columns = ["bucket", "rep", "n_shingles", "part", "size"]
+    open_members = members.withColumn("part", F.col("rep")).withColumn("size", F.lit(1).cast("long"))
     while quiet < QUIET:
-        open_members = cut(
-            members.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("part", F.coalesce("component", "rep")).select("bucket", "rep", "part"),
-            "members",
-        )
-        order = F.xxhash64("rep", "bucket", F.lit(turn)) if turn else F.col("rep")
-        centres = open_members.groupBy("bucket").agg(
-            F.min_by("rep", order).alias("a"), F.min_by("part", order).alias("part_a"), F.min("part").alias("low"), F.max("part").alias("high")
+        order, slot = F.col("rep"), F.lit(0)
+        if turn:
+            still_open = open_members.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
+            open_members = cut(open_members.join(still_open.select("bucket"), "bucket"), "members")
+            # Small components first, in another order every round.
+            order = F.least("size", F.lit(1 << 20)) * (1 << 40) + F.pmod(F.xxhash64("rep", "bucket", F.lit(turn)), F.lit(1 << 40))
+            slot = F.pmod(F.xxhash64("rep", F.lit(turn)), F.lit(CENTRES))
+        centres = open_members.groupBy("bucket", slot.alias("slot")).agg(
+            F.min_by("rep", order).alias("a"), F.min_by("n_shingles", order).alias("n_a"), F.min_by("part", order).alias("part_a")
         )
-        pairs = open_members.join(centres.where("low <> high"), "bucket").where("part <> part_a")
-        pairs = pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
+        stars = open_members.join(centres.drop("slot"), "bucket")
+        # Sets whose sizes alone rule the similarity out need no comparison.
+        fits = F.least("n_a", "n_shingles") * denominator >= F.greatest("n_a", "n_shingles") * numerator
+        ends = [F.struct(F.col("a").alias("id"), F.col("n_a").alias("n")), F.struct(F.col("rep").alias("id"), F.col("n_shingles").alias("n"))]
+        pairs = stars.where((F.col("part") != F.col("part_a")) & fits).select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b"))
+        pairs = pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b")).distinct()
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
         pairs = cut(pairs, "candidates")
@@ -183,17 +201,22 @@ def near_duplicates(
             break
         compared = pairs if compared is None else compared.unionByName(pairs)
         found = cut(confirmed(pairs, docs, reps, words, numerator, denominator), "links")
+        turn += 1
         if found.isEmpty():
             quiet += 1
-        else:
-            quiet = 0
-            # Components hang together already; only the new links between them are added.
-            links = parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found)
-            parts = components(links)
-        turn += 1
+            continue
+        quiet = 0
+        parts = cut(merged(parts, found), "parts")
+        sized = parts.join(parts.groupBy("part").agg(F.count("*").alias("size")), "part")
+        linked = open_members.select("bucket", "rep", "n_shingles").join(sized, "rep", "left")
+        open_members = linked.withColumns({"part": F.coalesce("part", "rep"), "size": F.coalesce("size", F.lit(1))}).select(*columns)
+    # Rows that share a set, or an id, belong together without any comparison.
+    placed = usable.join(classes.select("set_key", "rep"), "set_key").select("id", "rep")
+    if parts is not None:
+        placed = placed.join(parts, "rep", "left").select("id", F.coalesce("part", "rep").alias("rep"))
     return (
         signed.select("id", "n_shingles")
-        .join(parts.withColumnRenamed("node", "id"), "id", "left")
+        .join(placed.withColumnRenamed("rep", "component"), "id", "left")
         .select(
             F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id"),
             F.coalesce(F.coalesce("component", "id") == F.col("id"), F.lit(True)).alias("kept"),
