@@ -8,8 +8,11 @@ similarity for short texts too. ``BINS / ROWS`` bands give buckets.
 Candidates are stars: each bucket names one centre, and only pairs of centre and member are compared, so a bucket of m
 classes gives m - 1 pairs. Pairs are confirmed on the full sets. Buckets whose members aren't all in one component yet
 name ``CENTRES`` others in the next round, members of the smallest components first, so that stragglers get compared with
-all of their bucket. Rounds go on until ``QUIET`` of them in turn have linked nothing. At similarity 0.75 a pair shares no
-bucket with a chance of 5e-6.
+all of their bucket. Rounds go on as long as they link something. They only save work: of the buckets that are still open
+then, all pairs whose ends aren't in one component are compared, however many unlike members a bucket has. That is done in
+tiles of the bucket, on a byte a bin of the signatures; a pair is put aside there when so few bins agree that this is
+``SIGMAS`` standard deviations off for a similar pair (a chance below 1e-9), and confirmed on the full sets otherwise. At
+similarity 0.75 a pair shares no bucket with a chance of 5e-6.
 
 Skew: copies collapse before anything is joined; buckets are counted with partial aggregates; a centre with very many
 members is one row on the other side of a join that AQE splits.
@@ -22,6 +25,7 @@ row without an id links with nothing, has no component and is kept; other input
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +40,9 @@ from tallyward.sources.shared import cut
 WORDS = 5
 NUMERATOR, DENOMINATOR = 75, 100
 BINS, ROWS = 128, 4
-QUIET = 2
+SIGMAS = 6.5
 CENTRES = 4
+TILE = 512
 KNOWN_WORDS = 200_000
 
 _U = np.uint64
@@ -107,23 +112,25 @@ def band_keys(values: np.ndarray, rows: int) -> np.ndarray:
 
 
 def hash_sets(docs: DataFrame, words: int, bins: int = 0, rows: int = ROWS) -> DataFrame:
-    """(id, n_shingles, set_key) with bands if ``bins``, else with the hashes themselves. set_key is null for empty sets."""
+    """(id, n_shingles, set_key) with bands and a byte a bin if ``bins``, else with the hashes themselves. set_key is null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, probes = WordHashes(), probe_table(bins) if bins else None
         for batch in batches:
-            sizes, keys, lists = [], [], []
+            sizes, keys, lists, sketches = [], [], [], []
             for text in batch.column(1):
                 found = shingles(text.as_py(), words, known)
                 sizes.append(len(found))
                 keys.append(hashlib.md5(found.tobytes()).digest() if len(found) else None)
-                lists.append(None if not len(found) else band_keys(signature(found, bins, probes), rows) if bins else found.astype(np.int64))
+                values = signature(found, bins, probes) if bins and len(found) else None
+                lists.append(None if not len(found) else found.astype(np.int64) if values is None else band_keys(values, rows))
+                sketches.append(None if values is None else values.astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(lists, pa.list_(pa.int64()))],
-                ["id", "n_shingles", "set_key", "hashes"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(lists, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                ["id", "n_shingles", "set_key", "hashes", "sketch"],
             )
 
-    return docs.select("id", "text").mapInArrow(run, "id long, n_shingles long, set_key binary, hashes array<long>")
+    return docs.select("id", "text").mapInArrow(run, "id long, n_shingles long, set_key binary, hashes array<long>, sketch binary")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, numerator: int, denominator: int) -> DataFrame:
@@ -153,6 +160,74 @@ def merged(parts: DataFrame | None, found: DataFrame) -> DataFrame:
     return parts.unionByName(fresh).join(joined, "part", "left").select("rep", F.coalesce("onto", "part").alias("part"))
 
 
+def least_agreement(bins: int, numerator: int, denominator: int) -> int:
+    """Bins that agree in any pair that is similar enough, but for ``SIGMAS`` standard deviations."""
+    share = numerator / denominator
+    return max(0, math.floor(bins * share - SIGMAS * math.sqrt(bins * share * (1 - share))))
+
+
+def alike(tile: pa.Table, bins: int, numerator: int, denominator: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (of side 0, of side 1) of one tile that aren't in one part and may be similar enough."""
+    side, rep, n, part = (tile.column(c).to_numpy() for c in ("side", "rep", "n_shingles", "part"))
+    minor = tile.column("minor").to_numpy(zero_copy_only=False)
+    sketch = np.frombuffer(b"".join(tile.column("sketch").to_pylist()), np.uint8).reshape(len(rep), bins)
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    least, out = least_agreement(bins, numerator, denominator), []
+    for k in right.tolist():
+        fits = np.minimum(n[left], n[k]) * denominator >= np.maximum(n[left], n[k]) * numerator
+        # Two of the smaller parts meet twice.
+        at = left[(part[left] != part[k]) & fits & ~(minor[left] & (rep[left] > rep[k]))]
+        if len(at):
+            out.append((at := at[np.count_nonzero(sketch[at] == sketch[k], axis=1) >= least], np.full(len(at), k)))
+    none = np.empty(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (none, none)
+
+
+def left_over(open_members: DataFrame, classes: DataFrame, bins: int, numerator: int, denominator: int) -> DataFrame:
+    """Pairs (a, b, n_a, n_b) of all members of one bucket that aren't in one part and may be similar enough.
+
+    Each pair has an end outside the bucket's largest part. So tiles are blocks of all members by blocks of those outside.
+    """
+    by_part = open_members.groupBy("bucket", "part").agg(F.count("*").alias("n"))
+    shape = by_part.groupBy("bucket").agg(F.max_by("part", F.struct("n", "part")).alias("major"), F.sum("n").alias("all"), F.max("n").alias("most"))
+    shape = shape.where(F.col("all") > F.col("most")).select(
+        "bucket", "major", F.ceil(F.col("all") / TILE).alias("lefts"), F.ceil((F.col("all") - F.col("most")) / TILE).alias("rights")
+    )
+    rows = open_members.join(shape, "bucket").withColumn("minor", F.col("part") != F.col("major"))
+    rows = rows.join(classes.select("rep", "sketch"), "rep")
+    block = lambda of: F.pmod(F.xxhash64("rep", "bucket"), F.col(of))
+    every = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
+    columns = ["rep", "n_shingles", "part", "minor", "sketch"]
+    left = rows.select("bucket", block("lefts").alias("i"), every("rights").alias("j"), F.lit(0).alias("side"), *columns)
+    right = rows.where("minor").select("bucket", every("lefts").alias("i"), block("rights").alias("j"), F.lit(1).alias("side"), *columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(table: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+            rep, n, ends = table.column("rep").to_numpy(), table.column("n_shingles").to_numpy(), []
+            for start, end in zip(starts[:-1].tolist(), starts[1:].tolist()):
+                x, y = alike(table.slice(start, end - start), bins, numerator, denominator)
+                ends.append((start + x, start + y))
+            x, y = (np.concatenate(e) for e in zip(*ends))
+            # As in the rounds, the smaller id is a.
+            x, y = np.where(rep[x] < rep[y], x, y), np.where(rep[x] < rep[y], y, x)
+            return pa.RecordBatch.from_arrays([pa.array(rep[x]), pa.array(rep[y]), pa.array(n[x]), pa.array(n[y])], ["a", "b", "n_a", "n_b"])
+
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table]).combine_chunks()
+            keys = np.stack([held.column(c).to_numpy() for c in ("bucket", "i", "j")])
+            starts = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])) if held.num_rows else np.empty(0, int)
+            if len(starts) > 1:
+                yield found(held, starts)
+                held = held.slice(starts[-1]).combine_chunks()
+        if held is not None and held.num_rows:
+            yield found(held, np.array([0, held.num_rows]))
+
+    tiles = left.unionByName(right).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return tiles.mapInArrow(run, "a long, b long, n_a long, n_b long").distinct()
+
+
 def near_duplicates(
     docs: DataFrame, words: int = WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR, bins: int = BINS, rows: int = ROWS,
     id_col: str = "doc_id", text_col: str = "text",
@@ -164,7 +239,7 @@ def near_duplicates(
     firsts = usable.groupBy("set_key").agg(F.min("id").alias("rep")).withColumnRenamed("set_key", "key")
     classes = cut(
         signed.join(firsts, (F.col("id") == F.col("rep")) & (F.col("set_key") == F.col("key")))
-        .select("rep", "set_key", "n_shingles", F.col("hashes").alias("bands"))
+        .select("rep", "set_key", "n_shingles", F.col("hashes").alias("bands"), "sketch")
         .dropDuplicates(["rep"]),
         "classes",
     )
@@ -174,10 +249,10 @@ def near_duplicates(
     members = cut(buckets.join(crowded, "bucket"), "buckets")
 
     # parts: of the classes that are linked so far, the smallest one reachable.
-    parts, compared, quiet, turn = None, None, 0, 0
+    parts, compared, turn, ended = None, None, 0, False
     columns = ["bucket", "rep", "n_shingles", "part", "size"]
     open_members = members.withColumn("part", F.col("rep")).withColumn("size", F.lit(1).cast("long"))
-    while quiet < QUIET:
+    while not ended:
         order, slot = F.col("rep"), F.lit(0)
         if turn:
             still_open = open_members.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
@@ -197,15 +272,16 @@ def near_duplicates(
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
         pairs = cut(pairs, "candidates")
-        if pairs.isEmpty():
-            break
         compared = pairs if compared is None else compared.unionByName(pairs)
         found = cut(confirmed(pairs, docs, reps, words, numerator, denominator), "links")
         turn += 1
+        # A round that links nothing says nothing about pairs that no centre was in.
         if found.isEmpty():
-            quiet += 1
-            continue
-        quiet = 0
+            pairs = cut(left_over(open_members, classes, bins, numerator, denominator).join(compared, ["a", "b"], "left_anti"), "candidates")
+            found = cut(confirmed(pairs, docs, reps, words, numerator, denominator), "links")
+            ended = True
+            if found.isEmpty():
+                break
         parts = cut(merged(parts, found), "parts")
         sized = parts.join(parts.groupBy("part").agg(F.count("*").alias("size")), "part")
         linked = open_members.select("bucket", "rep", "n_shingles").join(sized, "rep", "left")

@@ -126,6 +126,26 @@ def test_near_document_edges(spark):
     assert minhash_dedup.near_duplicates(docs.limit(0)).collect() == []
 
 
+def test_near_documents_in_crowded_buckets(spark):
+    draw = random.Random(11)
+    passage = " ".join(f"shared{k}" for k in range(70))
+    own = lambda n: " ".join(f"x{draw.randrange(10**9)}" for _ in range(n))
+    rows = [(k, f"{passage} {own(14)}") for k in range(240)]
+    rows += [(1000 + k, rows[37 * k + 7][1] + " " + own(1)) for k in range(6)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, "", "") for i, t in rows], DOCS)
+    _, parts = brute_documents(rows)
+    # Nearly all buckets hold nearly all documents, and few of them are ever a centre.
+    got = {r["doc_id"]: r["component_id"] for r in minhash_dedup.near_duplicates(docs, bins=2, rows=1).collect()}
+    assert got == parts and sum(i != c for i, c in got.items()) == 6
+    small = minhash_dedup.TILE
+    try:
+        minhash_dedup.TILE = 50
+        assert {r["doc_id"]: r["component_id"] for r in minhash_dedup.near_duplicates(docs, bins=2, rows=1).collect()} == parts
+    finally:
+        minhash_dedup.TILE = small
+    assert minhash_dedup.least_agreement(128, 75, 100) == 64 and minhash_dedup.least_agreement(2, 75, 100) == 0
+
+
 def test_densified_signatures_follow_similarity():
     draw = np.random.default_rng(3)
     probes = minhash_dedup.probe_table(128)
