@@ -222,3 +222,18 @@ def test_quality_edges(spark):
     nothing = perplexity.Judge(docs, labels.limit(0))
     assert perplexity.keep_good(docs, nothing).count() == 64 and all(r["kept"] for r in nothing.report().collect())
     assert perplexity.keep_good(docs.limit(0), fitted).collect() == [] and perplexity.Judge(docs.limit(0), labels).report().collect() == []
+
+
+def test_quality_of_long_texts(spark):
+    draw = random.Random(3)
+    words = "plain words of a calm text that goes on and on about the sea the hills and some people".split()
+    prose = lambda n: " ".join(draw.choice(words) for _ in range(n)) + "."
+    # A length that no trusted text has, of a known language and of an unknown one.
+    texts = [prose(60) for _ in range(60)] + ["&&& *** %%% " * 3000, "&&& *** %%% " * 3000, prose(4000), prose(4000)]
+    docs = docs_of(spark, texts).withColumn("lang", F.expr("if(doc_id in (61, 63), 'xx', lang)"))
+    labels = spark.createDataFrame([(k, 1) for k in range(60)], "doc_id long, quality int")
+    report = {r["doc_id"]: r for r in perplexity.Judge(docs, labels).report().collect()}
+    assert [report[k]["kept"] for k in range(60, 64)] == [False, False, True, True]
+    assert all(report[k]["low"] < report[k]["high"] for k in range(60, 64))
+    spread = spark.createDataFrame([("*", perplexity.ALL, 1.0, 4.0)], "lang string, band int, low double, high double")
+    assert {(r["own"], r["low"], r["high"]) for r in perplexity.borrowed(spread).collect()} == {(False, 1.0, 4.0)}
