@@ -6,8 +6,10 @@ tokens of the benchmark items and of the documents are hashed and joined; a wind
 words says too little and is skipped. Items that differ only in the values of their slots, and repeat them in the same
 pattern, are one template, so a benchmark made from one template is one class in the join.
 
-A match is a run on one diagonal (document position minus item position). On a diagonal, every slot of the template must
-stand for one value of the document wherever it occurs, else the diagonal is dropped. A document is contaminated by a
+A match is a run on one diagonal (document position minus item position). On a diagonal, every name of the template must
+stand for one value of the document wherever it occurs: the item's own value if it is there, else the most frequent one; windows
+with another value are dropped, and all windows with the name when two values are as frequent. Equal numbers and units may be
+equal by chance, so each is a slot of its own. A document is contaminated by a
 template when consistent diagonals cover ``COVERAGE`` of its windows; it is re-parameterised when a slot's value differs.
 
 Scale: the documents' windows never leave their task unless they pass a Bloom filter of the benchmark's windows, whose
@@ -132,6 +134,9 @@ def benchmark_templates(items: DataFrame, window: int, id_col: str, text_col: st
                 seen: dict[int, int] = {}
                 numbers = [seen.setdefault(int(k), len(seen)) for k in numbers]  # by first occurrence
                 shape = xxhash.xxh3_128_hexdigest(tokens.tobytes() + repr(numbers).encode())
+                # Only names are tied to each other.
+                tied = tokens[places] == _MARKS[IS_NAME]
+                numbers = np.where(tied, numbers, len(tokens) + places).tolist()
                 rows.append((shape, item.as_py(), size, _as_long(hashes), at.tolist(), places.tolist(), numbers, _as_long(values[places])))
             kinds = [pa.string(), pa.int64(), pa.int32(), *[pa.list_(t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())]]
             names = ["template", "item_id", "size", "hashes", "starts", "slot_at", "slot_no", "slot_value"]
@@ -202,18 +207,20 @@ def contaminated(
     slots = (
         runs.where(F.size("slot_at") > 0)
         .select("id", "template", "diagonal", "item_start", F.explode(F.arrays_zip("slot_at", "slot_value")).alias("s"))
-        .select("id", "template", "diagonal", (F.col("item_start") + F.col("s.slot_at")).alias("place"), F.col("s.slot_value").alias("value"))
+        .select("id", "template", "diagonal", "item_start", (F.col("item_start") + F.col("s.slot_at")).alias("place"), F.col("s.slot_value").alias("value"))
     )
     numbers = templates.select("template", F.explode(F.arrays_zip("slot_at", "slot_no", "slot_value")).alias("s")).select(
         "template", F.col("s.slot_at").alias("place"), F.col("s.slot_no").alias("number"), F.col("s.slot_value").alias("own")
     )
-    per_slot = slots.join(numbers, ["template", "place"]).groupBy("id", "template", "diagonal", "number").agg(
-        F.min("value").alias("low"), F.max("value").alias("high"), F.max((F.col("value") != F.col("own")).cast("int")).alias("changed")
+    slots = slots.join(numbers, ["template", "place"]).withColumn("changed", (F.col("value") != F.col("own")).cast("int"))
+    slot = ["id", "template", "diagonal", "number"]
+    by_value = slots.groupBy(*slot, "value").agg(F.min("changed").alias("changed"), F.count_distinct("place").alias("places"))
+    by_value = by_value.groupBy(*slot, "changed", "places").agg(F.count("*").alias("ties"), F.min("value").alias("value"))
+    agreed = by_value.groupBy(*slot).agg(F.max_by(F.when(F.col("ties") == 1, F.col("value")), F.struct(-F.col("changed"), "places")).alias("agreed"))
+    verdicts = slots.join(agreed, slot).groupBy("id", "template", "diagonal", "item_start").agg(
+        F.max(F.coalesce((F.col("value") != F.col("agreed")).cast("int"), F.lit(1))).alias("inconsistent"), F.max("changed").alias("changed")
     )
-    verdicts = per_slot.groupBy("id", "template", "diagonal").agg(
-        F.max((F.col("low") != F.col("high")).cast("int")).alias("inconsistent"), F.max("changed").alias("changed")
-    )
-    consistent = runs.select("id", "template", "diagonal", "item_start").join(verdicts, ["id", "template", "diagonal"], "left")
+    consistent = runs.select("id", "template", "diagonal", "item_start").join(verdicts, ["id", "template", "diagonal", "item_start"], "left")
     consistent = consistent.where(F.coalesce("inconsistent", F.lit(0)) == 0)
     covered = consistent.groupBy("id", "template", "item_start").agg(F.min(F.coalesce("changed", F.lit(0))).alias("changed"))
     covered = covered.groupBy("id", "template").agg(F.count("*").cast("long").alias("n_windows"), (F.max("changed") == 1).alias("reparameterised"))

@@ -162,6 +162,15 @@ def test_templates(spark):
     assert decontaminate.contaminated(docs, bench.limit(0)).collect() == [] and decontaminate.contaminated(docs.limit(0), bench).collect() == []
 
 
+def test_leaks_with_altered_slots(spark):
+    item = "Anna buys 5 apples and 5 pears while Anna waits for the slow bus to the town and then walks back home"
+    other = "a small boat sails over the wide lake to Anna and then on to Anna before it comes back to the old harbour"
+    texts = [item.replace("5 apples", "7 apples").replace("5 pears", "9 pears"), item.replace("while Anna", "while Anno"), other.replace("on to Anna", "on to Anni")]
+    bench = spark.createDataFrame([(1, item), (2, other)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["reparameterised"] for r in decontaminate.contaminated(docs_of(spark, texts), bench).collect()}
+    assert got == {(0, 1): True, (1, 1): True, (2, 2): False}
+
+
 def test_leaks_against_substrings(spark):
     docs, bench = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "benchmark"))
     squeezed = lambda t: " ".join(t.split())
