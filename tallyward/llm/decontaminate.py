@@ -6,6 +6,10 @@ tokens of the benchmark items and of the documents are hashed and joined; a wind
 words says too little and is skipped. Items that differ only in the values of their slots, and repeat them in the same
 pattern, are one template, so a benchmark made from one template is one class in the join.
 
+Beside these, the exact lower-cased windows of every item are hashed and joined the same way, whatever they consist of; so a
+verbatim copy of an item that is rich in numbers or names is found too. The first word of an item or of a document's window is
+read both as a word and as a name if it is capitalised, as it may stand behind a heading.
+
 A match is a run on one diagonal (document position minus item position). On a diagonal, every name of the template must
 stand for one value of the document wherever it occurs: the item's own value if it is there, else the most frequent one; windows
 with another value are dropped, and all windows with the name when two values are as frequent. Equal numbers and units may be
@@ -16,8 +20,8 @@ Scale: the documents' windows never leave their task unless they pass a Bloom fi
 size is fixed (``FILTER_BITS``); what passes goes through a shuffled join, and is grouped by document, template and
 diagonal. The filter is built from a bitmap aggregated in Spark.
 
-Defined cases: null and empty texts match nothing; an item shorter than a window is one window of its own length, an item
-without enough literal words can't be found; equal items are one template, named by the smallest id; rows that share an
+Defined cases: null and empty texts match nothing; an item shorter than a window is one window of its own length; an item
+without enough literal words is found verbatim only; a document that holds an item in both ways has one row for it; equal items are one template, named by the smallest id; rows that share an
 id are one document; rows without an id are never reported; other input columns are ignored.
 """
 
@@ -48,6 +52,8 @@ NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th)?[%€$£]?$")
 EDGES = ".,;:!?\"'()[]{}<>|*#&-_"
 PLAIN, IS_NUMBER, IS_UNIT, IS_NAME, EMPTY = 0, 1, 2, 3, 4
 ENDS = 8
+#: Keeps hashes of exact windows apart from those of template windows.
+EXACT = 1 << 32
 _U = np.uint64
 _MARKS = {IS_NUMBER: _U(0x1B873593CC9E2D51), IS_UNIT: _U(0x85EBCA6BC2B2AE35), IS_NAME: _U(0x27D4EB2F165667C5)}
 
@@ -81,8 +87,8 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-def template(text: str | None, known: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens of the canonical text, which of them are slots, and the slots' values (hashes of the words)."""
+def template(text: str | None, known: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of the canonical text, which of them are slots, the words' hashes, and which are capitalised where a sentence begins."""
     words = (text or "").split()
     raw = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     raw = raw[(raw & _U(7)) != EMPTY] if len(raw) else raw
@@ -91,25 +97,46 @@ def template(text: str | None, known: Words) -> tuple[np.ndarray, np.ndarray, np
     first[1:] = (raw[:-1] & _U(ENDS)) > 0
     behind = np.zeros(len(raw), bool)
     behind[1:] = kind[:-1] == IS_NUMBER
-    kind[(kind == IS_NAME) & first] = PLAIN
+    lead = (kind == IS_NAME) & first
+    kind[lead] = PLAIN
     kind[(kind == IS_UNIT) & ~behind] = PLAIN
     tokens = value.copy()
     for k, mark in _MARKS.items():
         tokens[kind == k] = mark
-    return tokens, kind != PLAIN, value
+    return tokens, kind != PLAIN, value, lead
 
 
-def windows(tokens: np.ndarray, slots: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start, hash) of the windows with enough literal words."""
+def hashed(first: np.ndarray, tokens: np.ndarray, size: int, start: int) -> np.ndarray:
+    """Hash of every window of ``size`` tokens, its first one taken from ``first``."""
     n = len(tokens) - size + 1
-    if n <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    h = np.full(n, size, np.uint64)
+    h = np.full(n, start, np.uint64)
     for k in range(size):
-        h = mixed(h * _U(0x9E3779B97F4A7C15) + tokens[k : k + n])
+        h = mixed(h * _U(0x9E3779B97F4A7C15) + (tokens if k else first)[k : k + n])
+    return h
+
+
+def windows(tokens: np.ndarray, slots: np.ndarray, values: np.ndarray, lead: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, hash, whether its first word is read the other way) of the windows with enough literal words."""
+    n = len(tokens) - size + 1
+    if n <= 0:
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool)
     literal = np.concatenate([[0], np.cumsum(~slots)])
-    at = np.flatnonzero(literal[size:] - literal[:-size] >= min(LITERALS, size))
-    return at, h[at]
+    literal = literal[size:] - literal[:-size]
+    least = min(LITERALS, size)
+    at = np.flatnonzero(literal >= least)
+    h = hashed(tokens, tokens, size, size)[at]
+    names = tokens == _MARKS[IS_NAME]
+    other = np.flatnonzero((names | lead)[:n] & (literal + names[:n] - lead[:n] >= least))
+    if not len(other):
+        return at, h, np.zeros(len(at), bool)
+    first = np.where(names, values, np.where(lead, _MARKS[IS_NAME], tokens))
+    h = np.concatenate([h, hashed(first, tokens, size, size)[other]])
+    return np.concatenate([at, other]), h, np.arange(len(h)) >= len(at)
+
+
+def exact_windows(values: np.ndarray, size: int) -> np.ndarray:
+    """Hash of every window of lower-cased words."""
+    return hashed(values, values, size, EXACT + size) if 0 < size <= len(values) else np.empty(0, np.uint64)
 
 
 def _as_long(values: np.ndarray) -> list[int]:
@@ -117,37 +144,50 @@ def _as_long(values: np.ndarray) -> list[int]:
 
 
 def benchmark_templates(items: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
-    """One row per template: (template, item_id, n_items, size, hashes, starts, slot_at, slot_no, slot_value)."""
+    """One row per template: (template, family, item_id, n_items, size, hashes, starts, slot_at, slot_no, slot_value).
+
+    An item has a template for its exact windows too; its family is the template with slots, if the item has windows there.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words()
         for batch in batches:
             rows = []
             for item, text in zip(batch.column(0), batch.column(1)):
-                tokens, slots, values = template(text.as_py(), known)
+                tokens, slots, values, lead = template(text.as_py(), known)
                 size = min(window, len(tokens))
-                at, hashes = windows(tokens, slots, size) if size else ([], np.empty(0, np.uint64))
-                if not len(at):
+                if not size:
                     continue
+                at, hashes, other = windows(tokens, slots, values, lead, size)
+                # Inside an item there is one reading; only its first word may stand elsewhere.
+                fits = ~other | (at == 0)
+                at, hashes = at[fits], hashes[fits]
                 places = np.flatnonzero(slots)
                 _, numbers = np.unique(values[places], return_inverse=True)
                 seen: dict[int, int] = {}
                 numbers = [seen.setdefault(int(k), len(seen)) for k in numbers]  # by first occurrence
                 shape = xxhash.xxh3_128_hexdigest(tokens.tobytes() + repr(numbers).encode())
-                # Only names are tied to each other.
+                exact = "exact " + xxhash.xxh3_128_hexdigest(values.tobytes())
+                whole = exact_windows(values, size)
+                rows.append((exact, shape if len(at) else exact, item.as_py(), size, _as_long(whole), list(range(len(whole))), [], [], []))
+                if not len(at):
+                    continue
+                # Only names inside sentences are tied to each other.
+                places = np.flatnonzero(slots | (lead & (np.arange(len(lead)) == 0)))
+                _, numbers = np.unique(values[places], return_inverse=True)
                 tied = tokens[places] == _MARKS[IS_NAME]
                 numbers = np.where(tied, numbers, len(tokens) + places).tolist()
-                rows.append((shape, item.as_py(), size, _as_long(hashes), at.tolist(), places.tolist(), numbers, _as_long(values[places])))
-            kinds = [pa.string(), pa.int64(), pa.int32(), *[pa.list_(t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())]]
-            names = ["template", "item_id", "size", "hashes", "starts", "slot_at", "slot_no", "slot_value"]
+                rows.append((shape, shape, item.as_py(), size, _as_long(hashes), at.tolist(), places.tolist(), numbers, _as_long(values[places])))
+            kinds = [pa.string(), pa.string(), pa.int64(), pa.int32(), *[pa.list_(t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())]]
+            names = ["template", "family", "item_id", "size", "hashes", "starts", "slot_at", "slot_no", "slot_value"]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
 
-    schema = "template string, item_id long, size int, hashes array<long>, starts array<int>, slot_at array<int>, slot_no array<int>, slot_value array<long>"
+    schema = "template string, family string, item_id long, size int, hashes array<long>, starts array<int>, slot_at array<int>, slot_no array<int>, slot_value array<long>"
     rows = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
     # The item with the smallest id speaks for its template.
-    packed = F.struct(F.col("item_id").isNull().alias("no_id"), "item_id", "size", "hashes", "starts", "slot_at", "slot_no", "slot_value")
+    packed = F.struct(F.col("item_id").isNull().alias("no_id"), "item_id", "family", "size", "hashes", "starts", "slot_at", "slot_no", "slot_value")
     best = rows.groupBy("template").agg(F.min(packed).alias("best"), F.count("*").alias("n_items"))
-    return best.select("template", "n_items", *[f"best.{c}" for c in ("item_id", "size", "hashes", "starts", "slot_at", "slot_no", "slot_value")])
+    return best.select("template", "n_items", *[f"best.{c}" for c in ("family", "item_id", "size", "hashes", "starts", "slot_at", "slot_no", "slot_value")])
 
 
 def bloom(templates: DataFrame, bits: int) -> np.ndarray:
@@ -176,13 +216,17 @@ def matches(docs: DataFrame, templates: DataFrame, window: int, bits: int, id_co
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0), batch.column(1)):
-                tokens, slots, values = template(text.as_py(), known)
+                tokens, slots, values, lead = template(text.as_py(), known)
                 for size in sizes:
-                    at, hashes = windows(tokens, slots, size)
+                    at, hashes, _ = windows(tokens, slots, values, lead, size)
+                    whole = exact_windows(values, size)
+                    at, hashes, plain = np.concatenate([at, np.arange(len(whole))]), np.concatenate([hashes, whole]), len(at)
                     place = hashes & low
                     hit = np.flatnonzero((bitmap[place >> _U(6)] >> (place & _U(63))) & _U(1))
-                    for start, h in zip(at[hit].tolist(), _as_long(hashes[hit])):
-                        inside = np.flatnonzero(slots[start : start + size])
+                    for k, start, h in zip(hit.tolist(), at[hit].tolist(), _as_long(hashes[hit])):
+                        inside = np.flatnonzero(slots[start : start + size]) if k < plain else np.empty(0, np.int64)
+                        if k < plain and lead[start]:
+                            inside = np.concatenate([[0], inside])
                         rows.append((doc.as_py(), start, h, inside.tolist(), _as_long(values[start + inside])))
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], ["id", "start", "hash", "slot_at", "slot_value"])
@@ -224,13 +268,13 @@ def contaminated(
     consistent = consistent.where(F.coalesce("inconsistent", F.lit(0)) == 0)
     covered = consistent.groupBy("id", "template", "item_start").agg(F.min(F.coalesce("changed", F.lit(0))).alias("changed"))
     covered = covered.groupBy("id", "template").agg(F.count("*").cast("long").alias("n_windows"), (F.max("changed") == 1).alias("reparameterised"))
-    sized = templates.select("template", "item_id", "n_items", F.size("hashes").alias("of"))
-    return (
-        covered.join(sized, "template")
-        .withColumn("coverage", F.col("n_windows") / F.col("of"))
-        .where(F.col("coverage") >= coverage)
-        .select(F.col("id").alias(id_col), "item_id", "n_items", "n_windows", "coverage", "reparameterised")
-    )
+    sized = templates.select("template", "family", F.size(F.array_distinct("starts")).alias("of"))
+    named = templates.select(F.col("template").alias("family"), "item_id", "n_items")
+    found = covered.join(sized, "template").withColumn("coverage", F.col("n_windows") / F.col("of")).where(F.col("coverage") >= coverage)
+    # An item found in both ways is one row, with the figures of the template with slots.
+    figures = F.struct("n_windows", "coverage", "reparameterised")
+    best = found.groupBy("id", "family").agg(F.max_by(figures, F.struct(F.col("template") == F.col("family"), "coverage", "n_windows")).alias("best"))
+    return best.join(named, "family").select(F.col("id").alias(id_col), "item_id", "n_items", "best.n_windows", "best.coverage", "best.reparameterised")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

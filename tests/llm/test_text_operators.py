@@ -171,6 +171,14 @@ def test_leaks_with_altered_slots(spark):
     assert got == {(0, 1): True, (1, 1): True, (2, 2): False}
 
 
+def test_leaks_without_literals(spark):
+    numbers, short = "Compute 12 + 7 * 3 - 48 / 6 = 25 , then 9 * 9 = 81 .", "What is the capital city of France?"
+    texts = [f"some words before it {numbers} and some behind", f"Q: {short} A: Paris", f"Q: {short.replace('France', 'Spain')} A: Madrid", "What is the capital gain of France?", numbers.replace("48", "47").replace("12", "13")]
+    bench = spark.createDataFrame([(1, numbers), (2, short)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["reparameterised"] for r in decontaminate.contaminated(docs_of(spark, texts), bench).collect()}
+    assert got == {(0, 1): False, (1, 2): False, (2, 2): True}
+
+
 def test_leaks_against_substrings(spark):
     docs, bench = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "benchmark"))
     squeezed = lambda t: " ".join(t.split())
