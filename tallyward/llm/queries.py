@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, decontaminate, embedding_dedup, licenses, minhash_dedup, perplexity, quotations, suffix_tree, toxicity, warc
+from tallyward.llm import bpe, decontaminate, embedding_dedup, licenses, minhash_dedup, perplexity, quotations, suffix_dedup, suffix_tree, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +83,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it imports this module
 
@@ -100,6 +104,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_perplexity": op9_perplexity,
     "op10_decontamination": op10_decontamination,
+    "op13_suffix_dedup": op13_suffix_dedup,
     "pipeline": pipeline,
 }
 
