@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, decontaminate, embedding_dedup, licenses, minhash_dedup, perplexity, quotations, suffix_dedup, suffix_tree, toxicity, warc
+from tallyward.llm import bpe, decontaminate, embedding_dedup, importance, licenses, minhash_dedup, perplexity, quotations, suffix_dedup, suffix_tree, toxicity, vector_codes, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +83,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_orchard_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
 
@@ -104,6 +112,8 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_perplexity": op9_perplexity,
     "op10_decontamination": op10_decontamination,
+    "op11_orchard_codes": op11_orchard_codes,
+    "op12_importance": op12_importance,
     "op13_suffix_dedup": op13_suffix_dedup,
     "pipeline": pipeline,
 }
@@ -149,4 +159,85 @@ select vec_id, coalesce(n_links, 0)::bigint as n_links, least(vec_id, coalesce(m
 from embeddings left join counted on a = vec_id left join smallest on id = vec_id
 """
 
-ANSWERS: dict[str, str] = {"op2_embedding_dedup": OP2, "op7_warc_fixity": OP7}
+OP11 = """
+with recursive kept as (
+    select row_number() over () as r, vec_id, label, embedding::double[] as e from embeddings
+    where embedding is not null and len(embedding) > 0 and len(embedding) % 16 = 0
+        and len(list_filter(embedding, lambda v: v is null or not isfinite(v))) = 0
+), x as (
+    select r, vec_id, ((i - 1) // (len(e) // 16))::bigint as p, (i - 1) % (len(e) // 16) as j, floor(256 * e[i])::bigint as x
+    from (select *, unnest(range(1, len(e) + 1)) as i from kept)
+), seeds as (
+    select vec_id, r, row_number() over (order by vec_id) - 1 as entry from kept qualify entry < 64
+), rounds as (
+    select 0 as round, p, entry, j, x as c from x join seeds using (r)
+    union all (
+        with apart as (
+            select r, p, b.entry, sum((a.x - b.c) * (a.x - b.c)) as d from x a join rounds b using (p, j) group by all
+        ), nearest as (
+            select r, p, arg_min(entry, d * 64 + entry) as entry from apart group by all
+        ), means as (
+            select p, entry, j, floor(sum(x)::double / count(*))::bigint as c from x join nearest using (r, p) group by all
+        )
+        select o.round + 1, p, entry, j, coalesce(m.c, o.c) from rounds o left join means m using (p, entry, j) where o.round < 2
+    )
+), final as (
+    select p, entry, j, c from rounds where round = 2
+), apart as (
+    select r, p, f.entry, sum((a.x - f.c) * (a.x - f.c)) as d from x a join final f using (p, j) group by all
+), nearest as (
+    select r, p, arg_min(entry, d * 64 + entry) as entry, min(d) as d from apart group by all
+), coded as (
+    select r, string_agg(printf('%02x', entry::int), '' order by p) as code, sum(d)::bigint as error from nearest group by r
+)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+    (select sha256(string_agg(c::varchar, ',' order by p, entry, j)) from final) as codebooks_sha256
+from coded join kept using (r)
+"""
+
+#: The hash table comes from its rule: eight steps of the reflected polynomial 0xEDB88320 (a fixed value).
+OP12 = r"""
+with recursive crc_steps as (
+    select n as byte, 0 as step, n::ubigint as c from range(256) t(n)
+    union all
+    select byte, step + 1, case when c % 2 = 1 then xor(c >> 1, 3988292384::ubigint) else c >> 1 end from crc_steps where step < 8
+), crc_table as (
+    select list(c order by byte) as t from crc_steps where step = 8
+), texts as (
+    select 'd' as side, row_number() over () as r, doc_id, text from documents
+    union all select 'b', row_number() over (), null, text from benchmark
+), split as (
+    select side, r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from texts
+), words as (
+    select side, r, unnest(w) as word, generate_subscripts(w, 1) as i from split
+), features as (
+    select side, r, word as f from words
+    union all
+    select a.side, a.r, a.word || ' ' || b.word from words a join words b on a.side = b.side and a.r = b.r and b.i = a.i + 1
+), hashed as (
+    select f, xor(list_reduce(
+        list_prepend(4294967295::ubigint, list_transform(string_split(regexp_replace(hex(encode(f)), '(..)', '\1 ', 'g'), ' ')[:-2], lambda h: ('0x' || h)::ubigint)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) % 256)::int + 1])
+    ), 4294967295::ubigint) % 10000 as bucket
+    from (select distinct f from features), crc_table
+), counted as (
+    select bucket, count(*) filter (side = 'd') as s, count(*) filter (side = 'b') as t from features join hashed using (f) group by bucket
+), gains as (
+    select bucket, floor(1000 * ln((t + 1)::double * (sum(s) over () + 10000)::double / ((s + 1)::double * (sum(t) over () + 10000)::double)))::bigint as gain
+    from counted
+), weighed as (
+    select r, count(*) as n_features, floor(sum(gain)::double / count(*))::bigint as weight
+    from features join hashed using (f) join gains using (bucket) where side = 'd' group by r
+), scored as (
+    select x.r, doc_id, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight, len(w) as n_words,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || doc_id), 1, 8))::bigint + 0.5) / 4294967296)))::bigint as score
+    from texts x join split s on x.side = s.side and x.r = s.r left join weighed on x.r = weighed.r where x.side = 'd'
+), ranked as (
+    select r, row_number() over (order by score desc, doc_id) as rank, count(*) over () as n from scored where n_words >= 20
+)
+select doc_id, n_features, weight, score, rank
+from scored left join (select r, rank from ranked where rank <= 25 * n // 100) using (r)
+"""
+
+ANSWERS: dict[str, str] = {"op11_orchard_codes": OP11, "op12_importance": OP12, "op2_embedding_dedup": OP2, "op7_warc_fixity": OP7}
