@@ -231,6 +231,15 @@ LANDING = {
         R.LINES,
         "select distinct source_file, 'Unexpected Column' as header from facts",
     ),
+    "header_contract_parquet": q(
+        R.LINES,
+        "select distinct source_file, 'Unexpected Column' as header from facts where source_file = 'dump_R.csv'",
+    ),
+    "landing_multi_line": q(
+        DUMPS,
+        """select source_file, row_no as source_row_number, refid,
+        'Row ' || refid || chr(10) || '"of", ' || source_file || chr(10) || chr(10) || 'ends' as bet_details from landed""",
+    ),
     "header_rename": q(R.BETS, f"""select {columns(ROW)}, 'BM' || '' as prefix,
         bookmaker_name as bookmaker, 'Venue ' || substr(venue_name, 7) as venue from bets"""),
     "cell_to_text": """select l_orderkey, l_linenumber,

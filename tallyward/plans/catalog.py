@@ -153,6 +153,22 @@ def header_contract_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.check_headers(landing.dump_headers(spark, folder))
 
 
+def header_contract_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columnar dumps, of which one file has a column beyond the contract: its dump alone is named."""
+    folder = new_folder(spark, "columnar_dumps")
+    raw = lineitem_raw(spark, sf_dir).select("source_file", F.col("refid").alias("REFID"), F.col("venue").alias("Unexpected Column"))
+    raw.drop("Unexpected Column").write.partitionBy("source_file").parquet(folder)
+    raw.where("source_file = 'dump_R.csv'").drop("source_file").write.mode("append").parquet(f"{folder}/source_file=dump_R.csv")
+    return landing.check_headers(landing.dump_headers(spark, folder, "parquet"))
+
+
+def landing_multi_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dumps in which every row has line breaks, quotes and separators inside a cell."""
+    said = F.concat(F.lit("Row "), F.trim("refid"), F.lit('\n"of", '), F.col("source_file"), F.lit("\n\nends"))
+    folder = write_dumps(lineitem_raw(spark, sf_dir).withColumn("bet_details", said), new_folder(spark, "multi_line"), parts=DUMP_PARTS)
+    return landing.landing_scan(spark, folder, multi_line=True, with_raw_payload=False).select(*ROW, "refid", "bet_details")
+
+
 def header_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
     headers = {column: header for header, column in HEADER_TO_COLUMN.items()}
     dump = lineitem_raw(spark, sf_dir).withColumnsRenamed(headers)
@@ -236,6 +252,8 @@ def landing_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 LANDING: dict[str, Query] = {
     "landing_scan": of(landed, lambda df: df.select(*LANDED)),
     "header_contract_check": header_contract_check,
+    "header_contract_parquet": header_contract_parquet,
+    "landing_multi_line": landing_multi_line,
     "header_rename": header_rename,
     "cell_to_text": cell_to_text,
     "drop_blank_rows": drop_blank_rows,

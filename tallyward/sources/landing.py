@@ -13,22 +13,24 @@ the data.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyward.functions.parsing import cell_to_text
+from tallyward.sources import quoted
 from tallyward.sources.contract import HEADER_TO_COLUMN, HEADERS, RAW_COLUMNS, RAW_SCHEMA, TEXT_COLUMNS
 from tallyward.sources.shared import cut
 
 FORMATS = ("csv", "json", "parquet")
-# Most columns a dump with line breaks inside cells may have.
-MOST_COLUMNS = 256
-# A split's place is about 300 bytes; up to this many of them are sent to every task.
-BROADCAST_SPLITS = 500_000
+# Dumps whose columns are read at once.
+SCHEMA_READS = 8
+# Places of splits are sent to every task up to this size, and joined by shuffle beyond.
+BROADCAST_BYTES = 128 << 20
 # The columns of a preview.
 PREVIEW_COLUMNS = (
     "refid",
@@ -84,26 +86,10 @@ def _dump_name() -> Column:
     return F.when(folder != "", unescape(unescape(folder))).otherwise(unescape(F.col("_metadata.file_name")))
 
 
-def _reader(spark: SparkSession, sep: str):
-    return (
-        spark.read.option("sep", sep)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-    )
-
-
-def _lines(spark: SparkSession, path, fmt: str, sep: str, multi_line: bool) -> DataFrame:
-    """(value or cells, _path, source_file, _block, _id) of every line or, in multi-line mode, row."""
-    if multi_line:
-        reader = _reader(spark, sep).option("multiLine", True).option("recursiveFileLookup", True)
-        names = [f"_c{i}" for i in range(MOST_COLUMNS)]
-        read = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).csv(path)
-        content = F.array(*names).alias("cells")
-    else:
-        read = spark.read.option("recursiveFileLookup", True).text(path)
-        content = F.col("value")
-    return read.select(
-        content,
+def _lines(spark: SparkSession, path) -> DataFrame:
+    """(value, _path, source_file, _block, _id) of every line."""
+    return spark.read.option("recursiveFileLookup", True).text(path).select(
+        "value",
         F.col("_metadata.file_path").alias("_path"),
         _dump_name().alias("source_file"),
         F.col("_metadata.file_block_start").alias("_block"),
@@ -122,38 +108,48 @@ def _as_array(parsed: Column, width: int) -> Column:
     return F.array(*[parsed[f"_c{i}"] for i in range(width)])
 
 
-def _csv_places(lines: DataFrame, sep: str, multi_line: bool) -> tuple[DataFrame, DataFrame]:
+def _header_cells(top: DataFrame, sep: str) -> DataFrame:
+    """(_path, header) from the header line (``_header``) of each file."""
+    # At least as many columns as the widest header has; quoted separators only add empty ones.
+    seps = (F.length("_header") - F.length(F.replace("_header", F.lit(sep), F.lit("")))) / len(sep)
+    width = int(top.agg(F.max(seps)).first()[0] or 0) + 1
+    line = F.regexp_replace("_header", "^\ufeff", "")
+    header = F.transform(_as_array(_parsed(line, sep, width), width), lambda h: F.trim(F.regexp_replace(h, "^\ufeff", "")))
+    # Empty names behind the last column are none.
+    size = F.array_max(F.transform(header, lambda h, i: F.when(h.isNotNull() & (h != ""), i + 1).otherwise(0)))
+    return top.select("_path", F.slice(header, 1, F.greatest(size, F.lit(0))).alias("header"))
+
+
+def _csv_places(lines: DataFrame, sep: str) -> tuple[DataFrame, DataFrame]:
     """Splits with the header that starts their file, and broken lines per file."""
-    if multi_line:
-        filled, odd = F.exists("cells", lambda c: c.isNotNull()), F.lit(0)
-        content = F.col("cells")
-    else:
-        filled, content = F.trim("value") != "", F.col("value")
-        odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2
+    filled = F.trim("value") != ""
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2
     opens = (F.col("_block") == 0) & filled
     found = lines.groupBy("_path", "source_file", "_block").agg(
         F.min("_id").alias("_from"),
         F.max("_id").alias("last"),
         F.min(F.when(opens, F.col("_id"))).alias("_header_id"),
-        F.min_by(content, F.when(opens, F.col("_id"))).alias("_header"),
+        F.min_by("value", F.when(opens, F.col("_id"))).alias("_header"),
         F.sum(odd.cast("long")).alias("broken"),
     )
     splits = cut(found.withColumn("first", F.coalesce(F.col("_header_id") + 1, "_from")), "splits")
-    top = splits.where(F.col("_header").isNotNull()).select("_path", "_header")
-    if not multi_line:
-        # At least as many columns as the widest header has; quoted separators only add empty ones.
-        seps = (F.length("_header") - F.length(F.replace("_header", F.lit(sep), F.lit("")))) / len(sep)
-        width = int(top.agg(F.max(seps)).first()[0] or 0) + 1
-        line = F.regexp_replace("_header", "^\ufeff", "")
-        top = top.select("_path", _as_array(_parsed(line, sep, width), width).alias("_header"))
-    header = F.transform("_header", lambda h: F.trim(F.regexp_replace(h, "^\ufeff", "")))
-    # Empty names behind the last column are none.
-    size = F.array_max(F.transform(header, lambda h, i: F.when(h.isNotNull() & (h != ""), i + 1).otherwise(0)))
-    top = top.select("_path", F.slice(header, 1, F.greatest(size, F.lit(0))).alias("header"))
+    top = _header_cells(splits.where(F.col("_header").isNotNull()).select("_path", "_header"), sep)
     places = splits.drop("_header", "_header_id", "_from", "broken").join(top, "_path", "left")
     return places, splits.groupBy("source_file").agg(F.sum("broken").alias("broken"))
 
 
+def _quoted_places(lines: DataFrame, sep: str) -> tuple[DataFrame, DataFrame]:
+    """The same where cells hold line breaks; places within a split count from 0. Broken: files that end inside a cell, and headers that reach over a split."""
+    splits = cut(quoted.begin_states(cut(quoted.read_splits(lines, sep), "read_splits")), "splits")
+    top = _header_cells(splits.where(F.col("_header").isNotNull()).select("_path", "_header"), sep)
+    places = splits.select(
+        "_path", "source_file", "_block", F.coalesce(F.col("header_at") + 1, F.lit(0)).alias("first"), (F.col("rows") - 1).alias("last"), "begins", "ends"
+    ).join(top, "_path", "left")
+    open_end = F.col("is_last") & (F.col("ends") == quoted.INSIDE)
+    cut_header = (F.col("_block") == 0) & F.col("_header").isNull() & (F.col("ends") == quoted.INSIDE)
+    return places, splits.groupBy("source_file").agg(F.sum((open_end | cut_header).cast("long")).alias("broken"))
+
+
 def _json_places(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     keys = F.json_object_keys("value")
     blank = F.trim("value") == ""
@@ -178,6 +174,18 @@ def _numbered_places(places: DataFrame) -> DataFrame:
     return places.withColumn("before", F.coalesce(F.sum(F.col("last") - F.col("first") + 1).over(earlier), F.lit(0)))
 
 
+def _columns_by_dump(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """(source_file, header) of columnar dumps: Spark merges the footers of each dump's own files, a few dumps at a time."""
+
+    def columns(dump: Row) -> list[tuple[str, str]]:
+        return [(dump.source_file, c) for c in spark.read.option("mergeSchema", True).parquet(*dump.files).columns]
+
+    listed = files.groupBy("source_file").agg(F.collect_list("file_path").alias("files")).collect()
+    with ThreadPoolExecutor(SCHEMA_READS) as pool:
+        found = [pair for pairs in pool.map(columns, listed) for pair in pairs]
+    return spark.createDataFrame(found, "source_file string, header string")
+
+
 def open_dumps(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -189,8 +197,7 @@ def open_dumps(
     """List the dumps under ``path`` and go over their text once.
 
     ``limit_files`` keeps the first dumps by name before anything is read.
-    ``multi_line`` allows line breaks inside quoted cells, at the price that a
-    file is read in one piece.
+    ``multi_line`` allows line breaks inside quoted cells; see ``sources.quoted``.
     """
     if fmt not in FORMATS:
         raise ValueError(f"unknown format {fmt}, expected one of {FORMATS}")
@@ -208,17 +215,16 @@ def open_dumps(
     files = cut(files.select("file_path", "source_file"), "files")
     nothing = spark.createDataFrame([], "source_file string, broken long")
     if fmt == "parquet":
-        if not path:
-            names = []
-        else:
-            names = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(*path).columns
-        headers = files.select("source_file").distinct().select("source_file", F.explode(F.array(*[F.lit(c) for c in names]).cast("array<string>")).alias("header"))
+        headers = _columns_by_dump(spark, files)
         return Dumps(path, fmt, sep, False, files, spark.createDataFrame([], "_path string"), headers, nothing)
     if not path:
         places = spark.createDataFrame([], "_path string, source_file string, _block long, first long, last long, header array<string>, before long")
         return Dumps(path, fmt, sep, multi_line, files, places, spark.createDataFrame([], "source_file string, header string"), nothing)
-    lines = _lines(spark, path, fmt, sep, multi_line)
-    places, broken = _csv_places(lines, sep, multi_line) if fmt == "csv" else _json_places(lines)
+    lines = _lines(spark, path)
+    if fmt == "json":
+        places, broken = _json_places(lines)
+    else:
+        places, broken = _quoted_places(lines, sep) if multi_line else _csv_places(lines, sep)
     places = cut(_numbered_places(places), "places")
     headers = places.select("source_file", F.explode("header").alias("header")).where("header <> ''").distinct()
     return Dumps(path, fmt, sep, multi_line, files, places, headers, broken)
@@ -335,14 +341,23 @@ def _with_coordinates(rows: DataFrame) -> DataFrame:
     )
 
 
-def _placed(lines: DataFrame, dumps: Dumps, *more: str) -> DataFrame:
-    """Data rows with ``source_row_number``; header lines, and dumps that aren't wanted, fall away."""
+def _small(places: DataFrame) -> bool:
+    """Whether every task can have the places of all splits: by the bytes of their columns, headers included."""
+    size = F.lit(0).cast("long")
+    for field in places.schema.fields:
+        text = isinstance(field.dataType, (T.StringType, T.ArrayType))
+        size = size + (F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0)) + 16 if text else 8)
+    return (places.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES
+
+
+def _placed(lines: DataFrame, dumps: Dumps, *more: str, at: str = "_id") -> DataFrame:
+    """Data rows with ``source_row_number``; header lines, and dumps that aren't wanted, fall away. ``at``: what ``first`` and ``last`` count."""
     places = dumps.places.select("_path", "_block", "first", "last", "before", *more)
-    if places.count() <= BROADCAST_SPLITS:
+    if _small(places):
         places = F.broadcast(places)
-    inside = F.col("_id") >= F.col("first")
+    inside = F.col(at) >= F.col("first")
     # Both passes split the files alike; if a listing changed in between, stop rather than misnumber.
-    checked = F.when(F.col("_id") <= F.col("last"), F.col("_id") - F.col("first") + F.col("before") + 2).otherwise(
+    checked = F.when(F.col(at) <= F.col("last"), F.col(at) - F.col("first") + F.col("before") + 2).otherwise(
         F.raise_error(F.lit("the files changed while they were landed")).cast("long")
     )
     return lines.join(places, ["_path", "_block"]).where(inside).withColumn("source_row_number", checked)
@@ -350,25 +365,27 @@ def _placed(lines: DataFrame, dumps: Dumps, *more: str) -> DataFrame:
 
 def _csv_rows(spark: SparkSession, dumps: Dumps, extra_cells: str) -> tuple[DataFrame, list[str] | None]:
     """Rows with their cells as contract columns; the layout if all files share one, else a ``cells`` map."""
-    lines = _lines(spark, dumps.path, "csv", dumps.sep, dumps.multi_line)
+    lines, at = _lines(spark, dumps.path), "_id"
+    if dumps.multi_line:
+        states = dumps.places.select("_path", "_block", "begins", "ends")
+        lines, at = quoted.read_rows(lines, states, dumps.sep, _small(states)), "_at"
     layouts = dumps.places.where(F.col("header").isNotNull()).select("header").distinct().limit(2).collect()
     beyond = F.raise_error(F.concat(F.lit("a row has more cells than its header has names, in "), F.col("source_file"))).cast("string")
-    if len(layouts) <= 1 and not dumps.multi_line:
+    if len(layouts) <= 1:
         headers = list(layouts[0].header) if layouts else list(HEADERS)
         width = len(headers) + 1
-        rows = _placed(lines, dumps).withColumn("_row", _parsed(F.col("value"), dumps.sep, width))
+        rows = _placed(lines, dumps, at=at).withColumn("_row", _parsed(F.col("value"), dumps.sep, width))
         cells = {h: F.col(f"_row._c{i}") for i, h in enumerate(headers) if h}
         over = F.col(f"_row._c{width - 1}").isNotNull()
         keep = [F.when(over, beyond).otherwise(c) if extra_cells == "raise" and k == 0 else c for k, c in enumerate(cells.values())]
         return rows.select("source_file", "_path", "_id", "source_row_number", *[c.alias(h) for h, c in zip(cells, keep)]), list(cells)
     # Files differ in their columns: cells by position, named by each file's own header.
-    rows = _placed(lines, dumps, "header")
-    if not dumps.multi_line:
-        width = (dumps.places.agg(F.max(F.size("header"))).first()[0] or 0) + 1
-        rows = rows.withColumn("cells", _as_array(_parsed(F.col("value"), dumps.sep, width), width))
+    width = (dumps.places.agg(F.max(F.size("header"))).first()[0] or 0) + 1
+    rows = _placed(lines, dumps, "header", at=at)
+    rows = rows.withColumn("cells", _as_array(_parsed(F.col("value"), dumps.sep, width), width))
     n = F.size("header")
     named = F.filter(F.arrays_zip(F.col("header").alias("h"), F.slice("cells", 1, n).alias("c")), lambda e: e["h"] != "")
-    over = F.exists(F.slice("cells", n + 1, MOST_COLUMNS), lambda c: c.isNotNull())
+    over = F.exists(F.slice("cells", n + 1, width), lambda c: c.isNotNull())
     cells = F.map_from_entries(named)
     if extra_cells == "raise":
         cells = F.when(over, F.map_from_arrays(F.array(beyond), F.array(beyond))).otherwise(cells)
@@ -376,7 +393,7 @@ def _csv_rows(spark: SparkSession, dumps: Dumps, extra_cells: str) -> tuple[Data
 
 
 def _json_rows(spark: SparkSession, dumps: Dumps) -> DataFrame:
-    lines = _lines(spark, dumps.path, "json", dumps.sep, False)
+    lines = _lines(spark, dumps.path)
     own = F.transform_keys(F.from_json("value", "map<string,string>"), lambda k, v: F.trim(k))
     # The names of the file, in the row's own spelling of the values; a line that is no object keeps its text.
     whole = F.map_from_arrays("header", F.transform("header", lambda h: F.element_at(F.col("_own"), h)))

@@ -221,3 +221,20 @@ def test_emptied_dumps_and_ids(spark, tmp_path):
     assert [(r.source_file, r.refid) for r in stored] == [("c.csv", "3")] and stored[0].ingestion_id > 3
     rows = landing.read_landed(spark, table)
     assert landing.replace_by_file(rows, rows.limit(0), spark.createDataFrame([("c.csv",)], "source_file string")).count() == 0
+
+
+def test_columnar_headers_belong_to_their_dump(spark, tmp_path):
+    folder = str(tmp_path)
+    spark.sql("select 'r1' as REFID").write.parquet(f"{folder}/source_file=one.csv")
+    spark.sql("select 'r2' as REFID, 'x' as Odd").write.parquet(f"{folder}/source_file=two.csv")
+    spark.sql("select 'v' as Venue").write.mode("append").parquet(f"{folder}/source_file=two.csv")
+    headers = {tuple(r) for r in landing.dump_headers(spark, folder, "parquet").collect()}
+    assert headers == {("one.csv", "REFID"), ("two.csv", "REFID"), ("two.csv", "Odd"), ("two.csv", "Venue")}
+    assert [tuple(r) for r in landing.check_headers(landing.dump_headers(spark, folder, "parquet")).collect()] == [("two.csv", "Odd")]
+
+
+def test_places_beyond_the_broadcast_size_are_joined(spark, mixed, monkeypatch):
+    want = sorted(landing.landing_scan(spark, mixed).drop("ingested_at").collect())
+    monkeypatch.setattr(landing, "BROADCAST_BYTES", 0)
+    got = landing.landing_scan(spark, mixed)
+    assert sorted(got.drop("ingested_at").collect()) == want
