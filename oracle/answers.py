@@ -470,18 +470,89 @@ ranked as (
     order by abs(x - mid) / (case when mad = 0 then 1 else mad end) desc, i) as place
   from spread
 )""" % (", ".join(f"'{label}'" for label in _LABELS), ", ".join(FEATURES))
+def _draw(*parts: str) -> str:
+    """The forest's draws: the first twelve hex digits of an md5, as a share of 16 ** 12."""
+    return f"(cast('0x' || substr(md5(concat_ws('|', 42, {', '.join(parts)})), 1, 12) as bigint) / 281474976710656.0)"
+
+
+_EACH = range(1, 11)
+_VARYING = "list_filter(range(10), lambda k: high[k + 1] > low[k + 1])"
+_STATS = f"""count(*) as n, [{', '.join(f'min(x[{k}])' for k in _EACH)}] as low, [{', '.join(f'max(x[{k}])' for k in _EACH)}] as high"""
+_SPLIT = f"""select *, if(n > 1 and depth < cap and len({_VARYING}) > 0,
+    ({_VARYING})[1 + cast(floor({_draw("tree", "node", "'feature'")} * len({_VARYING})) as int)], -1) as feature"""
+# Levels of all trees by recursion: a row moves on while its node is split.
+FOREST = "recursive " + DRIVERS.strip() + f""",
+points as (
+  select row_number() over (order by source_file, report_date) as r, source_file, report_date,
+    source_file || '|' || coalesce(report_date, '') as row_key, cast([{', '.join(FEATURES)}] as double[]) as x from features
+),
+size as (select count(*) as all_rows, least(count(*), 256) as m, cast(ceil(log2(greatest(least(count(*), 256), 2))) as int) as cap from points),
+sampled as (
+  select tree, r, x from (
+    select tree, r, x, row_number() over (partition by tree order by {_draw("tree", "row_key")}, row_key) as place
+    from points, (select unnest(range(100)) as tree)
+  ), size where place <= m
+),
+levels as (
+  select tree, r, x, 1::bigint as node, 0 as depth from sampled
+  union all (
+    with split as ({_SPLIT} from (select tree, node, depth, {_STATS} from levels group by tree, node, depth), size)
+    select l.tree, l.r, l.x, 2 * l.node + cast(l.x[s.feature + 1] > s.low[s.feature + 1]
+      + {_draw("l.tree", "l.node", "'threshold'")} * (s.high[s.feature + 1] - s.low[s.feature + 1]) as int), l.depth + 1
+    from levels l join split s on s.tree = l.tree and s.node = l.node where s.feature >= 0
+  )
+),
+nodes as (
+  select tree, node, depth, n as rows, feature,
+    if(feature >= 0, low[feature + 1] + {_draw("tree", "node", "'threshold'")} * (high[feature + 1] - low[feature + 1]), null) as threshold,
+    if(feature < 0, depth + if(n <= 1, 0.0, if(n = 2, 1.0, 2.0 * (ln(n - 1.0::double) + 0.5772156649015329) - 2.0 * (n - 1) / n)), null)::double as path
+  from ({_SPLIT} from (select tree, node, depth, {_STATS} from levels group by tree, node, depth), size)
+),
+walked as (
+  select tree, r, x, 1::bigint as node from points, (select unnest(range(100)) as tree)
+  union all
+  select w.tree, w.r, w.x, 2 * w.node + cast(w.x[n.feature + 1] > n.threshold as int)
+  from walked w join nodes n on n.tree = w.tree and n.node = w.node where n.feature >= 0
+),
+isolated as (
+  select r, round(pow(2.0, -(sum(path) / 100) / greatest(any_value(if(m <= 1, 0.0, if(m = 2, 1.0,
+    2.0 * (ln(m - 1.0::double) + 0.5772156649015329) - 2.0 * (m - 1) / m))), 1e-12)), 12) as isolation
+  from walked join nodes using (tree, node), size where feature < 0 group by r
+),
+ordered as (
+  select list(isolation order by isolation) as l, (count(*) - 1) * (1 - least(0.2, greatest(1.0::double / count(*), 0.05))) as place from isolated
+),
+relative as (
+  select r, isolation - (select l[cast(floor(place) as int) + 1] + (place - floor(place)) * (l[cast(ceil(place) as int) + 1] - l[cast(floor(place) as int) + 1]) from ordered) as above
+  from isolated
+),
+scored as (
+  select source_file, report_date, cast(round((above - min(above) over ()) / nullif(max(above) over () - min(above) over (), 0) * 100, 4) as double) as ml_score,
+    above > 0 as predicted
+  from relative join points using (r)
+)"""
 _SCORE_ID = "md5('isolation_forest_source_day_v1|' || c.source_file || '|' || coalesce(cast(c.day as varchar), 'None'))"
-ML_ROWS = q(
-    DRIVERS,
-    f"""select {_SCORE_ID} as ml_score_id, 'isolation_forest_source_day_v1' as model_name, c.source_file,
+_BAND = "if(ml_score >= 80, 'critical', if(ml_score >= 60, 'high', if(ml_score >= 35, 'medium', if(ml_score >= 15, 'low', 'normal'))))"
+_OUTLIER = "(predicted or ml_score >= 80)"
+ML = FOREST + f""",
+ml as (
+  select {_SCORE_ID} as ml_score_id, 'isolation_forest_source_day_v1' as model_name, c.source_file,
     cast(c.day as varchar) as report_date, {money('c.score')} as rule_anomaly_score, c.band as rule_risk_band,
-    r.label as model_driver, c.driver as primary_driver, c.rows_all as total_bet_rows, c.issues_all as total_issue_rows,
+    ml_score as ml_anomaly_score, {_BAND} as ml_risk_band, cast({_OUTLIER} as varchar) as model_outlier_flag,
+    r.label as model_driver, c.driver as primary_driver,
+    if({_OUTLIER} and c.band in ('critical', 'high'), 'Investigate immediately; ML agrees with rule-based anomaly pressure',
+      if({_OUTLIER}, 'Review model-only anomaly against raw transactions',
+      if({_BAND} in ('medium', 'high'), 'Monitor during daily reconciliation', 'No ML action required'))) as recommended_action,
+    c.rows_all as total_bet_rows, c.issues_all as total_issue_rows,
     c.alerts as alert_count, coalesce({r4('c.dup_r4')}, 0.0) as duplicate_ratio,
     coalesce({r4('c.neg_r4')}, 0.0) as negative_stake_ratio, coalesce({r4('c.issue_r4')}, 0.0) as issue_ratio,
     coalesce({r4('c.paid_r4')}, 0.0) as payout_ratio, {money('(c.stake - c.payout)')} as net_revenue_amount
-    from carded c join ranked r on r.source_file = c.source_file and r.place = 1
-      and r.report_date is not distinct from cast(c.day as varchar)""",
-)
+  from carded c join ranked r on r.source_file = c.source_file and r.place = 1
+      and r.report_date is not distinct from cast(c.day as varchar)
+    join scored s on s.source_file = c.source_file and s.report_date is not distinct from cast(c.day as varchar)
+)"""
+ML_ROWS = q(ML, "select * from ml")
+ML_ORDER = "order by ml_anomaly_score desc, rule_anomaly_score desc, report_date nulls last, source_file"
 TRIAGE = {
     "ml_feature_rows": q(R.SCORES, "select " + pick(CARD_OUT, (
         "anomaly_id", "source_file", "report_date", "anomaly_score", "risk_band", "primary_driver",
@@ -504,14 +575,11 @@ TRIAGE = {
              else 'No ML action required' end as recommended_action from judged"""),
     "ml_robust_driver": q(DRIVERS, "select source_file, report_date, label as model_driver from ranked where place = 1"),
     "ml_scores": ML_ROWS,
-    "ml_report_metrics": q(R.SCORES, "select count(*) as row_count, 100.0::double as max_ml_anomaly_score, least(count(*), 5)::int as top_row_count from carded"),
-    "isolation_forest_fit": "select range as tree, 1 as leaves_beyond_inner, 'true' as rooted, 'true' as dense, 'true' as shallow from range(100)",
-    "isolation_forest_score": q(
-        R.SCORES,
-        """select count(*) as row_count, 0.0::double as lowest, 100.0::double as highest,
-        cast(count(*) - 1 - floor((count(*) - 1) * (1 - least(0.2, greatest(1.0 / count(*), 0.05)))) as bigint) as outlier_count
-        from carded""",
-    ),
+    "ml_report_metrics": q(ML, f"""select count(*) as row_count, count(*) filter (model_outlier_flag = 'true') as outlier_count,
+        max(ml_anomaly_score) as max_ml_anomaly_score, (select '[' || string_agg('{{"ml_score_id":"' || ml_score_id || '","ml_anomaly_score":'
+        || ml_anomaly_score || '}}', ',' {ML_ORDER}) || ']' from (select * from ml {ML_ORDER} limit 5)) as top_rows from ml"""),
+    "isolation_forest_fit": q(FOREST, "select tree, node, depth, rows, feature, round(threshold, 6) as threshold, round(path, 6) as path from nodes"),
+    "isolation_forest_score": q(FOREST, "select source_file, report_date, ml_score as ml_anomaly_score, cast(predicted as varchar) as predicted_outlier from scored"),
     "exact_quantile": q(
         R.BETS,
         f"select {', '.join(f'round(quantile_cont({c}, {p}) / 100, 6) as {c}_{int(p * 100)}' for c in ('stake', 'payout') for p in (0.5, 0.95))} from bets",
@@ -539,13 +607,15 @@ SUMMARIES = {
     "eod_alert_summary": q(R.FEED, "select severity, alert_type, count(*) as alert_count from feed group by all"),
     "eod_quality_issues": q(R.ISSUES, "select issue_type, count(*) as issue_count from issues group by 1"),
     "dash_kpis": q(
-        R.FEED + R.SCORES[len(R.SOURCE_ALERTS):],
+        ML + R.FEED[len(R.SOURCE_ALERTS):],
         f"""select count(*) as source_day_count, {big('sum(rows_all)')} as total_bet_rows,
         count(*) filter (issues_all > 0) as review_source_day_count,
         count(*) filter (band in ('critical', 'high')) as high_risk_source_day_count,
         {money('sum(stake)')} as total_stake_amount, {money('sum(payout)')} as total_payout_amount,
         {money('sum(stake - payout)')} as net_revenue_amount, {money('max(score)')} as max_rule_score,
-        (select count(*) from feed) as alert_count from carded""",
+        (select count(*) from feed) as alert_count,
+        (select count(*) filter (model_outlier_flag = 'true') from ml) as ml_outlier_count, (select max(ml_anomaly_score) from ml) as max_ml_score
+        from carded""",
     ),
     "dash_top_anomalies": q(R.SCORES, f"select {pick(CARD_OUT)} from carded order by score desc, day nulls last, source_file limit 5"),
     "dash_alert_mix": q(
@@ -562,7 +632,7 @@ SUMMARIES = {
     "export_scorecard": q(R.SCORES, f"select {pick(CARD_OUT)} from carded"),
     "csv_sink": q(R.SCORES, f"select {pick(CARD_OUT)}, count(*) over () as rows_written from carded"),
     "ml_scores_sink": ML_ROWS,
-    "dash_top_ml": q(R.SCORES, "select least(count(*), 5) as row_count, 100.0::double as highest, 'true' as above_the_rest from carded"),
+    "dash_top_ml": q(ML, f"select * from ml {ML_ORDER} limit 5"),
     "artifact_scan": q(R.SCORES, "select 'present' as artifact, count(*) as row_count from carded union all select 'missing', 0"),
 }
 
@@ -600,13 +670,15 @@ CHECKS = {
         ('loss_day_payout_ratio'), ('bookmaker_loss_day')) e(alert_type)
         where e.alert_type not in (select alert_type from feed where source_file in {FILES})""",
     ),
-    "gate_ml_metrics": q(R.SCORES, f"select count(*) as ml_row_count, 'true' as bounded from carded where source_file in {FILES}"),
+    "gate_ml_metrics": q(ML, f"""select count(*) as ml_row_count, count(*) filter (model_outlier_flag = 'true') as ml_outlier_count,
+        max(ml_anomaly_score) as max_ml_anomaly_score from ml where source_file in {FILES}"""),
     "run_metrics": q(
-        R.FEED + R.SCORES[len(R.SOURCE_ALERTS):] + R.ISSUES[len(R.BETS):],
+        ML + R.FEED[len(R.SOURCE_ALERTS):] + R.ISSUES[len(R.BETS):],
         f"""select count(*) as anomaly_row_count, {money('max(score)')} as max_anomaly_score,
         count(*) filter (band = 'critical') as critical_anomaly_count, (select count(*) from feed) as alert_row_count,
         (select count(*) from issues) as issue_row_count, 0::bigint as failed_check_count, count(*) as ml_row_count,
-        100.0::double as max_ml_anomaly_score from carded""",
+        (select count(*) filter (model_outlier_flag = 'true') from ml) as ml_outlier_count,
+        (select max(ml_anomaly_score) from ml) as max_ml_anomaly_score from carded""",
     ),
     "gate_checks": q(
         R.FEED + R.SCORES[len(R.SOURCE_ALERTS):],

@@ -1,26 +1,18 @@
 """Isolation-Forest triage score beside the rule score.
 
-The forest follows Liu, Ting and Zhou (2008): trees grow on small subsamples, so
-fitting is one grouped-map over (tree, subsample) and scoring is one
-partition-wise map with the finished forest, at most ``trees * (2 * 256 - 1)``
-nodes, broadcast to the tasks.
+Features, scaling and verdict are projections over the scorecard; the forest is a
+table of nodes, see ``operators.forest``.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-from dataclasses import dataclass
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyward.functions import keys as K
 from tallyward.functions.bands import risk_band
-from tallyward.operators.quantiles import exact_quantile
+from tallyward.operators.forest import fit_forest, forest_scores
+from tallyward.operators.quantiles import SMALL_ROWS, exact_quantile
 from tallyward.sources.shared import cut
 
 # Fixed value.
@@ -45,7 +37,10 @@ FEATURES = (
     ("net_revenue_amount", "net revenue movement", "signed_log1p"),
 )
 FEATURE_COLUMNS = [f"f_{name}" for name, _, _ in FEATURES]
+#: What tells the rows of a scorecard apart.
+FOREST_KEY = ["source_file", "report_date"]
 
+# The columns read and written.
 ML_INPUT_COLUMNS = [
     "anomaly_id",
     "source_file",
@@ -131,153 +126,6 @@ def standard_scaler(features: DataFrame, columns: list[str] | None = None) -> Da
     ).drop("_stats")
 
 
-def average_path(n: np.ndarray) -> np.ndarray:
-    """Expected path length of an unsuccessful search among n points."""
-    n = np.asarray(n, dtype=float)
-    long = 2.0 * (np.log(np.maximum(n - 1.0, 1.0)) + np.euler_gamma) - 2.0 * (n - 1.0) / np.maximum(n, 1.0)
-    return np.where(n <= 1, 0.0, np.where(n == 2, 1.0, long))
-
-
-def _grow(points: np.ndarray, rng: np.random.Generator, depth_cap: int) -> list[tuple]:
-    """Nodes (id, feature, threshold, left, right, path length at a leaf)."""
-    nodes: list[tuple] = []
-    pending = [(np.arange(len(points)), 0, 0)]
-    nodes.append(None)
-    while pending:
-        members, node, depth = pending.pop()
-        cell = points[members]
-        lows, highs = cell.min(axis=0), cell.max(axis=0)
-        splittable = np.flatnonzero(highs > lows)
-        if depth >= depth_cap or len(members) <= 1 or len(splittable) == 0:
-            nodes[node] = (node, -1, 0.0, -1, -1, depth + float(average_path(len(members))))
-            continue
-        feature = int(rng.choice(splittable))
-        threshold = float(rng.uniform(lows[feature], highs[feature]))
-        goes_left = cell[:, feature] <= threshold
-        left, right = len(nodes), len(nodes) + 1
-        nodes.extend([None, None])
-        nodes[node] = (node, feature, threshold, left, right, 0.0)
-        pending.append((members[goes_left], left, depth + 1))
-        pending.append((members[~goes_left], right, depth + 1))
-    return nodes
-
-
-@dataclass(frozen=True)
-class Forest:
-    """Flat node arrays; ``roots`` holds each tree's first node."""
-
-    roots: np.ndarray
-    feature: np.ndarray
-    threshold: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-    path: np.ndarray
-    subsample: int
-    depth_cap: int
-
-    def scores(self, points: np.ndarray) -> np.ndarray:
-        """2 ** (-mean path / expected path): near 1 is isolated early."""
-        total = np.zeros(len(points))
-        rows = np.arange(len(points))
-        for root in self.roots:
-            node = np.full(len(points), root)
-            for _ in range(self.depth_cap):
-                feature = self.feature[node]
-                inner = feature >= 0
-                if not inner.any():
-                    break
-                below = points[rows, np.maximum(feature, 0)] <= self.threshold[node]
-                node = np.where(inner, np.where(below, self.left[node], self.right[node]), node)
-            total += self.path[node]
-        expected = max(float(average_path(self.subsample)), 1e-12)
-        return np.power(2.0, -(total / len(self.roots)) / expected)
-
-
-NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, path double"
-
-
-def tree_subsamples(
-    features: DataFrame, rows: int, key: list[str], trees: int = TREES, subsample: int = SUBSAMPLE, seed: int = SEED
-) -> DataFrame:
-    """(tree, feature columns): the rows with the smallest hash of (seed, tree, row key) per tree.
-
-    Each row first drops out of all trees where its hash is too large to be among
-    the smallest, keeping about four candidates per place, so what is shuffled
-    and ranked is bounded by the forest, not by the rows. Hashes make the draw
-    the same under any partitioning and after any retry.
-    """
-    share = min(1.0, 4.0 * subsample / max(rows, 1))
-    drawn = features.select(
-        *FEATURE_COLUMNS,
-        F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]).alias("_key"),
-    )
-    ceiling = int(-(2**63) + share * (2**64 - 1)) if share < 1.0 else 2**63 - 1
-    draws = F.transform(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda tree: F.struct(tree.alias("tree"), F.xxhash64(F.lit(seed), tree, F.col("_key")).alias("_draw")),
-    )
-    # Most rows are drawn by no tree; only the trees that draw a row make a copy of it.
-    won = F.filter(draws, lambda d: d["_draw"] <= F.lit(ceiling))
-    candidates = drawn.withColumn("_won", F.explode(won)).select(*FEATURE_COLUMNS, "_key", "_won.tree", "_won._draw")
-    place = F.row_number().over(Window.partitionBy("tree").orderBy("_draw", "_key"))
-    return (
-        candidates.withColumn("_place", place)
-        .where(F.col("_place") <= min(subsample, rows))
-        .select("tree", "_place", *FEATURE_COLUMNS)
-    )
-
-
-def fit_forest(
-    features: DataFrame, rows: int, key: list[str], trees: int = TREES, subsample: int = SUBSAMPLE, seed: int = SEED
-) -> DataFrame:
-    """Node table of the forest; each tree grows in its own task from at most ``subsample`` rows."""
-    size = min(subsample, rows)
-    depth_cap = math.ceil(math.log2(max(size, 2)))
-
-    def grow(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("_place")
-        tree = int(group["tree"].iloc[0])
-        nodes = _grow(group[FEATURE_COLUMNS].to_numpy(float), np.random.default_rng([seed, tree]), depth_cap)
-        out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "left", "right", "path"])
-        out.insert(0, "tree", tree)
-        return out
-
-    return tree_subsamples(features, rows, key, trees, subsample, seed).groupBy("tree").applyInPandas(
-        grow, NODE_SCHEMA
-    )
-
-
-def collect_forest(nodes: DataFrame, rows: int, subsample: int = SUBSAMPLE) -> Forest:
-    """Gather the node table, whose size depends on the forest alone."""
-    table = nodes.toPandas().sort_values(["tree", "node"]).reset_index(drop=True)
-    first = table.groupby("tree").head(1).index.to_numpy()
-    base = np.repeat(first, np.diff(np.append(first, len(table))))
-    size = min(subsample, rows)
-    return Forest(
-        roots=first,
-        feature=table["feature"].to_numpy(),
-        threshold=table["threshold"].to_numpy(),
-        left=table["left"].to_numpy() + base,
-        right=table["right"].to_numpy() + base,
-        path=table["path"].to_numpy(),
-        subsample=size,
-        depth_cap=math.ceil(math.log2(max(size, 2))),
-    )
-
-
-def forest_scores(features: DataFrame, forest: Forest) -> DataFrame:
-    """Input rows plus ``isolation``, scored partition by partition."""
-    shared = features.sparkSession.sparkContext.broadcast(forest)
-    schema = T.StructType([*features.schema.fields, T.StructField("isolation", T.DoubleType())])
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            points = batch[FEATURE_COLUMNS].to_numpy(float)
-            yield batch.assign(isolation=shared.value.scores(points))
-
-    return features.mapInPandas(score, schema)
-
-
 def normalize_scores(df: DataFrame, raw: str, fallback: str, out: str) -> DataFrame:
     """Min-max to 0..100; when all raw scores are close, the fallback clamped to 0..100."""
     span = df.agg(F.struct(F.min(raw).alias("low"), F.max(raw).alias("high"))).scalar()
@@ -292,13 +140,20 @@ def normalize_scores(df: DataFrame, raw: str, fallback: str, out: str) -> DataFr
     )
 
 
-def robust_drivers(features: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Add ``model_driver``: the feature farthest from its median in units of its MAD."""
+def _medians(df: DataFrame, columns: list[str], rows: int | None) -> Column:
+    """Exact medians as one struct; of a number of rows known to be small, in one aggregation."""
+    if rows is not None and rows <= SMALL_ROWS:
+        return df.agg(F.struct(*[F.percentile(c, 0.5).alias(c) for c in columns])).scalar()
+    return exact_quantile(df, columns, 0.5).select(F.struct(*columns)).scalar()
+
+
+def robust_drivers(features: DataFrame, columns: list[str] | None = None, rows: int | None = None) -> DataFrame:
+    """Add ``model_driver``: the feature farthest from its median in units of its MAD. ``rows``: how many there are, where known."""
     columns = columns or FEATURE_COLUMNS
-    medians = exact_quantile(features, columns, 0.5).select(F.struct(*columns)).scalar()
+    medians = _medians(features, columns, rows)
     centred = features.withColumn("_median", medians)
     deviations = [F.abs(F.col(c) - F.col(f"_median.{c}")).alias(c) for c in columns]
-    mads = exact_quantile(centred.select(*deviations), columns, 0.5).select(F.struct(*columns)).scalar()
+    mads = _medians(centred.select(*deviations), columns, rows)
     labels = F.array(*[F.lit(label) for _, label, _ in FEATURES])
     scores = F.array(
         *[
@@ -351,10 +206,8 @@ def isolation_scores(
     The cut is the exact (1 - contamination) quantile of the scores; rows above
     it are predicted outliers.
     """
-    forest = collect_forest(
-        fit_forest(features, rows, ["source_file", "report_date"], trees, subsample, seed), rows, subsample
-    )
-    scored = cut(forest_scores(features, forest), "isolation_scores")
+    nodes = cut(fit_forest(features, rows, FOREST_KEY, FEATURE_COLUMNS, trees, subsample, seed), "forest")
+    scored = cut(forest_scores(features, nodes, rows, FEATURE_COLUMNS, trees, subsample), "isolation_scores")
     threshold = exact_quantile(scored, ["isolation"], 1 - contamination(rows)).scalar()
     relative = scored.withColumn("isolation", F.col("isolation") - threshold)
     normal = normalize_scores(relative, "isolation", "anomaly_score", "ml_anomaly_score")
@@ -393,7 +246,7 @@ def ml_scores(
         scored = small_batch_scores(features)
     else:
         scored = isolation_scores(features, rows, trees, subsample, seed)
-    verdict = with_ml_verdict(robust_drivers(scored))
+    verdict = with_ml_verdict(robust_drivers(scored, rows=rows))
     ratios = ("duplicate_ratio", "negative_stake_ratio", "issue_ratio", "payout_ratio")
     return (
         verdict.withColumns(

@@ -7,7 +7,6 @@ as CSV into the shared folder and then read it back through the landing scan.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -24,7 +23,7 @@ from tallyward.operators import gates as G
 from tallyward.operators import quality as Q
 from tallyward.operators import reconcile as R
 from tallyward.operators import scorecard as S
-from tallyward.operators import staging, summaries, triage
+from tallyward.operators import forest, staging, summaries, triage
 from tallyward.operators.quantiles import exact_quantiles
 from tallyward.plans import pipeline
 from tallyward.session import tune
@@ -385,34 +384,16 @@ def rounded_features(df: DataFrame) -> DataFrame:
 
 
 def forest_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What holds for every tree, whatever its draws: binary, rooted at 0, no deeper than the cap."""
+    """Every node of the forest."""
     rows = features_cut(spark, sf_dir)
-    count = rows.count()
-    nodes = triage.fit_forest(rows, count, DAY)
-    size = min(count, triage.SUBSAMPLE)
-    longest = math.ceil(math.log2(max(size, 2))) + float(triage.average_path(size))
-    leaf = F.col("feature") == -1
-    return nodes.groupBy("tree").agg(
-        (F.count_if(leaf) - F.count_if(~leaf)).alias("leaves_beyond_inner"),
-        (F.min("node") == 0).alias("rooted"),
-        (F.max("node") + 1 == F.count(F.lit(1))).alias("dense"),
-        (F.max("path") <= longest).alias("shallow"),
-    )
+    nodes = forest.fit_forest(rows, rows.count(), triage.FOREST_KEY, triage.FEATURE_COLUMNS, triage.TREES, triage.SUBSAMPLE, triage.SEED)
+    # Logarithms of two libraries differ in their last digits.
+    return nodes.select("tree", "node", "depth", "rows", "feature", *[F.round(c, 6).alias(c) for c in ("threshold", "path")])
 
 
 def forest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What holds for the scores: their range, and how many lie above the outlier cut."""
     rows = features_cut(spark, sf_dir)
-    return triage.isolation_scores(rows, rows.count()).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.min("ml_anomaly_score").alias("lowest"),
-        F.max("ml_anomaly_score").alias("highest"),
-        F.count_if("predicted_outlier").alias("outlier_count"),
-    )
-
-
-#: Columns that the forest's draws decide.
-FOREST_COLUMNS = ("ml_anomaly_score", "ml_risk_band", "model_outlier_flag", "recommended_action")
+    return triage.isolation_scores(rows, rows.count()).select(*DAY, "ml_anomaly_score", "predicted_outlier")
 
 
 def ml_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -421,25 +402,11 @@ def ml_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ml_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     figures = triage.ml_figures(cut(ml_scores(spark, sf_dir), "ml_scores"))
-    return figures.select("row_count", "max_ml_anomaly_score", F.json_array_length("top_rows").alias("top_row_count"))
-
-
-def top_ml_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dashboard's first rows against all the others."""
-    scores = cut(ml_scores(spark, sf_dir), "ml_scores")
-    top = cut(summaries.dash_top_ml(scores), "top")
-    rest = scores.join(top.select("ml_score_id"), "ml_score_id", "left_anti").agg(F.max("ml_anomaly_score")).scalar()
-    return top.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.max("ml_anomaly_score").alias("highest"),
-        F.coalesce(F.min("ml_anomaly_score") >= rest, F.lit(True)).alias("above_the_rest"),
-    )
-
-
-def gate_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = G.gate_ml_metrics(ml_scores(spark, sf_dir), FILES)
-    bounded = F.col("ml_outlier_count").between(0, F.col("ml_row_count")) & F.col("max_ml_anomaly_score").between(0, 100)
-    return found.select("ml_row_count", bounded.alias("bounded"))
+    listed = F.from_json("top_rows", "array<struct<ml_score_id: string, ml_anomaly_score: double>>")
+    return figures.select(
+        "row_count", "outlier_count", "max_ml_anomaly_score",
+        F.to_json(listed).alias("top_rows"),
+    )
 
 
 def amount_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -470,7 +437,7 @@ TRIAGE: dict[str, Query] = {
     "ml_robust_driver": of(features_cut, lambda df: triage.robust_drivers(df).select(*DAY, "model_driver")),
     "ml_outlier_flag": of(rule_only, lambda df: df.select(*DAY, "model_outlier_flag")),
     "ml_recommended_action": of(rule_only, lambda df: df.select(*DAY, "recommended_action")),
-    "ml_scores": of(ml_scores, lambda df: df.drop(*FOREST_COLUMNS)),
+    "ml_scores": ml_scores,
     "ml_report_metrics": ml_report,
     "exact_quantile": amount_quantiles,
 }
@@ -490,11 +457,7 @@ def eod_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dash_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports = report_tables(spark, sf_dir)
     ml = cut(triage.ml_scores(reports.anomaly_scorecard), "ml_scores")
-    figures = summaries.dash_kpis(
-        reports.daily_reconciliation_summary, reports.anomaly_scorecard, reports.alert_feed, ml
-    )
-    # The forest's own two figures have no SQL equivalent.
-    return figures.drop("ml_outlier_count", "max_ml_score")
+    return summaries.dash_kpis(reports.daily_reconciliation_summary, reports.anomaly_scorecard, reports.alert_feed, ml)
 
 
 def csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -509,7 +472,7 @@ def ml_scores_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = ml_scores(spark, sf_dir)
     folder = f"{new_folder(spark, 'exports')}/ml_anomaly_scores.csv"
     exports.write_csv(scores, folder)
-    return exports.read_artifact(spark, folder, scores.schema).drop(*FOREST_COLUMNS)
+    return exports.read_artifact(spark, folder, scores.schema)
 
 
 def artifact_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -537,7 +500,7 @@ SUMMARIES: dict[str, Query] = {
     "eod_quality_issues": of(issues, summaries.eod_quality_issues),
     "dash_kpis": dash_kpis,
     "dash_top_anomalies": of(card, summaries.dash_top_anomalies),
-    "dash_top_ml": top_ml_check,
+    "dash_top_ml": of(ml_scores, summaries.dash_top_ml),
     "dash_alert_mix": of(feed, summaries.dash_alert_mix),
     "dash_issue_mix": of(issue_days, summaries.dash_issue_mix),
     "export_daily_reconciliation": exported("daily_reconciliation_summary", recon),
@@ -612,8 +575,7 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         G.gate_alert_types(reports.alert_feed, FILES),
         G.gate_ml_metrics(ml, FILES),
     )
-    # How many outliers there are is the forest's to say.
-    return pipeline.run_metrics(checks, reports, ml).drop("ml_outlier_count")
+    return pipeline.run_metrics(checks, reports, ml)
 
 
 def some(df: DataFrame, column: str, wrong: str | int, when: str) -> DataFrame:
@@ -658,7 +620,7 @@ CHECKS: dict[str, Query] = {
             G.gate_alert_types(df, FILES), [*G.EXPECTED_ALERT_TYPES, "bookmaker_loss_day"]
         ),
     ),
-    "gate_ml_metrics": gate_ml,
+    "gate_ml_metrics": of(ml_scores, lambda df: G.gate_ml_metrics(df, FILES)),
     "gate_checks": gate_checks,
     "output_inventory": output_inventory,
     "run_metrics": run_metrics,

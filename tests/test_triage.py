@@ -1,3 +1,6 @@
+import hashlib
+import math
+import random
 from datetime import date
 from decimal import Decimal
 
@@ -5,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tallyward.operators import triage
+from tallyward.operators import forest, triage
 
 SCHEMA = (
     "anomaly_id string, source_file string, report_date date, anomaly_score decimal(6,2), risk_band string, "
@@ -102,10 +105,10 @@ def test_subsamples_are_bounded_full_and_repeatable(spark):
     n = 6000
     features = triage.with_features(big_card(spark, n))
     key = ["source_file", "report_date"]
-    first = triage.tree_subsamples(features, n, key, trees=20)
+    first = forest.tree_subsamples(features, n, key, triage.FEATURE_COLUMNS, 20, 256, 42)
     sizes = {r.tree: r["count"] for r in first.groupBy("tree").count().collect()}
     assert set(sizes.values()) == {256} and len(sizes) == 20
-    again = triage.tree_subsamples(features.repartition(7), n, key, trees=20)
+    again = forest.tree_subsamples(features.repartition(7), n, key, triage.FEATURE_COLUMNS, 20, 256, 42)
     assert first.exceptAll(again).count() == 0
 
 
@@ -120,12 +123,58 @@ def test_scores_do_not_depend_on_partitioning(spark):
     assert one.ml_anomaly_score.max() == 100.0 and one.ml_anomaly_score.min() == 0.0
 
 
-def test_tree_depth_and_path_lengths():
-    import numpy as np
-
-    rng = np.random.default_rng(0)
-    points = np.vstack([rng.normal(size=(255, 10)), np.full((1, 10), 50.0)])
-    nodes = triage._grow(points, np.random.default_rng(1), 8)
-    assert len(nodes) <= 2 * 256 - 1
-    assert float(triage.average_path(2)) == 1.0 and float(triage.average_path(1)) == 0.0
-    assert float(triage.average_path(256)) == pytest.approx(10.244, abs=1e-2)
+def drawn(*parts):
+    return int(hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()[:12], 16) / 16**12
+
+
+def expected_path(n):
+    return 0.0 if n <= 1 else 1.0 if n == 2 else 2 * (math.log(n - 1) + forest.EULER) - 2 * (n - 1) / n
+
+
+def grow(tree, points, cap, seed=42):
+    """The same forest, one node after the other."""
+    out, pending = {}, [(1, 0, points)]
+    while pending:
+        node, depth, rows = pending.pop()
+        lows, highs = [min(c) for c in zip(*rows)], [max(c) for c in zip(*rows)]
+        vary = [k for k in range(len(lows)) if highs[k] > lows[k]]
+        if depth == cap or len(rows) == 1 or not vary:
+            out[node] = (depth, len(rows), -1, None, depth + expected_path(len(rows)))
+            continue
+        k = vary[int(drawn(seed, tree, node, "feature") * len(vary))]
+        at = lows[k] + drawn(seed, tree, node, "threshold") * (highs[k] - lows[k])
+        out[node] = (depth, len(rows), k, at, None)
+        pending += [(2 * node, depth + 1, [r for r in rows if r[k] <= at]), (2 * node + 1, depth + 1, [r for r in rows if r[k] > at])]
+    return out
+
+
+def test_forest_equals_one_grown_node_by_node(spark):
+    draw = random.Random(4)
+    rows = [(f"f{i}", draw.choice([0.0, 1.0, draw.random()]), float(i % 5), 3.0) for i in range(90)] + [("same", 0.5, 1.0, 3.0)] * 3
+    rows = [(f"{r[0]}-{i}", *r[1:]) for i, r in enumerate(rows)]
+    columns, trees, subsample = ["a", "b", "c"], 6, 64
+    features = spark.createDataFrame(rows, "key string, a double, b double, c double").repartition(5)
+    nodes = forest.fit_forest(features, len(rows), ["key"], columns, trees, subsample, 42)
+    got = {}
+    for r in nodes.collect():
+        got.setdefault(r["tree"], {})[r["node"]] = (r["depth"], r["rows"], r["feature"], r["threshold"], r["path"])
+    want = {}
+    for tree in range(trees):
+        sample = sorted(rows, key=lambda r: drawn(42, tree, r[0]))[:subsample]
+        want[tree] = grow(tree, [r[1:] for r in sample], 6)
+    assert {t: {n: v[:4] for n, v in ns.items()} for t, ns in got.items()} == {t: {n: v[:4] for n, v in ns.items()} for t, ns in want.items()}
+    scores = {r["key"]: r["isolation"] for r in forest.forest_scores(features, nodes, len(rows), columns, trees, subsample).collect()}
+    for key, *x in rows:
+        total = 0.0
+        for tree in range(trees):
+            node = 1
+            while want[tree][node][2] >= 0:
+                _, _, k, at, _ = want[tree][node]
+                node = 2 * node + (x[k] > at)
+            total += want[tree][node][4]
+        assert scores[key] == pytest.approx(2 ** -(total / trees / expected_path(subsample)), abs=1e-11)
+
+
+def test_path_lengths(spark):
+    got = [r[0] for r in spark.createDataFrame([(n,) for n in (1, 2, 256)], "n long").select(forest.average_path(F.col("n"))).collect()]
+    assert got[:2] == [0.0, 1.0] and got[2] == pytest.approx(10.244, abs=1e-2)
