@@ -279,5 +279,5 @@ def contaminated(
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Rows of ``docs`` that no benchmark item contaminates; columns as they came."""
-    gone = contaminated(docs, benchmark, id_col=id_col, text_col=text_col, **options).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    gone = contaminated(docs, benchmark, id_col=id_col, text_col=text_col, **options).select(id_col).distinct()
+    return docs.join(gone, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -8,11 +8,14 @@ similarity for short texts too. ``BINS / ROWS`` bands give buckets.
 Candidates are stars: each bucket names one centre, and only pairs of centre and member are compared, so a bucket of m
 classes gives m - 1 pairs. Pairs are confirmed on the full sets. Buckets whose members aren't all in one component yet
 name ``CENTRES`` others in the next round, members of the smallest components first, so that stragglers get compared with
-all of their bucket. Rounds go on as long as they link something. They only save work: of the buckets that are still open
-then, all pairs whose ends aren't in one component are compared, however many unlike members a bucket has. That is done in
-tiles of the bucket, on a byte a bin of the signatures; a pair is put aside there when so few bins agree that this is
-``SIGMAS`` standard deviations off for a similar pair (a chance below 1e-9), and confirmed on the full sets otherwise. At
-similarity 0.75 a pair shares no bucket with a chance of 5e-6.
+all of their bucket. At most ``ROUNDS`` rounds run, and none behind one that linked nothing.
+
+*What the stars leave.* Members of buckets that are still open, and all sets of few shingles (whose bins hide each other, so
+that a band may be missed), are joined exactly by prefixes: with a set's shingles ordered by how many of these sets hold them,
+rarest first, two sets at the threshold share a shingle among the first ``n - ceil(0.75 n) + 1`` of both. Only shingles that
+several sets hold are kept, counted from the end, so a set without three quarters of such shingles drops out; sizes and the
+place of the shared shingle rule out most others within the join. A passage that very many documents share lies at the end
+of their order, so it brings no pairs. A pair of larger sets at similarity 0.75 shares no bucket with a chance of 5e-6.
 
 Skew: copies collapse before anything is joined; buckets are counted with partial aggregates; a centre with very many
 members is one row on the other side of a join that AQE splits.
@@ -25,13 +28,12 @@ row without an id links with nothing, has no component and is kept; other input
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.llm.components import components
@@ -40,9 +42,10 @@ from tallyward.sources.shared import cut
 WORDS = 5
 NUMERATOR, DENOMINATOR = 75, 100
 BINS, ROWS = 128, 4
-SIGMAS = 6.5
 CENTRES = 4
-TILE = 512
+ROUNDS = 2
+#: Sets of so few shingles, and what may be similar to them, are compared exactly.
+FEW = 32
 KNOWN_WORDS = 200_000
 
 _U = np.uint64
@@ -112,42 +115,48 @@ def band_keys(values: np.ndarray, rows: int) -> np.ndarray:
 
 
 def hash_sets(docs: DataFrame, words: int, bins: int = 0, rows: int = ROWS) -> DataFrame:
-    """(id, n_shingles, set_key) with bands and a byte a bin if ``bins``, else with the hashes themselves. set_key is null for empty sets."""
+    """(id, n_shingles, set_key, hashes): the bands' keys if ``bins``, else the shingles' hashes themselves. set_key is null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, probes = WordHashes(), probe_table(bins) if bins else None
         for batch in batches:
-            sizes, keys, lists, sketches = [], [], [], []
+            sizes, keys, lists = [], [], []
             for text in batch.column(1):
                 found = shingles(text.as_py(), words, known)
                 sizes.append(len(found))
                 keys.append(hashlib.md5(found.tobytes()).digest() if len(found) else None)
                 values = signature(found, bins, probes) if bins and len(found) else None
                 lists.append(None if not len(found) else found.astype(np.int64) if values is None else band_keys(values, rows))
-                sketches.append(None if values is None else values.astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(lists, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-                ["id", "n_shingles", "set_key", "hashes", "sketch"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(lists, pa.list_(pa.int64()))],
+                ["id", "n_shingles", "set_key", "hashes"],
             )
 
-    return docs.select("id", "text").mapInArrow(run, "id long, n_shingles long, set_key binary, hashes array<long>, sketch binary")
+    return docs.select("id", "text").mapInArrow(run, "id long, n_shingles long, set_key binary, hashes array<long>")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, numerator: int, denominator: int) -> DataFrame:
-    """Pairs (a, b) of class representatives, with their sets' sizes, whose full sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
+def full_sets(wanted: DataFrame, docs: DataFrame, reps: DataFrame, words: int) -> DataFrame:
+    """(id, hashes) of the class representatives ``wanted`` (rep)."""
     wanted = wanted.join(reps.select("rep", "set_key"), "rep")
     texts = docs.join(wanted.select(F.col("rep").alias("id")), "id", "left_semi")
     # An id may stand for several texts; the one that speaks has the class's key.
     speaks = wanted.select(F.col("rep").alias("id"), F.col("set_key").alias("key"))
     sets = hash_sets(texts, words).join(speaks, "id").where(F.col("set_key") == F.col("key"))
-    sets = cut(sets.select("id", "hashes").dropDuplicates(["id"]), "sets")
+    return cut(sets.select("id", "hashes").dropDuplicates(["id"]), "sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """Pairs (a, b) of class representatives, with their sets' sizes, whose full sets are similar enough."""
     side = lambda name: sets.select(F.col("id").alias(name), F.col("hashes").alias(f"set_{name}"))
     shared = F.size(F.array_intersect("set_a", "set_b")).cast("long")
     similar = shared * denominator >= (F.col("n_a") + F.col("n_b") - shared) * numerator
     return pairs.join(side("b"), "b").join(side("a"), "a").where(similar).select("a", "b")
 
 
+def ends_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
+
+
 def merged(parts: DataFrame | None, found: DataFrame) -> DataFrame:
     """(rep, part) after the links (a, b) joined parts; only links between parts are followed."""
     if parts is None:
@@ -160,72 +169,25 @@ def merged(parts: DataFrame | None, found: DataFrame) -> DataFrame:
     return parts.unionByName(fresh).join(joined, "part", "left").select("rep", F.coalesce("onto", "part").alias("part"))
 
 
-def least_agreement(bins: int, numerator: int, denominator: int) -> int:
-    """Bins that agree in any pair that is similar enough, but for ``SIGMAS`` standard deviations."""
-    share = numerator / denominator
-    return max(0, math.floor(bins * share - SIGMAS * math.sqrt(bins * share * (1 - share))))
-
-
-def alike(tile: pa.Table, bins: int, numerator: int, denominator: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (of side 0, of side 1) of one tile that aren't in one part and may be similar enough."""
-    side, rep, n, part = (tile.column(c).to_numpy() for c in ("side", "rep", "n_shingles", "part"))
-    minor = tile.column("minor").to_numpy(zero_copy_only=False)
-    sketch = np.frombuffer(b"".join(tile.column("sketch").to_pylist()), np.uint8).reshape(len(rep), bins)
-    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    least, out = least_agreement(bins, numerator, denominator), []
-    for k in right.tolist():
-        fits = np.minimum(n[left], n[k]) * denominator >= np.maximum(n[left], n[k]) * numerator
-        # Two of the smaller parts meet twice.
-        at = left[(part[left] != part[k]) & fits & ~(minor[left] & (rep[left] > rep[k]))]
-        if len(at):
-            out.append((at := at[np.count_nonzero(sketch[at] == sketch[k], axis=1) >= least], np.full(len(at), k)))
-    none = np.empty(0, np.int64)
-    return tuple(np.concatenate(x) for x in zip(*out)) if out else (none, none)
-
-
-def left_over(open_members: DataFrame, classes: DataFrame, bins: int, numerator: int, denominator: int) -> DataFrame:
-    """Pairs (a, b, n_a, n_b) of all members of one bucket that aren't in one part and may be similar enough.
-
-    Each pair has an end outside the bucket's largest part. So tiles are blocks of all members by blocks of those outside.
-    """
-    by_part = open_members.groupBy("bucket", "part").agg(F.count("*").alias("n"))
-    shape = by_part.groupBy("bucket").agg(F.max_by("part", F.struct("n", "part")).alias("major"), F.sum("n").alias("all"), F.max("n").alias("most"))
-    shape = shape.where(F.col("all") > F.col("most")).select(
-        "bucket", "major", F.ceil(F.col("all") / TILE).alias("lefts"), F.ceil((F.col("all") - F.col("most")) / TILE).alias("rights")
-    )
-    rows = open_members.join(shape, "bucket").withColumn("minor", F.col("part") != F.col("major"))
-    rows = rows.join(classes.select("rep", "sketch"), "rep")
-    block = lambda of: F.pmod(F.xxhash64("rep", "bucket"), F.col(of))
-    every = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
-    columns = ["rep", "n_shingles", "part", "minor", "sketch"]
-    left = rows.select("bucket", block("lefts").alias("i"), every("rights").alias("j"), F.lit(0).alias("side"), *columns)
-    right = rows.where("minor").select("bucket", every("lefts").alias("i"), block("rights").alias("j"), F.lit(1).alias("side"), *columns)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(table: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
-            rep, n, ends = table.column("rep").to_numpy(), table.column("n_shingles").to_numpy(), []
-            for start, end in zip(starts[:-1].tolist(), starts[1:].tolist()):
-                x, y = alike(table.slice(start, end - start), bins, numerator, denominator)
-                ends.append((start + x, start + y))
-            x, y = (np.concatenate(e) for e in zip(*ends))
-            # As in the rounds, the smaller id is a.
-            x, y = np.where(rep[x] < rep[y], x, y), np.where(rep[x] < rep[y], y, x)
-            return pa.RecordBatch.from_arrays([pa.array(rep[x]), pa.array(rep[y]), pa.array(n[x]), pa.array(n[y])], ["a", "b", "n_a", "n_b"])
-
-        held = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table]).combine_chunks()
-            keys = np.stack([held.column(c).to_numpy() for c in ("bucket", "i", "j")])
-            starts = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])) if held.num_rows else np.empty(0, int)
-            if len(starts) > 1:
-                yield found(held, starts)
-                held = held.slice(starts[-1]).combine_chunks()
-        if held is not None and held.num_rows:
-            yield found(held, np.array([0, held.num_rows]))
-
-    tiles = left.unionByName(right).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return tiles.mapInArrow(run, "a long, b long, n_a long, n_b long").distinct()
+def prefix_pairs(rows: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """Pairs (a, b, n_a, n_b) of ``rows`` (rep, n_shingles, part) in different parts that may be similar enough; none that is gets lost."""
+    held = rows.join(sets.withColumnRenamed("id", "rep"), "rep")
+    tokens = held.select("rep", "n_shingles", "part", F.explode("hashes").alias("token"))
+    often = tokens.groupBy("token").agg(F.count("*").alias("holders")).where("holders > 1")
+    common = tokens.join(often, "token")
+    # Places count from the rarest shingle on; those that no other set holds come first and aren't needed.
+    from_end = F.row_number().over(Window.partitionBy("rep").orderBy(F.desc("holders"), "token"))
+    placed = common.withColumn("place", F.col("n_shingles") - from_end)
+    needed = F.expr(f"(n_shingles * {numerator} + {denominator} - 1) div {denominator}")
+    prefix = cut(placed.where(F.col("place") <= F.col("n_shingles") - needed).select("token", "rep", "n_shingles", "part", "place"), "prefixes")
+    side = lambda name: prefix.select("token", *[F.col(c).alias(f"{c}_{name}") for c in ("rep", "n_shingles", "part", "place")])
+    n_a, n_b = F.col("n_shingles_a"), F.col("n_shingles_b")
+    fits = F.least(n_a, n_b) * denominator >= F.greatest(n_a, n_b) * numerator
+    # What both can still share from this shingle on must reach the overlap that the sizes ask for.
+    left = F.least(n_a - F.col("place_a"), n_b - F.col("place_b"))
+    reaches = left * (numerator + denominator) >= (n_a + n_b) * numerator
+    pairs = side("a").join(side("b"), "token").where((F.col("rep_a") < F.col("rep_b")) & (F.col("part_a") != F.col("part_b")) & fits & reaches)
+    return pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), n_a.alias("n_a"), n_b.alias("n_b")).distinct()
 
 
 def near_duplicates(
@@ -239,7 +201,7 @@ def near_duplicates(
     firsts = usable.groupBy("set_key").agg(F.min("id").alias("rep")).withColumnRenamed("set_key", "key")
     classes = cut(
         signed.join(firsts, (F.col("id") == F.col("rep")) & (F.col("set_key") == F.col("key")))
-        .select("rep", "set_key", "n_shingles", F.col("hashes").alias("bands"), "sketch")
+        .select("rep", "set_key", "n_shingles", F.col("hashes").alias("bands"))
         .dropDuplicates(["rep"]),
         "classes",
     )
@@ -249,14 +211,17 @@ def near_duplicates(
     members = cut(buckets.join(crowded, "bucket"), "buckets")
 
     # parts: of the classes that are linked so far, the smallest one reachable.
-    parts, compared, turn, ended = None, None, 0, False
+    parts, compared = None, None
     columns = ["bucket", "rep", "n_shingles", "part", "size"]
     open_members = members.withColumn("part", F.col("rep")).withColumn("size", F.lit(1).cast("long"))
-    while not ended:
-        order, slot = F.col("rep"), F.lit(0)
+    for turn in range(ROUNDS + 1):
         if turn:
             still_open = open_members.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
             open_members = cut(open_members.join(still_open.select("bucket"), "bucket"), "members")
+        if turn == ROUNDS:
+            break
+        order, slot = F.col("rep"), F.lit(0)
+        if turn:
             # Small components first, in another order every round.
             order = F.least("size", F.lit(1 << 20)) * (1 << 40) + F.pmod(F.xxhash64("rep", "bucket", F.lit(turn)), F.lit(1 << 40))
             slot = F.pmod(F.xxhash64("rep", F.lit(turn)), F.lit(CENTRES))
@@ -273,19 +238,25 @@ def near_duplicates(
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
         pairs = cut(pairs, "candidates")
         compared = pairs if compared is None else compared.unionByName(pairs)
-        found = cut(confirmed(pairs, docs, reps, words, numerator, denominator), "links")
-        turn += 1
-        # A round that links nothing says nothing about pairs that no centre was in.
+        found = cut(confirmed(pairs, full_sets(ends_of(pairs), docs, reps, words), numerator, denominator), "links")
         if found.isEmpty():
-            pairs = cut(left_over(open_members, classes, bins, numerator, denominator).join(compared, ["a", "b"], "left_anti"), "candidates")
-            found = cut(confirmed(pairs, docs, reps, words, numerator, denominator), "links")
-            ended = True
-            if found.isEmpty():
-                break
+            break
         parts = cut(merged(parts, found), "parts")
         sized = parts.join(parts.groupBy("part").agg(F.count("*").alias("size")), "part")
         linked = open_members.select("bucket", "rep", "n_shingles").join(sized, "rep", "left")
         open_members = linked.withColumns({"part": F.coalesce("part", "rep"), "size": F.coalesce("size", F.lit(1))}).select(*columns)
+    # The rest exactly: members of open buckets, and small sets with all that may be similar to one.
+    few = reps.where(F.col("n_shingles") * numerator <= FEW * denominator).select("rep", "n_shingles")
+    rest = open_members.select("rep", "n_shingles").unionByName(few).distinct()
+    rest = rest.withColumn("part", F.col("rep")) if parts is None else rest.join(parts, "rep", "left").withColumn("part", F.coalesce("part", "rep"))
+    rest = cut(rest, "rest")
+    sets = full_sets(rest.select("rep"), docs, reps, words)
+    pairs = prefix_pairs(rest, sets, numerator, denominator)
+    if compared is not None:
+        pairs = pairs.join(compared, ["a", "b"], "left_anti")
+    found = cut(confirmed(pairs, sets, numerator, denominator), "links")
+    if not found.isEmpty():
+        parts = cut(merged(parts, found), "parts")
     # Rows that share a set, or an id, belong together without any comparison.
     placed = usable.join(classes.select("set_key", "rep"), "set_key").select("id", "rep")
     if parts is not None:
@@ -302,5 +273,5 @@ def near_duplicates(
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Rows of ``docs`` whose id is the smallest of its component; columns as they came. Rows that repeat an id all stay."""
-    dropped = near_duplicates(docs, id_col=id_col, text_col=text_col, **options).where("not kept").select(F.col(id_col).alias("_gone"))
-    return docs.join(dropped, docs[id_col] == F.col("_gone"), "left_anti")
+    dropped = near_duplicates(docs, id_col=id_col, text_col=text_col, **options).where("not kept").select(id_col).distinct()
+    return docs.join(dropped, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

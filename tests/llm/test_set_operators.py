@@ -137,13 +137,39 @@ def test_near_documents_in_crowded_buckets(spark):
     # Nearly all buckets hold nearly all documents, and few of them are ever a centre.
     got = {r["doc_id"]: r["component_id"] for r in minhash_dedup.near_duplicates(docs, bins=2, rows=1).collect()}
     assert got == parts and sum(i != c for i, c in got.items()) == 6
-    small = minhash_dedup.TILE
-    try:
-        minhash_dedup.TILE = 50
-        assert {r["doc_id"]: r["component_id"] for r in minhash_dedup.near_duplicates(docs, bins=2, rows=1).collect()} == parts
-    finally:
-        minhash_dedup.TILE = small
-    assert minhash_dedup.least_agreement(128, 75, 100) == 64 and minhash_dedup.least_agreement(2, 75, 100) == 0
+
+
+def test_few_shingles_and_a_clashing_column(spark):
+    """Short sets, whose bands may all differ, are found without them."""
+    draw = random.Random(17)
+    words = [f"w{k}" for k in range(9)]
+    rows = [(k, " ".join(draw.choice(words[: draw.choice([2, 3, 9])]) for _ in range(draw.randrange(3, 14)))) for k in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_gone", F.lit(1)).withColumn("rep", F.lit("x"))
+    _, parts = brute_documents(rows)
+    # One band of all bins finds next to nothing.
+    got = {r["doc_id"]: r["component_id"] for r in minhash_dedup.near_duplicates(docs, bins=128, rows=128).collect()}
+    assert got == parts
+    kept = minhash_dedup.keep_one(docs)
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == set(parts.values())
+
+
+def test_prefix_pairs_against_all_pairs(spark):
+    draw = random.Random(23)
+    common = draw.sample(range(10**6), 60)
+    sets = {}
+    for k in range(300):
+        base = draw.sample(common, draw.choice([0, 5, 40, 60])) + draw.sample(range(10**6, 10**7), draw.choice([1, 9, 14, 30]))
+        sets[k] = set(base)
+        if k % 3 == 2:
+            sets[k] = set(list(sets[k - 1])[: draw.randrange(1, 60)]) | set(draw.sample(range(10**7), draw.randrange(4)))
+    rows = spark.createDataFrame([(k, len(v), k % 50 if k < 100 else k) for k, v in sets.items()], "rep long, n_shingles long, part long")
+    hashes = spark.createDataFrame([(k, sorted(v)) for k, v in sets.items()], "id long, hashes array<long>")
+    pairs = minhash_dedup.prefix_pairs(rows, hashes, 75, 100)
+    part = {r["rep"]: r["part"] for r in rows.collect()}
+    want = {(a, b) for a in sets for b in sets if a < b and part[a] != part[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    found = {(r["a"], r["b"]) for r in pairs.collect()}
+    assert want <= found and len(found) < 4 * len(want) + 50
+    assert {tuple(r) for r in minhash_dedup.confirmed(pairs, hashes, 75, 100).collect()} == want
 
 
 def test_densified_signatures_follow_similarity():
