@@ -170,7 +170,7 @@ def _run(
     first_id = landing.next_ingestion_id(spark, table)
     incoming = landing.landing_scan(spark, limit_rows=limit_rows, first_id=first_id, dumps=dumps)
     files = cut(dumps.names(), "dumps")
-    landing.land(incoming, table, replace_files, files, first_id)
+    landing.land(incoming, table, replace_files, files)
     landed = landing.read_landed(spark, table)
     in_table = landed.groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count"))
     counts = cut(files.join(in_table, "source_file", "left").fillna(0, ["row_count"]), "dump_rows")

@@ -522,35 +522,26 @@ def next_ingestion_id(spark: SparkSession, table: str) -> int:
     return 1 if top is None else top + 1
 
 
-def land(
-    landed: DataFrame, table: str, replace_files: bool = True, names: DataFrame | None = None, first_id: int | None = None
-) -> None:
+def land(landed: DataFrame, table: str, replace_files: bool = True, names: DataFrame | None = None) -> None:
     """Write landed rows to a Parquet table partitioned by dump.
 
     Replacing overwrites exactly the partitions of the incoming dumps, so a
     reload is idempotent; appending keeps what is there, so a reload doubles it.
-    ``names`` (the dumps of the run) lets a dump that became empty lose its rows;
-    with ``first_id`` the dumps that have rows are read off the table.
+    ``names`` (the dumps of the run) lets a dump that became empty lose its rows: each
+    gets one row without an ingestion id, which ``read_landed`` leaves out, so
+    replaced and emptied dumps are one write with one commit.
     """
-    writer = landed.write.partitionBy("source_file")
     if not replace_files:
-        writer.mode("append").parquet(table)
+        landed.write.partitionBy("source_file").mode("append").parquet(table)
         return
-    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(table)
     if names is not None:
-        spark = landed.sparkSession
-        filled = landed if first_id is None else read_landed(spark, table).where(F.col("ingestion_id") >= first_id)
-        emptied = names.join(filled.select("source_file").distinct(), "source_file", "left_anti")
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
-        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-        for row in emptied.toLocalIterator():  # a handful: dumps without a single row
-            files.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, f"source_file={escape(row.source_file)}"), True)
+        landed = landed.unionByName(names.select("source_file").distinct(), allowMissingColumns=True)
+    landed.write.partitionBy("source_file").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(table)
 
 
 def read_landed(spark: SparkSession, table: str) -> DataFrame:
     """The landed table; its schema needs no inference."""
-    return spark.read.schema(RAW_SCHEMA).parquet(table).select(*RAW_COLUMNS)
+    return spark.read.schema(RAW_SCHEMA).parquet(table).where("ingestion_id is not null").select(*RAW_COLUMNS)
 
 
 def replace_by_file(existing: DataFrame, incoming: DataFrame, names: DataFrame | None = None) -> DataFrame:

@@ -215,10 +215,17 @@ def test_emptied_dumps_and_ids(spark, tmp_path):
         dumps = landing.open_dumps(spark, folder)
         assert {r[0] for r in dumps.names().collect()} == {"a b.csv", "c.csv", "none.csv"}
         first = landing.next_ingestion_id(spark, table)
-        landing.land(landing.landing_scan(spark, dumps=dumps, first_id=first), table, names=dumps.names(), first_id=first)
+        landing.land(landing.landing_scan(spark, dumps=dumps, first_id=first), table, names=dumps.names())
         write(folder, "a b.csv", ["REFID"])
     stored = landing.read_landed(spark, table).collect()
     assert [(r.source_file, r.refid) for r in stored] == [("c.csv", "3")] and stored[0].ingestion_id > 3
+    # Had the second write failed, the table would be as the first left it: there is one commit, and no deletion beside it.
+    bad = landing.read_landed(spark, table).withColumn("refid", F.raise_error(F.lit("lost")).cast("string"))
+    before = sorted(os.listdir(table))
+    with pytest.raises(Exception, match="lost"):
+        landing.land(bad, table, names=spark.createDataFrame([("c.csv",), ("d.csv",)], "source_file string"))
+    assert sorted(f for f in os.listdir(table) if not f.startswith(".")) == [f for f in before if not f.startswith(".")]
+    assert landing.read_landed(spark, table).count() == 1
     rows = landing.read_landed(spark, table)
     assert landing.replace_by_file(rows, rows.limit(0), spark.createDataFrame([("c.csv",)], "source_file string")).count() == 0
 
