@@ -74,7 +74,11 @@ class Bpe:
             self.of_byte[byte] = ids[letter]
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.made = [ids[a + b] for a, b in pairs]  # the symbol that the pair of each rank becomes
-        self.ranks = {ids[a] << 32 | ids[b]: rank for rank, (a, b) in reversed(list(enumerate(pairs)))}
+        self.follow: list[dict[int, int]] = [{} for _ in range(max(ids.values(), default=0) + 1)]  # of a left symbol: right symbol to rank
+        for rank, (left, right) in enumerate(pairs):
+            self.follow[ids[left]].setdefault(ids[right], rank)
+        self.none = len(pairs)  # no pair has this rank
+        self.first = [[self.follow[x].get(y, self.none) for y in self.of_byte] for x in self.of_byte]
         self.packed = {i: i.to_bytes(4, "little") for i in self.vocab}
         self.pieces = regex.compile(PATTERN).findall
         self.special_ids = {text: i.to_bytes(4, "little") for text, i in self.special.items()}
@@ -83,40 +87,52 @@ class Bpe:
         self.of_piece, self.of_chunk = Kept(self.piece_ids, CACHE_PIECES), Kept(self.chunk_ids, CACHE_CHUNKS)
 
     def merge(self, piece: bytes) -> list[int]:
-        """Merge by rank over a linked list of symbols. A heap entry is rank and position in one integer."""
-        symbols = [self.of_byte[b] for b in piece]
-        n, ranks, made = len(symbols), self.ranks, self.made
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [
-            rank << 40 | at
-            for at, (left, right) in enumerate(zip(symbols, symbols[1:]))
-            if (rank := ranks.get(left << 32 | right)) is not None
-        ]
+        """Merge by rank over a linked list of symbols. A heap entry is rank and position in one integer.
+
+        ``waiting`` holds the rank of the pair that starts at each position now; an entry of another rank is stale.
+        """
+        n, none, made, follow, first = len(piece), self.none, self.made, self.follow, self.first
+        of_byte = self.of_byte
+        symbols = [of_byte[b] for b in piece]
+        waiting = [first[left][right] for left, right in zip(piece, piece[1:])]
+        waiting.append(none)
+        bits = n.bit_length()
+        low = (1 << bits) - 1
+        heap = [rank << bits | at for at, rank in enumerate(waiting) if rank != none]
         heapq.heapify(heap)
-        pop, push, low = heapq.heappop, heapq.heappush, (1 << 40) - 1
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        pop, push = heapq.heappop, heapq.heappush
         while heap:
             top = pop(heap)
-            at, rank = top & low, top >> 40
-            right = after[at]
-            if right >= n or symbols[at] < 0 or ranks.get(symbols[at] << 32 | symbols[right]) != rank:
+            at, rank = top & low, top >> bits
+            if waiting[at] != rank:
                 continue  # stale: the pair is no longer there
+            right = after[at]
             symbols[at] = new = made[rank]
             symbols[right] = -1
+            waiting[right] = none
             after[at] = far = after[right]
             if far < n:
                 before[far] = at
-                if (found := ranks.get(new << 32 | symbols[far])) is not None:
-                    push(heap, found << 40 | at)
+                waiting[at] = found = follow[new].get(symbols[far], none)
+                if found != none:
+                    push(heap, found << bits | at)
+            else:
+                waiting[at] = none
             near = before[at]
-            if near >= 0 and (found := ranks.get(symbols[near] << 32 | new)) is not None:
-                push(heap, found << 40 | near)
+            if near >= 0:
+                waiting[near] = found = follow[symbols[near]].get(new, none)
+                if found != none:
+                    push(heap, found << bits | near)
         return [s for s in symbols if s >= 0]
 
     def piece_ids(self, piece: str) -> bytes:
         return b"".join(map(self.packed.__getitem__, self.merge(piece.encode())))
 
     def chunk_ids(self, chunk: str) -> bytes:
-        """Of a chunk and the space before it."""
+        """Of a chunk and the space before it, which are one piece if the chunk has only letters."""
+        if chunk.isascii() and chunk.isalpha():
+            return self.of_piece[" " + chunk]
         return b"".join(map(self.of_piece.__getitem__, self.pieces(" " + chunk)))
 
     def encode_plain(self, text: str) -> bytes:
