@@ -347,6 +347,7 @@ MODELS = {
         count(distinct bookmaker_name) as bookmaker_count, {money('sum(stake)')} as total_stake_amount,
         {money('sum(payout)')} as total_payout_amount from bets group by event_parts""",
     ),
+    "fct_bets_filtered": q(R.BETS, f"select {columns(_FACT)} from bets"),
     "fct_bets": q(R.BETS, f"select {columns(_FACT)} from bets"),
     "fct_payouts": q(R.BETS, f"select {columns(_PAYOUT)} from bets where payout <> 0"),
 }

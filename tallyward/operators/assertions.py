@@ -174,11 +174,26 @@ def assert_reconciliation_status(reconciliation: DataFrame) -> DataFrame:
     )
 
 
-def null_counts(name: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(assertion, violations) of every column that must be filled, in one pass."""
-    counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    pairs = F.array(*[F.struct(F.lit(f"not_null {name}.{c}").alias("assertion"), F.col(c).alias("violations")) for c in columns])
-    return counted.select(F.inline(pairs))
+def column_counts(name: str, df: DataFrame, filled: Sequence[str] = (), unique: Sequence[str] = ()) -> DataFrame:
+    """(assertion, violations) of every column that must be filled or unique, in one scan and one shuffle of the table.
+
+    A row gives a cell for each missing value and one with a 128-bit digest for each value that must be unique. Counted
+    by (constraint, digest), partly before the shuffle, these cells answer all constraints; a value met more than once
+    is one violation, as in ``assert_unique``, and a missing value is no value.
+    """
+    missing = [F.when(F.col(c).isNull(), F.struct(F.lit(k).alias("k"), F.lit(None).cast("binary").alias("digest")))
+               for k, c in enumerate(filled)]
+    values = [F.when(F.col(c).isNotNull(), F.struct(F.lit(k).alias("k"), F.unhex(F.md5(F.col(c).cast("string"))).alias("digest")))
+              for k, c in enumerate(unique, len(filled))]
+    cells = df.select(F.inline(F.filter(F.array(*missing, *values), lambda cell: cell.isNotNull())))
+    counted = cells.groupBy("k", "digest").agg(F.count(F.lit(1)).alias("rows"))
+    figures = [F.coalesce(F.sum(F.when(F.col("k") == k, F.col("rows"))), F.lit(0)) for k in range(len(filled))]
+    figures += [F.count_if((F.col("k") == k) & (F.col("rows") > 1)) for k in range(len(filled), len(filled) + len(unique))]
+    names = [f"not_null {name}.{c}" for c in filled] + [f"unique {name}.{c}" for c in unique]
+    one = counted.agg(*[figure.alias(f"c{k}") for k, figure in enumerate(figures)])
+    return one.select(
+        F.inline(F.array(*[F.struct(F.lit(n).alias("assertion"), F.col(f"c{k}").alias("violations")) for k, n in enumerate(names)]))
+    )
 
 
 def violation_count(name: str, violations: DataFrame) -> DataFrame:
@@ -187,8 +202,7 @@ def violation_count(name: str, violations: DataFrame) -> DataFrame:
 
 def run_assertions(tables: dict[str, DataFrame]) -> DataFrame:
     """(assertion, violations) of every invariant over the tables of a run."""
-    found = [null_counts(name, tables[name], columns) for name, columns in NOT_NULL.items()]
-    found += [violation_count(f"unique {n}.{c}", assert_unique(tables[n], c)) for n, columns in UNIQUE.items() for c in columns]
+    found = [column_counts(name, tables[name], NOT_NULL.get(name, ()), UNIQUE.get(name, ())) for name in {**NOT_NULL, **UNIQUE}]
     card, recon, feed = tables["anomaly_scorecard"], tables["daily_reconciliation_summary"], tables["alert_feed"]
     found += [
         violation_count("accepted_values anomaly_scorecard.risk_band", assert_accepted_values(card, "risk_band")),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyward.functions import keys as K
 from tallyward.functions.parsing import normalize_customer_name
-from tallyward.operators.ranking import BLOCK_ROWS, number_within_key
+from tallyward.operators.ranking import BLOCK_ROWS, number_repeated_keys, number_within_key
 from tallyward.operators.staging import STAGED_COLUMNS
 
 MONEY = "decimal(24,2)"
@@ -93,10 +93,15 @@ def with_surrogate_keys(staged: DataFrame) -> DataFrame:
 
 
 def rank_duplicates(
-    staged: DataFrame, block_rows: int = BLOCK_ROWS, last_positions: DataFrame | None = None
+    staged: DataFrame, block_rows: int = BLOCK_ROWS, last_positions: DataFrame | None = None, few_repeats: bool = False
 ) -> DataFrame:
-    """Rank rows that share file, uuid and ticket, over the whole file; also the group size."""
-    ranked = number_within_key(
+    """Rank rows that share file, uuid and ticket, over the whole file; also the group size.
+
+    ``few_repeats`` says that most keys occur once: only rows whose key may repeat are shuffled then, for one more
+    pass over the key columns.
+    """
+    number = number_repeated_keys if few_repeats else number_within_key
+    ranked = number(
         staged,
         key=["source_file", "source_uuid", "ticket_no"],
         scope="source_file",
@@ -111,13 +116,13 @@ def rank_duplicates(
 
 
 def key_bets(
-    staged: DataFrame, block_rows: int = BLOCK_ROWS, last_positions: DataFrame | None = None
+    staged: DataFrame, block_rows: int = BLOCK_ROWS, last_positions: DataFrame | None = None, few_repeats: bool = False
 ) -> DataFrame:
     """Every staged column plus keys, duplicate rank and key group size.
 
     This is what later stages read; ``fct_bets`` is its public projection.
     """
-    return with_surrogate_keys(rank_duplicates(staged, block_rows, last_positions))
+    return with_surrogate_keys(rank_duplicates(staged, block_rows, last_positions, few_repeats))
 
 
 def fct_bets(bets: DataFrame) -> DataFrame:

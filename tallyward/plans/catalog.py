@@ -307,6 +307,7 @@ PARSING: dict[str, Query] = {
 MODELS: dict[str, Query] = {
     "dim_customers": of(staged, B.dim_customers),
     "dim_events": of(staged, B.dim_events),
+    "fct_bets_filtered": of(staged, lambda df: B.fct_bets(B.key_bets(df, few_repeats=True)).drop("raw_payload")),
     "fct_bets": of(keyed, lambda df: B.fct_bets(df).drop("raw_payload")),
     "fct_payouts": of(keyed, B.fct_payouts),
 }

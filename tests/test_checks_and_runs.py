@@ -129,6 +129,23 @@ def test_default_invariants_hold(spark):
     assert assertions.assert_reconciliation_counts(recon.withColumn("total_bet_rows", F.lit(0))).count() > 0
 
 
+def test_column_counts_equal_the_single_assertions_in_one_scan(spark, tmp_path):
+    rows = [(1, "a", None), (1, "b", None), (2, "a", ""), (None, "a", ""), (3, None, "x"), (None, None, "1"), (4, "1", "y")]
+    spark.createDataFrame(rows, "n long, s string, t string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    got = assertions.column_counts("t", df, ["n", "s", "t"], ["n", "s", "t"])
+    counts = {r.assertion: r.violations for r in got.collect()}
+    assert counts == {
+        **{f"not_null t.{c}": assertions.assert_not_null(df, c).count() for c in df.columns},
+        **{f"unique t.{c}": assertions.assert_unique(df, c).count() for c in df.columns},
+    }
+    assert counts["not_null t.n"] == 2 and counts["unique t.s"] == 1 and counts["unique t.t"] == 1
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    empty = {r.violations for r in assertions.column_counts("t", df.limit(0), ["n"], ["s"]).collect()}
+    assert empty == {0}
+
+
 def test_dashboard_figures(spark):
     recon = spark.sql("select 600L as total_bet_rows, 60088.00 as total_stake_amount, 94670.40 as total_payout_amount, -34582.40 as net_revenue_amount, 'review' as reconciliation_status")
     card = spark.sql("select 95.25 as anomaly_score, 'critical' as risk_band")

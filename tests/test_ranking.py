@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyward.operators import ranking
-from tallyward.operators.ranking import number_within_key
+from tallyward.operators.ranking import may_repeat, number_repeated_keys, number_within_key
 
 
 def rows_with_hot_keys(seed):
@@ -28,12 +28,17 @@ def rows_with_hot_keys(seed):
     return [(i, *r) for i, r in enumerate(rows)]
 
 
+def only_repeated(bits):
+    return lambda *args: number_repeated_keys(*args, bits=bits)
+
+
+@pytest.mark.parametrize("number", [number_within_key, only_repeated(1), only_repeated(1 << 20)])
 @pytest.mark.parametrize("block_rows", [1, 7, 64, 1 << 20])
-def test_matches_plain_numbering(spark, block_rows):
+def test_matches_plain_numbering(spark, block_rows, number):
     rows = rows_with_hot_keys(block_rows)
     names = ["id", "file", "uuid", "ticket", "pos"]
     df = spark.createDataFrame(rows, "id long, file string, uuid string, ticket string, pos long").repartition(5)
-    got = number_within_key(df, ["file", "uuid", "ticket"], "file", "pos", "id", "rank", "size", block_rows)
+    got = number(df, ["file", "uuid", "ticket"], "file", "pos", "id", "rank", "size", block_rows)
     assert got.columns == [*names, "rank", "size"]
     got = got.toPandas().set_index("id").sort_index()
 
@@ -58,3 +63,23 @@ def test_windows_are_split_by_block_and_short_dumps_pay_nothing(spark):
     final = final.split("Initial Plan")[0]
     assert "Join" not in final
     assert "_block" in final
+
+
+def test_filter_knows_every_repeated_key_and_few_others(spark):
+    df = spark.range(40000).select("id", F.when(F.col("id") < 39000, F.col("id")).otherwise(F.col("id") % 500).alias("k"))
+    flagged = {r.id for r in df.where(may_repeat(df, ["k"], bits=1 << 18)).collect()}
+    shared = {i for i in range(40000) if i < 500 or i >= 39000}
+    assert shared <= flagged
+    # 500 of 2^18 bits are set, so about 75 of 38 500 other keys may pass.
+    assert len(flagged - shared) < 300
+    assert df.limit(0).where(may_repeat(df.limit(0), ["k"], bits=1 << 15)).count() == 0
+
+
+def test_unique_rows_are_not_shuffled(spark):
+    df = spark.range(5000).select(F.lit("f").alias("file"), (F.col("id") % 4990).alias("k"), F.col("id").alias("pos"), "id")
+    out = number_repeated_keys(df, ["file", "k"], "file", "pos", "id", "rank", "size", bits=1 << 20)
+    assert out.where("size = 2").count() == 20
+    assert out.where("rank = 2").count() == 10
+    assert out.count() == 5000
+    # 20 rows share their keys; the window gets these and the few that share a bit with them.
+    assert df.where(may_repeat(df, ["file", "k"], bits=1 << 20)).count() < 60
