@@ -115,6 +115,14 @@ def hashed(first: np.ndarray, tokens: np.ndarray, size: int, start: int) -> np.n
     return h
 
 
+def hashed_at(at: np.ndarray, first: np.ndarray, tokens: np.ndarray, size: int, start: int) -> np.ndarray:
+    """``hashed`` of the windows that start at ``at``, where these are few."""
+    h = np.full(len(at), start, np.uint64)
+    for k in range(size):
+        h = mixed(h * _U(0x9E3779B97F4A7C15) + (tokens if k else first)[at + k])
+    return h
+
+
 def windows(tokens: np.ndarray, slots: np.ndarray, values: np.ndarray, lead: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, hash, whether its first word is read the other way) of the windows with enough literal words."""
     n = len(tokens) - size + 1
@@ -130,7 +138,7 @@ def windows(tokens: np.ndarray, slots: np.ndarray, values: np.ndarray, lead: np.
     if not len(other):
         return at, h, np.zeros(len(at), bool)
     first = np.where(names, values, np.where(lead, _MARKS[IS_NAME], tokens))
-    h = np.concatenate([h, hashed(first, tokens, size, size)[other]])
+    h = np.concatenate([h, hashed_at(other, first, tokens, size, size)])
     return np.concatenate([at, other]), h, np.arange(len(h)) >= len(at)
 
 
