@@ -42,7 +42,7 @@ WINDOW = 8
 LITERALS = 5
 COVERAGE = 0.5
 FILTER_BITS = 24
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 400_000
 #: Fixed value: unit words that make a placeholder behind a number.
 UNITS = frozenset(
     "mm cm m km in ft yd mi mg g kg lb oz ml l s ms sec min h hr hours minutes seconds days weeks years % usd eur dollars"
@@ -55,6 +55,7 @@ ENDS = 8
 #: Keeps hashes of exact windows apart from those of template windows.
 EXACT = 1 << 32
 _U = np.uint64
+_STEP = _U(0x9E3779B97F4A7C15)
 _MARKS = {IS_NUMBER: _U(0x1B873593CC9E2D51), IS_UNIT: _U(0x85EBCA6BC2B2AE35), IS_NAME: _U(0x27D4EB2F165667C5)}
 
 
@@ -62,18 +63,24 @@ class Words(dict):
     """Word to (hash << 4 | whether a sentence ends here | kind)."""
 
     def __missing__(self, word: str) -> int:
-        bare = word.strip(EDGES)
-        kind = PLAIN
-        if not bare:
-            kind = EMPTY
-        elif NUMBER.match(bare):
-            kind = IS_NUMBER
-        elif bare.lower() in UNITS:
-            kind = IS_UNIT
-        elif bare[0].isupper() and not bare.isupper():
-            kind = IS_NAME
-        ends = ENDS if word.rstrip("\"')]").endswith((".", "!", "?")) else 0
-        value = (xxhash.xxh3_64_intdigest(bare.lower().encode()) >> 4 << 4) | ends | kind
+        low, kind, ends = word, PLAIN, 0
+        if word.isalpha() and word.islower():  # most words
+            if word in UNITS:
+                kind = IS_UNIT
+        else:
+            bare = word.strip(EDGES)
+            low = bare.lower()
+            if not bare:
+                kind = EMPTY
+            elif NUMBER.match(bare):
+                kind = IS_NUMBER
+            elif low in UNITS:
+                kind = IS_UNIT
+            elif bare[0].isupper() and not bare.isupper():
+                kind = IS_NAME
+            if word.rstrip("\"')]").endswith((".", "!", "?")):
+                ends = ENDS
+        value = (xxhash.xxh3_64_intdigest(low.encode()) >> 4 << 4) | ends | kind
         if len(word) <= 64:
             if len(self) >= KNOWN_WORDS:
                 self.clear()
@@ -106,21 +113,37 @@ def template(text: str | None, known: Words) -> tuple[np.ndarray, np.ndarray, np
     return tokens, kind != PLAIN, value, lead
 
 
-def hashed(first: np.ndarray, tokens: np.ndarray, size: int, start: int) -> np.ndarray:
-    """Hash of every window of ``size`` tokens, its first one taken from ``first``."""
-    n = len(tokens) - size + 1
-    h = np.full(n, start, np.uint64)
-    for k in range(size):
-        h = mixed(h * _U(0x9E3779B97F4A7C15) + (tokens if k else first)[k : k + n])
-    return h
+def runs(tokens: np.ndarray, size: int) -> list[np.ndarray]:
+    """Hashes of all runs of 1, 2, 4 ... tokens, up to ``size``."""
+    out = [tokens]
+    while 2 ** len(out) <= size:
+        half = 2 ** (len(out) - 1)
+        out.append(mixed(out[-1][:-half] * _STEP + out[-1][half:]))
+    return out
+
+
+def hashed(parts: list[np.ndarray], size: int, start: int) -> np.ndarray:
+    """Hash of every window of ``size`` tokens, put together from ``runs``."""
+    h, at = parts[-1], 2 ** (len(parts) - 1)
+    n = len(parts[0]) - size + 1
+    for k in range(len(parts) - 2, -1, -1):
+        if size >> k & 1:
+            h = mixed(h[:n] * _STEP + parts[k][at : at + n])
+            at += 2**k
+    return h[:n] ^ _U(start)
 
 
-def hashed_at(at: np.ndarray, first: np.ndarray, tokens: np.ndarray, size: int, start: int) -> np.ndarray:
-    """``hashed`` of the windows that start at ``at``, where these are few."""
-    h = np.full(len(at), start, np.uint64)
-    for k in range(size):
-        h = mixed(h * _U(0x9E3779B97F4A7C15) + (tokens if k else first)[at + k])
-    return h
+def hashed_at(places: np.ndarray, first: np.ndarray, parts: list[np.ndarray], size: int, start: int) -> np.ndarray:
+    """``hashed`` of the windows at ``places``, with ``first`` as their first tokens; where these are few."""
+    h, at = first, 1
+    for k in range(len(parts) - 1):
+        h = mixed(h * _STEP + parts[k][places + at])
+        at += 2**k
+    for k in range(len(parts) - 2, -1, -1):
+        if size >> k & 1:
+            h = mixed(h * _STEP + parts[k][places + at])
+            at += 2**k
+    return h ^ _U(start)
 
 
 def windows(tokens: np.ndarray, slots: np.ndarray, values: np.ndarray, lead: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,19 +155,20 @@ def windows(tokens: np.ndarray, slots: np.ndarray, values: np.ndarray, lead: np.
     literal = literal[size:] - literal[:-size]
     least = min(LITERALS, size)
     at = np.flatnonzero(literal >= least)
-    h = hashed(tokens, tokens, size, size)[at]
+    parts = runs(tokens, size)
+    h = hashed(parts, size, size)[at]
     names = tokens == _MARKS[IS_NAME]
     other = np.flatnonzero((names | lead)[:n] & (literal + names[:n] - lead[:n] >= least))
     if not len(other):
         return at, h, np.zeros(len(at), bool)
-    first = np.where(names, values, np.where(lead, _MARKS[IS_NAME], tokens))
-    h = np.concatenate([h, hashed_at(other, first, tokens, size, size)])
+    first = np.where(names[other], values[other], np.where(lead[other], _MARKS[IS_NAME], tokens[other]))
+    h = np.concatenate([h, hashed_at(other, first, parts, size, size)])
     return np.concatenate([at, other]), h, np.arange(len(h)) >= len(at)
 
 
 def exact_windows(values: np.ndarray, size: int) -> np.ndarray:
     """Hash of every window of lower-cased words."""
-    return hashed(values, values, size, EXACT + size) if 0 < size <= len(values) else np.empty(0, np.uint64)
+    return hashed(runs(values, size), size, EXACT + size) if 0 < size <= len(values) else np.empty(0, np.uint64)
 
 
 def _as_long(values: np.ndarray) -> list[int]:
