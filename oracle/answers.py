@@ -386,6 +386,8 @@ RECONCILE = {
     ),
     "daily_reconciliation_summary": q(R.RECON, f"select {pick(RECON_OUT)} from recon_full"),
     "daily_bookmaker_summary": q(R.BOOKMAKERS, f"select {pick(BOOKMAKER_OUT)} from bookmakers"),
+    "reconciliation_after_reload": q(R.RECON, f"select {pick(RECON_OUT)} from recon_full"),
+    "bookmakers_after_reload": q(R.BOOKMAKERS, f"select {pick(BOOKMAKER_OUT)} from bookmakers"),
 }
 
 ALERTS = {

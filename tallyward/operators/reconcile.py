@@ -74,11 +74,11 @@ def _row_measures() -> dict[str, Column]:
     }
 
 
-def _per_business_key(bets: DataFrame, group: str, extra: dict[str, Column]) -> DataFrame:
+def _per_business_key(bets: DataFrame, group: list[str], extra: dict[str, Column]) -> DataFrame:
     measures = {**_row_measures(), **extra}
     return (
         with_report_date(bets)
-        .groupBy(group, "report_date", "bet_business_key")
+        .groupBy(*group, "report_date", "bet_business_key")
         .agg(*[c.alias(name) for name, c in measures.items()])
     )
 
@@ -106,7 +106,7 @@ def source_day_measures(bets: DataFrame) -> DataFrame:
     reads distinct keys, duplicate groups and surplus rows off whole keys.
     """
     issues = {ISSUE_COUNT_COLUMNS[t]: F.count_if(rule_hit(t)) for t in ISSUE_TYPES}
-    per_key = _per_business_key(bets, "source_file", issues)
+    per_key = _per_business_key(bets, ["source_file"], issues)
     return per_key.groupBy("source_file", "report_date").agg(
         *[c.alias(name) for name, c in _day_measures().items()],
         *[F.sum(name).alias(name) for name in issues],
@@ -166,6 +166,11 @@ def daily_reconciliation_summary(bets: DataFrame) -> DataFrame:
     Duplicate and issue figures count as zero on a day without a date: they
     belong to no day.
     """
+    return reconciliation_of(source_day_measures(bets))
+
+
+def reconciliation_of(days: DataFrame) -> DataFrame:
+    """The summary from ``source_day_measures``, in place."""
     dated = F.col("source_file").isNotNull() & F.col("report_date").isNotNull()
 
     def on_a_day(count: Column) -> Column:
@@ -174,8 +179,7 @@ def daily_reconciliation_summary(bets: DataFrame) -> DataFrame:
     issue_columns = list(ISSUE_COUNT_COLUMNS.values())
     total_issues = sum((F.col(c) for c in issue_columns[1:]), F.col(issue_columns[0]))
     return (
-        source_day_measures(bets)
-        .withColumns(
+        days.withColumns(
             {
                 "total_issue_rows": on_a_day(total_issues),
                 "duplicate_bet_key_group_count": on_a_day(F.col("duplicate_bet_key_group_count")),
@@ -194,15 +198,30 @@ def daily_reconciliation_summary(bets: DataFrame) -> DataFrame:
     )
 
 
-def daily_bookmaker_summary(bets: DataFrame) -> DataFrame:
-    """The same measures per bookmaker-day; surplus rows come from the duplicate rank over the file."""
-    per_key = _per_business_key(
-        bets, "bookmaker_name", {"ranked_surplus": F.count_if("is_duplicate_bet_key")}
-    )
-    per_day = per_key.groupBy("bookmaker_name", "report_date").agg(
+def bookmaker_day_measures(bets: DataFrame, by_dump: bool = False) -> DataFrame:
+    """The same measures per bookmaker-day, or what each dump adds to them; surplus rows come from the rank over the file."""
+    group = ["source_file", "bookmaker_name"] if by_dump else ["bookmaker_name"]
+    per_key = _per_business_key(bets, group, {"ranked_surplus": F.count_if("is_duplicate_bet_key")})
+    return per_key.groupBy(*group, "report_date").agg(
         *[c.alias(name) for name, c in _day_measures().items()],
         F.sum("ranked_surplus").alias("ranked_surplus"),
     )
+
+
+def merged_bookmaker_days(parts: DataFrame) -> DataFrame:
+    """Bookmaker-days from what each dump adds; a business key lies in one dump, so distinct keys add up too."""
+    money = ("total_stake_amount", "total_payout_amount")
+    sums = [(money_sum(F.col(c)) if c in money else F.sum(c)).alias(c) for c in (*_day_measures(), "ranked_surplus")]
+    return parts.groupBy("bookmaker_name", "report_date").agg(*sums)
+
+
+def daily_bookmaker_summary(bets: DataFrame) -> DataFrame:
+    """Rows, keys and money per bookmaker-day."""
+    return bookmaker_summary_of(bookmaker_day_measures(bets))
+
+
+def bookmaker_summary_of(per_day: DataFrame) -> DataFrame:
+    """The summary from ``bookmaker_day_measures``, in place."""
     named_day = F.col("bookmaker_name").isNotNull() & F.col("report_date").isNotNull()
     return per_day.withColumns(
         {

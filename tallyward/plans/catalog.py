@@ -25,7 +25,7 @@ from tallyward.operators import reconcile as R
 from tallyward.operators import scorecard as S
 from tallyward.operators import forest, staging, summaries, triage
 from tallyward.operators.quantiles import exact_quantiles
-from tallyward.plans import pipeline
+from tallyward.plans import pipeline, refresh
 from tallyward.session import tune
 from tallyward.sources import exports, landing
 from tallyward.sources.contract import HEADER_TO_COLUMN, TEXT_COLUMNS
@@ -96,6 +96,18 @@ def issue_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.daily_issue_summary(issues(spark, sf_dir))
 
 
+def reloaded(spark: SparkSession, sf_dir: str) -> pipeline.Reports:
+    """Reports kept up to date: dump_A was first landed with other stakes and bookmakers, then reloaded."""
+    rows = lineitem_raw(spark, sf_dir, spread=SPREAD)
+    table, partials = new_folder(spark, "landed"), new_folder(spark, "day_partials")
+    wrong = F.col("source_file") == "dump_A.csv"
+    earlier = {c: F.when(wrong, F.lit(v)).otherwise(F.col(c)) for c, v in (("bet_amount_win", "$1.00"), ("bookmaker", "Earlier"))}
+    landing.land(rows.withColumns(earlier), table)
+    refresh.refresh_reports(spark, table, partials)
+    landing.land(rows.where(wrong), table)
+    return refresh.refresh_reports(spark, table, partials, rows.where(wrong).select("source_file").distinct())
+
+
 def of(stage: Query, operator: Callable[[DataFrame], DataFrame] = lambda df: df) -> Query:
     return lambda spark, sf_dir: operator(stage(spark, sf_dir))
 
@@ -327,6 +339,8 @@ RECONCILE: dict[str, Query] = {
     "issue_counts_pivot": of(issue_days, R.issue_counts_pivot),
     "daily_reconciliation_summary": recon,
     "daily_bookmaker_summary": bookmakers,
+    "reconciliation_after_reload": lambda spark, sf_dir: reloaded(spark, sf_dir).daily_reconciliation_summary,
+    "bookmakers_after_reload": lambda spark, sf_dir: reloaded(spark, sf_dir).daily_bookmaker_summary,
 }
 
 ALERTS: dict[str, Query] = {

@@ -72,6 +72,11 @@ def build_reports(keyed: DataFrame) -> Reports:
     issues = cut(
         reconcile.daily_issue_summary(quality.validation_issues(keyed)), "daily_issue_summary"
     )
+    return derived_reports(recon, bookmakers, issues)
+
+
+def derived_reports(recon: DataFrame, bookmakers: DataFrame, issues: DataFrame) -> Reports:
+    """All reports from the three day-grain tables."""
     feed = alerts.alert_feed(recon, bookmakers)
     return Reports(
         daily_reconciliation_summary=recon,
