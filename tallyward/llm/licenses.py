@@ -1,7 +1,8 @@
 """License scan: notice phrases and identifier tags, with licence expressions evaluated.
 
 One Aho-Corasick automaton finds all phrases in a text's words. A text that has the identifier tag is read again behind
-each tag: the longest well-formed expression is turned into postfix order by a shunting-yard parser (``with`` binds
+each tag: the longest well-formed expression over identifiers of the public licence list (or ``LicenseRef-`` names; other
+words end it) is turned into postfix order by a shunting-yard parser (``with`` binds
 closest, then ``and``, then ``or``) and evaluated to how much its licences demand (0 permissive, 1 weak or unknown, 2
 strong): ``and`` takes the larger, ``or`` the smaller, ``with`` relaxes a strong licence by one.
 
@@ -47,6 +48,23 @@ SYMBOL = re.compile(r"[ \t]*([()]|[a-z0-9][a-z0-9.+-]*)")
 STRONG = ("gpl", "agpl", "sspl")
 WEAK = ("lgpl", "mpl", "epl", "cddl", "cc-by-sa")
 PERMISSIVE = ("mit", "apache", "bsd", "isc", "cc0", "cc-by", "zlib", "unlicense", "0bsd")
+#: Identifiers of the public SPDX licence list, as names with the versions they come in ("" for none).
+IDENTIFIERS = {
+    "afl": "1.1 1.2 2.0 2.1 3.0", "agpl": "1.0 3.0", "apache": "1.0 1.1 2.0", "apsl": "1.0 1.1 1.2 2.0", "artistic": "1.0 2.0",
+    "bsl": "1.0", "busl": "1.1", "cc-by": "1.0 2.0 2.5 3.0 4.0", "cc-by-nc": "1.0 2.0 2.5 3.0 4.0",
+    "cc-by-nc-nd": "1.0 2.0 2.5 3.0 4.0", "cc-by-nc-sa": "1.0 2.0 2.5 3.0 4.0", "cc-by-nd": "1.0 2.0 2.5 3.0 4.0",
+    "cc-by-sa": "1.0 2.0 2.5 3.0 4.0", "cc0": "1.0", "cddl": "1.0 1.1", "cecill": "1.0 1.1 2.0 2.1", "cpal": "1.0", "cpl": "1.0",
+    "ecl": "1.0 2.0", "efl": "1.0 2.0", "elastic": "2.0", "epl": "1.0 2.0", "eupl": "1.0 1.1 1.2", "gfdl": "1.1 1.2 1.3",
+    "gpl": "1.0 2.0 3.0", "ipl": "1.0", "lgpl": "2.0 2.1 3.0", "lppl": "1.0 1.1 1.2 1.3a 1.3c", "mpl": "1.0 1.1 2.0",
+    "odbl": "1.0", "ofl": "1.0 1.1", "osl": "1.0 1.1 2.0 2.1 3.0", "php": "3.0 3.01", "psf": "2.0", "python": "2.0 2.0.1", "qpl": "1.0",
+    "spl": "1.0", "sspl": "1.0", "upl": "1.0", "vim": "", "zpl": "1.1 2.0 2.1", "0bsd": "", "beerware": "", "bsd-1-clause": "",
+    "bsd-2-clause": "", "bsd-2-clause-patent": "", "bsd-3-clause": "", "bsd-3-clause-clear": "", "bsd-4-clause": "",
+    "blueoak": "1.0.0", "curl": "", "hpnd": "", "ijg": "", "icu": "", "isc": "", "json": "", "libpng": "", "mit": "", "mit-0": "",
+    "ms-pl": "", "ms-rl": "", "ncsa": "", "ntp": "", "openssl": "", "postgresql": "", "ruby": "", "sleepycat": "", "tcl": "",
+    "unicode-dfs-2016": "", "unlicense": "", "w3c": "", "wtfpl": "", "x11": "", "xnet": "", "zend": "2.0", "zlib": "",
+}
+#: Families whose names may end in these.
+ENDED, ENDINGS = ("agpl", "gpl", "lgpl", "gfdl"), ("-only", "-or-later")
 BINDS = {"with": 3, "and": 2, "or": 1}
 NOTICE_WEIGHT, TAG_WEIGHT = 0.6, 0.9
 
@@ -67,6 +85,25 @@ def demand(licence: str) -> int:
     return 1 if starts(WEAK) else 2 if starts(STRONG) else 0 if starts(PERMISSIVE) else 1
 
 
+def known_identifiers() -> frozenset[str]:
+    names = set()
+    for name, versions in IDENTIFIERS.items():
+        for version in versions.split() or [""]:
+            whole = f"{name}-{version}" if version else name
+            names.update([whole, *(whole + e for e in ENDINGS if name in ENDED)])
+    return frozenset(names)
+
+
+KNOWN = known_identifiers()
+
+
+def is_operand(name: str, exception: bool) -> bool:
+    """Whether a symbol names a licence; behind ``with``, an exception (their names end so, before a version)."""
+    if exception:
+        return re.search(r"-(exception|note)(-[0-9.]+)?$", name) is not None
+    return name.removesuffix("+") in KNOWN or name.startswith("licenseref-")
+
+
 def postfix(symbols: list[str]) -> list[str] | None:
     """Shunting-yard; None when the symbols aren't one well-formed expression."""
     out, held, operand_next = [], [], True
@@ -120,11 +157,11 @@ def expression(text: str, at: int) -> tuple[set[str], int] | None:
     symbols: list[str] = []
     operand_next, depth, good = True, 0, 0
     while m := SYMBOL.match(text, at):
-        s = m[1]
+        s = m[1].rstrip(".-")
         opens = s == "(" and operand_next
         closes = s == ")" and not operand_next and depth > 0
         links = s in BINDS and not operand_next
-        names = s not in BINDS and s not in "()" and operand_next
+        names = s not in BINDS and s not in "()" and operand_next and is_operand(s, symbols[-1:] == ["with"])
         if not (opens or closes or links or names):
             break
         symbols.append(s)
@@ -132,6 +169,8 @@ def expression(text: str, at: int) -> tuple[set[str], int] | None:
         operand_next = opens or links
         if not operand_next and depth == 0:
             good = len(symbols)
+        if s != m[1]:  # a full stop ends it
+            break
         at = m.end()
     order = postfix(symbols[:good]) if good else None
     return evaluate(order) if order else None

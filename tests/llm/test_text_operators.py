@@ -91,6 +91,12 @@ def test_licence_base(spark):
         ("mit */ more words", "mit", 0),
         ("mit and (gpl-2.0", "mit", 0),
         ("mit or", "mit", 0),
+        ("mit and see license for details", "mit", 0),
+        ("mit or later versions", "mit", 0),
+        ("mit. or gpl-3.0", "mit", 0),
+        ("gpl-3.0-or-later and licenseref-own", "gpl-3.0-or-later,licenseref-own", 2),
+        ("gpl-2.0+ with thanks", "gpl-2.0+", 2),
+        ("(apache-2.0 with llvm-exception) or bsd-3-clause.", "apache-2.0,bsd-3-clause", 0),
     ],
 )
 def test_licence_expressions(text, names, demand):
@@ -102,7 +108,7 @@ def test_licence_tags(spark):
     built = licenses.automaton((*licenses.BASE, *licenses.MORE, licenses.TAG))
     row = licenses.scan_text("// SPDX-License-Identifier: MIT OR Apache-2.0\nspdx-license-identifier: )", built)
     assert row[5] == "spdx:apache-2.0,spdx:mit" and row[7] == 1 and row[8] == 0
-    assert licenses.expression(" and", 0) is None and licenses.postfix(["mit", "mit"]) is None and licenses.postfix(["(", "mit"]) is None
+    assert licenses.expression(" and", 0) is None and licenses.expression("see license", 0) is None and licenses.postfix(["mit", "mit"]) is None and licenses.postfix(["(", "mit"]) is None
 
 
 CHAT = "conv_id long, turn long, role string, text string, conv string, level int"
