@@ -39,7 +39,9 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quotations.conversations(table(spark, sf_dir, "conversations"))
+    # The table's messages quote nothing; links come from quotations drawn by hash.
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return quotations.conversations(quotations.quoting(chats))
 
 
 def op6_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

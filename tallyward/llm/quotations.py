@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.sources.shared import cut
@@ -124,6 +124,41 @@ def threads(links: DataFrame) -> DataFrame:
         )
 
 
+def quoting(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text") -> DataFrame:
+    """The table as a mail thread would hold it: three of four turns, by the hash of their ids, quote before their own text.
+
+    A turn quotes the message 1 to 3 turns before it, that message's own quotation a level deeper, and the one that quotes a
+    level deeper still. Rows keep all columns. Turns without such a message, with quotes of their own or without conversation
+    or turn stay as they are; rows that share conversation and turn are quoted by their smallest text.
+    """
+    turn = F.col(turn_col).cast("long")
+    back = F.crc32(F.concat_ws(":", F.lit("quote"), F.col(conv_col).cast("string"), turn.cast("string"))) % 4
+    said = messages.groupBy(F.col(conv_col).alias("conv"), turn.alias("at"), back.alias("back")).agg(F.min(F.col(text_col).cast("string")).alias("said"))
+    said = cut(said.where("conv is not null and at is not null"), "said")
+
+    def earlier(level: int) -> DataFrame:
+        up = F.when(F.col("back") > 0, F.col("at") - F.col("back"))
+        return said.select("conv", F.col("at").alias(f"at{level}"), F.col("said").alias(f"said{level}"), up.alias(f"up{level}"))
+
+    linked = said.select("conv", "at", F.when(F.col("back") > 0, F.col("at") - F.col("back")).alias("at1"))
+    for level in (1, 2, 3):
+        linked = linked.join(earlier(level), ["conv", f"at{level}"], "left").withColumnRenamed(f"up{level}", f"at{level + 1}")
+
+    def marked(level: int) -> Column:
+        return F.concat(F.lit("> " * level), F.replace(F.coalesce(f"said{level}", F.lit("")), F.lit("\n"), F.lit("\n" + "> " * level)), F.lit("\n"))
+
+    quoted = F.concat(F.lit("Someone wrote:\n"), *[F.when(F.col(f"said{k}").isNotNull(), marked(k)).otherwise("") for k in (3, 2, 1)], F.lit("\n"))
+    mark = "_quoting"
+    while any(c.lower().startswith(mark) for c in messages.columns):
+        mark += "_"
+    ahead = linked.where("said1 is not null").select(F.col("conv").alias(f"{mark}conv"), F.col("at").alias(f"{mark}turn"), quoted.alias(f"{mark}text"))
+    text = F.col(text_col).cast("string")
+    plain = F.coalesce(text, F.lit(""))
+    whole = F.when(F.col(f"{mark}text").isNull() | plain.rlike(QUOTES), text).otherwise(F.concat(f"{mark}text", plain))
+    joined = messages.join(ahead, (F.col(conv_col) == F.col(f"{mark}conv")) & (turn == F.col(f"{mark}turn")), "left")
+    return joined.withColumn(text_col, whole).select(*messages.columns)
+
+
 def conversations(
     messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text"
 ) -> DataFrame:

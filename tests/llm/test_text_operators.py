@@ -149,6 +149,62 @@ def test_long_threads(spark):
     assert {(r["turn"], r["thread_turn"], r["depth"], r["parent_turn"]) for r in got} == {(k, 0, k, k - 1 if k else None) for k in range(40)}
 
 
+def linked_by_hand(messages):
+    """(conv, turn) -> (parent, level) by comparing every quoted unit with every earlier message's own units."""
+    def split(text):
+        own, quoted = [], {}
+        for line in text.split("\n"):
+            m = re.match(r"[ \t]*((?:>[ \t]?)+)", line)
+            level = m[1].count(">") if m else 0
+            # Passages are runs of lines of one level.
+            (quoted.setdefault(level, []) if level else own).append(line[m.end() :] if m else line)
+        return own, quoted
+
+    def units(lines):
+        found = set()
+        for paragraph in "\n".join(lines).split("\n\n"):
+            rows = [" ".join(x.lower().split()) for x in paragraph.split("\n")]
+            whole = " ".join(r for r in rows if r)
+            found |= {*rows, whole, *re.split(r"(?<=[.!?]) ", whole)} - {""}
+        return found
+
+    owns = {key: units(split(text)[0]) for key, text in messages.items()}
+    links = {}
+    for (conv, turn), text in messages.items():
+        for level, lines in sorted(split(text)[1].items()):
+            weight = {}
+            for unit in units(lines):
+                holders = [t for (c, t), own in owns.items() if c == conv and unit in own]
+                if holders and min(holders) < turn:
+                    weight[min(holders)] = weight.get(min(holders), 0) + len(unit)
+            if weight:
+                links[conv, turn] = (max(weight, key=lambda t: (weight[t], t)), level)
+                break
+    return links
+
+
+def test_derived_quotations_against_every_pair(spark):
+    draw = random.Random(9)
+    words = ["yes", "no", "why", "later", "fine", "go"]
+    said = {(c, t): ". ".join(" ".join(draw.choices(words, k=draw.randint(1, 3))) for _ in range(draw.randint(1, 4))) + "." for c in range(12) for t in range(15)}
+    said[3, 4], said[3, 9] = "first line\nsecond line", ""
+    table = spark.createDataFrame([(c, t, "user", text, "clash", 9) for (c, t), text in said.items()], CHAT)
+    quoting = quotations.quoting(table)
+    assert quoting.columns == table.columns
+    texts = {(r["conv_id"], r["turn"]): r["text"] for r in quoting.collect()}
+    assert len(texts) == len(said) and all(texts[k].endswith(said[k]) for k in said)
+    assert any("\n> > > " in t for t in texts.values()) and sum("> " in t for t in texts.values()) > len(said) / 2
+    got = quotations.conversations(quoting).collect()
+    assert {(r["conv_id"], r["turn"]): r["text"] for r in got} == said
+    found = {(r["conv_id"], r["turn"]): (r["parent_turn"], r["parent_level"]) for r in got if r["parent_turn"] is not None}
+    assert found == linked_by_hand(texts) and len(found) > 80
+    edges = [(None, 1, "a"), (1, None, "b"), (1, 1, None), (1, 1, "c"), (1, 2, "> own"), (1, 3, "d"), (1, 4, "e")]
+    odd = spark.createDataFrame([(c, t, "user", x, "", 0) for c, t, x in edges], CHAT)
+    rows = quotations.quoting(odd.withColumn("_quotingConv", F.lit(1))).collect()
+    assert len(rows) == len(edges) and [r["text"] for r in rows if r["turn"] == 2] == ["> own"]
+    assert quotations.quoting(odd.limit(0)).collect() == []
+
+
 QUESTION = "A train leaves Paris with 8 cars and goes to Rome, and 30 people wait in Paris for lunch at 12 km away today."
 
 
