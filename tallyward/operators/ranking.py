@@ -124,7 +124,8 @@ def number_within_key(
     )
     over_key = Window.partitionBy(*parts)
     crossing = (
-        keyed.join(long_dumps, scope, "left_semi")
+        # A name per dump; a join by dump would put each long dump into one task.
+        keyed.join(F.broadcast(long_dumps), scope, "left_semi")
         .groupBy(*parts, block)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumns(

@@ -83,3 +83,16 @@ def test_unique_rows_are_not_shuffled(spark):
     assert out.count() == 5000
     # 20 rows share their keys; the window gets these and the few that share a bit with them.
     assert df.where(may_repeat(df, ["file", "k"], bits=1 << 20)).count() < 60
+
+
+def test_long_dumps_are_no_join_keys(spark):
+    """A join by dump would put all rows of a long dump into one task."""
+    df = spark.range(100).select(F.lit("f").alias("file"), (F.col("id") % 3).alias("k"), F.col("id").alias("pos"), "id")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = number_within_key(df, ["file", "k"], "file", "pos", "id", "rank", "size", 10)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    semi = [line for line in plan.splitlines() if "LeftSemi" in line]
+    assert semi and all("BroadcastHashJoin" in line for line in semi)
