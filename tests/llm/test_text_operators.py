@@ -316,3 +316,14 @@ def test_quality_of_long_texts(spark):
     assert all(report[k]["low"] < report[k]["high"] for k in range(60, 64))
     spread = spark.createDataFrame([("*", perplexity.ALL, 1.0, 4.0)], "lang string, band int, low double, high double")
     assert {(r["own"], r["low"], r["high"]) for r in perplexity.borrowed(spread).collect()} == {(False, 1.0, 4.0)}
+
+
+@pytest.mark.parametrize("few", [1, 1 << 20])
+def test_quality_learns_from_all_trusted_texts(spark, monkeypatch, few):
+    docs = docs_of(spark, [f"plain words of text {k}" for k in range(40)])
+    labels = docs.select("doc_id", F.when(F.col("doc_id") % 4 == 0, 0).otherwise(1).alias("quality"))
+    learned = []
+    monkeypatch.setattr(perplexity, "BROADCAST_IDS", few)
+    monkeypatch.setattr(perplexity, "train", lambda texts: learned.extend(r["_id"] for r in texts.collect()))
+    perplexity.Judge(docs, labels)
+    assert sorted(learned) == [r["doc_id"] for r in docs.where("doc_id % 4 <> 0").orderBy("doc_id").collect()]
