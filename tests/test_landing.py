@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tallyward.sources import landing
+from tallyward.sources import landing, lineitem_dump, shared
 from tallyward.sources.contract import HEADERS, RAW_COLUMNS
 
 
@@ -245,3 +245,66 @@ def test_places_beyond_the_broadcast_size_are_joined(spark, mixed, monkeypatch):
     monkeypatch.setattr(landing, "BROADCAST_BYTES", 0)
     got = landing.landing_scan(spark, mixed)
     assert sorted(got.drop("ingested_at").collect()) == want
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_line_items_are_ordered_before_they_are_text(spark, tmp_path, monkeypatch):
+    flags = ["A", "N", None, "R", "AB"]
+    items = [(k, k % 9, k % 7, k % 7 + 1, float(k % 49 + 1), 10.5 * k, k % 10 / 100, k % 9 / 100, flags[k % 5], "F", "1998-01-01") for k in range(300)]
+    names = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate string"
+    df = spark.createDataFrame(items, names).withColumn("l_shipdate", F.to_timestamp("l_shipdate"))
+    df.coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    plain = lineitem_dump.lineitem_raw(spark, str(tmp_path))
+    monkeypatch.setattr(lineitem_dump, "PART_ROWS", 25)
+    ordered = lineitem_dump.lineitem_in_order(spark, str(tmp_path), 2)
+    assert sorted(map(str, ordered.collect())) == sorted(map(str, plain.collect()))
+    # As many parts as the rows take, in order of dump and row number.
+    assert ordered.rdd.getNumPartitions() == 12
+    places = [(r["source_file"] or "", r["source_row_number"]) for r in ordered.select("source_file", "source_row_number").collect()]
+    assert places == sorted(places)
+    shuffled = plan_of(ordered).split("Exchange rangepartitioning")[1]
+    assert "Customer" not in shuffled
+    for compression in ("none", "gzip"):
+        folder = lineitem_dump.write_dumps(ordered.where("source_file is not null"), str(tmp_path / compression), compression)
+        landed = landing.landing_scan(spark, folder)
+        got = {(r.source_file, r.source_row_number): (r.refid or "").strip() for r in landed.collect()}
+        want = {}
+        for row in sorted(plain.where("source_file is not null").collect(), key=lambda r: r.source_row_number):
+            at = sum(name == row.source_file for name, _ in want) + 2
+            want[row.source_file, at] = row
+        blank = {k for k, r in want.items() if r.source_file == "dump_A.csv" and r.runner_number == "33"}
+        assert got == {k: (r.refid or "").strip() for k, r in want.items() if k not in blank} and blank
+
+
+def test_dumps_are_no_join_keys_of_rows(spark, mixed):
+    """A join or a sort by dump would put each dump into one task."""
+    landed = landing.landing_scan(spark, mixed)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (landing.limit_to_rows(landed, 1), landing.limit_to_files(landed, 1), landing.replace_by_file(landed, landed)):
+            assert "SortMergeJoin" not in plan_of(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortAggregate" not in plan_of(landing.landing_profile(landed))
+
+
+def test_landing_keeps_files_open_instead_of_sorting(spark, tmp_path):
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    many = shared.OPEN_FILES + 5  # dumps in one task; the rest is sorted
+    rows = spark.range(0, 200, 1, 1).select(
+        F.concat(F.lit("d"), F.col("id") % many).alias("source_file"), F.col("id").alias("ingestion_id"), F.col("id").alias("source_row_number"), F.current_timestamp().alias("ingested_at")
+    )
+    rows = rows.select("*", *[F.lit("x").alias(c) for c in RAW_COLUMNS if c not in rows.columns]).select(*RAW_COLUMNS)
+    seen = []
+    table = str(tmp_path / "table")
+    with shared.unsorted_writes(spark):
+        seen.append(spark.conf.get(name))
+    landing.land(rows, table)
+    assert seen == [str(shared.OPEN_FILES)] and spark.conf.get(name) == before
+    stored = landing.read_landed(spark, table)
+    assert {(r.source_file, r.ingestion_id) for r in stored.collect()} == {(f"d{k % many}", k) for k in range(200)}
