@@ -87,7 +87,7 @@ def test_unique_rows_are_not_shuffled(spark):
 
 def test_long_dumps_are_no_join_keys(spark):
     """A join by dump would put all rows of a long dump into one task."""
-    df = spark.range(100).select(F.lit("f").alias("file"), (F.col("id") % 3).alias("k"), F.col("id").alias("pos"), "id")
+    df = spark.range(100).select(F.concat(F.lit("f"), F.col("id") % 2).alias("file"), (F.col("id") % 3).alias("k"), F.col("id").alias("pos"), "id")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
