@@ -2,17 +2,21 @@
 
 Symbols are the words of a text (A-Z in lower case), then one end. The root holds the next-symbol distribution without
 context: absolute discounting of the training counts, the rest of the mass for unknown words. A state is a context of up
-to ``DEPTH`` words. It is kept when its next-symbol distribution diverges from that of its longest proper suffix: the
-counts times their log ratio must add up to ``DIVERGENCE`` a state, and within it a symbol counts as its own when it alone
-reaches ``SYMBOL_DIVERGENCE``. A kept state smooths its counts with ``PRIOR`` virtual counts of its suffix's distribution,
-and symbols that aren't its own share what is left in proportion to that distribution; probabilities of every state add
-up to one. A symbol is scored at the state of the longest suffix of what stands before it.
-
-Bounds. A word is frequent when it makes at least 1 / ``VOCABULARY`` of all training tokens, so there are at most
-``VOCABULARY`` of them; contexts consist of words that make 1 / ``CONTEXT_WORDS``, and a context with its next symbol must
-make 1 / ``SEQUENCES`` of all tokens, so there are at most that many of each length, whatever the corpus. Lengths are
-counted one after the other, and only where both shorter parts passed. These tables go to the tasks; counts of all other
-words stay in a table that is joined by word. Its hot rows don't exist, as frequent words were taken out.
+to ``DEPTH`` words, of any words. It is kept when its next-symbol distribution diverges from that of its longest proper
+suffix: over the symbols that follow it at least ``LEAST`` times, the counts times their log ratio must add up to
+``DIVERGENCE`` a state, and within it a symbol counts as its own when it alone reaches ``SYMBOL_DIVERGENCE``. A kept state
+smooths its counts with ``PRIOR`` virtual counts of its suffix's distribution, and symbols that aren't its own share what is
+left in proportion to that distribution; probabilities of every state add up to one. A symbol is scored at the state of the
+longest suffix of what stands before it.
+
+The tree is a table. A word, or a sequence of a context and its next symbol, is named by a 64-bit digest, and what it adds
+to the log10 probability of a text wherever it stands is a row: words what the root says, own symbols what they differ by
+from the suffix's distribution, states what they scale other symbols by. Lengths are counted one after the other, and only
+sequences whose two shorter parts stand at least ``LEAST`` times. Words that make 1 / ``VOCABULARY`` of all tokens and
+sequences that make 1 / ``SEQUENCES``, so at most that many of each length, go to the tasks, which look them up in place; all
+others are joined by digest, so no join has hot rows. Filters of at most ``FILTER_BITS`` keep digests without a row at home;
+where they fill up, more rows are shuffled and results stay. No constant but ``DEPTH``, ``LEAST``, ``DIVERGENCE``,
+``SYMBOL_DIVERGENCE`` and ``PRIOR`` changes a score.
 
 Defined cases: null and empty texts are one end; rows without an id are training rows like any other and are scored;
 repeated rows count as often as they stand; other input columns are ignored; without training rows every score is 0.
@@ -21,28 +25,35 @@ repeated rows count as often as they stand; other input columns are ignored; wit
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.sources.shared import cut
+from tallyward.sources.shared import cut, drop_shuffles, new_folder, scratch
 
-DEPTH = 2  # symbols are packed, 20 bits each, so 2 at most
+DEPTH = 2
+LEAST = 2
 VOCABULARY = 1 << 17
-CONTEXT_WORDS = 1 << 10
-SEQUENCES = 1 << 17
+SEQUENCES = 1 << 19
+# What ``Tree`` shows on the driver: words up to so many bytes, and states whose context words make 1 / ``CONTEXT_WORDS``.
 LONGEST = 64
+CONTEXT_WORDS = 1 << 10
 DIVERGENCE = 20.0
 SYMBOL_DIVERGENCE = 6.0
 PRIOR = 20.0
 COUNTED_WORDS = 400_000
-HELD_SEQUENCES = 1 << 22
+HELD_SEQUENCES = 1 << 21
 CHUNK_CHARS = 1 << 22
+FILTER_BITS = 1 << 28
+# Positions that one bitmap of ``bitmap_construct_agg`` has.
+BITMAP_BITS = 1 << 15
 #: The end of a text, as a word that no text holds.
 END = b"\n"
 
@@ -51,27 +62,94 @@ def words_of(text: str | None) -> list[bytes]:
     return [*(text or "").encode().lower().split(), END]
 
 
+def digests(words: pa.Array) -> np.ndarray:
+    return pd.util.hash_array(words.cast(pa.binary()).to_numpy(zero_copy_only=False), categorize=False)
+
+
+def sequence_digests(contexts: np.ndarray, suffixes: np.ndarray, length: int) -> np.ndarray:
+    """Digest of a sequence from those of all but its last word and of all but its first."""
+    with np.errstate(over="ignore"):
+        x = contexts * np.uint64(0x9E3779B97F4A7C15) + suffixes + np.uint64(length)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def chunks(texts: pa.Array) -> Iterator[pa.Array]:
+    """Runs of texts of about ``CHUNK_CHARS`` bytes."""
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    sizes, first = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)), 0
+    while first < len(texts):
+        done = sizes[first - 1] if first else 0
+        after = min(int(np.searchsorted(sizes, done + CHUNK_CHARS)) + 1, len(texts))
+        yield texts.slice(first, after - first)
+        first = after
+
+
+def numbered_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words, the number among them of each word of all texts in order, and the words of each text; ends included."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    flat, of = lists.flatten(), pc.list_parent_indices(lists).to_numpy()
+    filled = pc.greater(pc.binary_length(flat), 0)
+    lengths = np.bincount(of[filled.to_numpy(zero_copy_only=False)], minlength=len(texts)) + 1
+    coded = flat.filter(filled).dictionary_encode()
+    words = pa.concat_arrays([coded.dictionary.cast(pa.binary()), pa.array([END], pa.binary())])
+    ends = np.zeros(int(lengths.sum()), bool)
+    ends[np.cumsum(lengths) - 1] = True
+    numbers = np.full(len(ends), len(words) - 1)
+    numbers[~ends] = coded.indices.to_numpy()
+    return words, numbers, lengths
+
+
 def count_words(texts: DataFrame) -> DataFrame:
-    """(word, c) over the column ``text``; counts leave a task before they grow past ``COUNTED_WORDS`` words."""
+    """(word, c, key) over the column ``text``; counts leave a task before they grow past ``COUNTED_WORDS`` words."""
 
-    def packed(seen: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "c"])
+    def added(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        sums = pa.Table.from_batches(held).group_by("word", use_threads=False).aggregate([("c", "sum")])
+        sums = sums.select(["word", "c_sum"]).rename_columns(["word", "c"]).combine_chunks()
+        return pa.RecordBatch.from_arrays([pa.concat_arrays(c.chunks) for c in sums.columns], ["word", "c"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            for text in batch.column(0):
-                seen.update(words_of(text.as_py()))
-                if len(seen) >= COUNTED_WORDS:
-                    yield packed(seen)
-                    seen = Counter()
-        yield packed(seen)
+            for texts in chunks(batch.column(0)):
+                words, numbers, _ = numbered_words(texts)
+                held.append(pa.RecordBatch.from_arrays([words, pa.array(np.bincount(numbers, minlength=len(words)))], ["word", "c"]))
+                if sum(map(len, held)) >= COUNTED_WORDS:
+                    held = [added(held)]
+                    if 2 * len(held[0]) >= COUNTED_WORDS:
+                        yield from held
+                        held = []
+        if held:
+            yield added(held)
+
+    def with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests(batch.column(0)).view(np.int64))], ["word", "c", "key"])
+
+    sums = texts.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return sums.mapInArrow(with_key, "word binary, c long, key long")
+
 
-    return texts.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+class Filter:
+    """A set of digests as bits: what is in the table passes, and little else."""
+
+    def __init__(self, keys: DataFrame, n: int):
+        self.mask = max(BITMAP_BITS, min(FILTER_BITS, 1 << (16 * n).bit_length())) - 1
+        slot = F.col("key").bitwiseAND(self.mask)
+        bitmaps = keys.groupBy(F.expr(f"(key & {self.mask}) div {BITMAP_BITS}").alias("at")).agg(F.bitmap_construct_agg(slot % BITMAP_BITS).alias("bits"))
+        self.bits = np.zeros((self.mask + 1) // 8, np.uint8)
+        size = BITMAP_BITS // 8
+        for at, bits in bitmaps.toLocalIterator():
+            self.bits[at * size : at * size + size] = np.frombuffer(bits, np.uint8)
+
+    def passes(self, found: np.ndarray) -> np.ndarray:
+        slot = found & np.uint64(self.mask)
+        return (self.bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
 class Tree:
-    """Words with their counts, and the states below the root."""
+    """Totals of the training words, and what is frequent: words with their counts, and states below the root."""
 
     def __init__(self, words: dict[bytes, int], total: int, distinct: int, once: int, twice: int):
         self.total, self.distinct = total, distinct
@@ -79,6 +157,10 @@ class Tree:
         self.counts = words
         self.symbols = {w: k for k, w in enumerate(sorted(words, key=lambda w: (-words[w], w)))}
         self.states: dict[tuple[int, ...], tuple[float, dict[int, float]]] = {}
+        #: (key, base, score) of every word and sequence: the whole tree. frequent: the same of frequent ones, as sorted arrays.
+        self.gains: DataFrame | None = None
+        self.frequent: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+        self.filter: Filter | None = None
 
     def root(self, c: float) -> float:
         """Probability of a word with count ``c``; 0 is the unknown word."""
@@ -93,212 +175,245 @@ class Tree:
         found = own.get(symbol)
         return found if found is not None else rest * self.probability(context[1:], symbol, c)
 
-    def grow(self, found: dict[tuple[int, ...], int], seen: dict[tuple[int, ...], int], counts: list[int]) -> None:
-        """Keep the contexts of one length that diverge. found: counts of context and symbol; seen: of contexts."""
-        by_context = defaultdict(dict)
-        for sequence, c in found.items():
-            by_context[sequence[:-1]][sequence[-1]] = c
-        for context, after in by_context.items():
-            n = seen[context]
-            expected = {s: self.probability(context[1:], s, counts[s]) for s in after}
-            gain = {s: c * math.log(c / (n * expected[s])) - c + n * expected[s] for s, c in after.items()}
-            if sum(g for s, g in gain.items() if g >= SYMBOL_DIVERGENCE) < DIVERGENCE:
-                continue
-            own = {s: (after[s] + PRIOR * expected[s]) / (n + PRIOR) for s, g in gain.items() if g >= SYMBOL_DIVERGENCE}
-            left, below = 1.0 - sum(own.values()), 1.0 - sum(expected[s] for s in own)
-            if left > 1e-9 and below > 1e-9:
-                self.states[context] = (left / below, own)
-
-
-def chunks(texts: list[str | None]) -> Iterator[tuple[int, list[list[bytes]]]]:
-    """(index of the first, words of each) for runs of texts of about ``CHUNK_CHARS``."""
-    run, size, first = [], 0, 0
-    for k, text in enumerate(texts):
-        run.append(words_of(text))
-        size += len(text or "")
-        if size >= CHUNK_CHARS or k == len(texts) - 1:
-            yield first, run
-            run, size, first = [], 0, k + 1
-
-
-def symbol_ids(lists: list[list[bytes]], known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols of all words (-1: not frequent), the start of each text, and how many words stand before each in its text."""
-    lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-    ids = np.fromiter((known.get(w, -1) for words in lists for w in words), np.int64, int(lengths.sum()))
-    starts = np.cumsum(lengths) - lengths
-    return ids, starts, np.arange(len(ids)) - np.repeat(starts, lengths)
-
-
-def member(codes: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place in the sorted table, whether it is there) of each code."""
-    if not len(table):
-        return np.zeros(len(codes), np.int64), np.zeros(len(codes), bool)
-    at = np.minimum(np.searchsorted(table, codes), len(table) - 1)
-    return at, table[at] == codes
-
-
-def sequence_counts(texts: DataFrame, symbols: dict[bytes, int], heads: int, parts: frozenset | None, length: int) -> DataFrame:
-    """(sequence, c) of ``length`` frequent symbols, the context words among the first ``heads``.
-
-    parts: the sequences one symbol shorter that both ends must be (None: any). Symbols are packed, 20 bits each.
-    """
-    shared = texts.sparkSession.sparkContext.broadcast((symbols, None if parts is None else np.array(sorted(parts), np.int64)))
-
-    def packed(codes: list[np.ndarray]) -> pa.RecordBatch:
-        found, c = np.unique(np.concatenate(codes), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(found), pa.array(c.astype(np.int64))], ["sequence", "c"])
+    def show(self, levels: list[DataFrame]) -> None:
+        """Fill ``states`` from the frequent sequences of each length, for contexts of very frequent words."""
+        keys = digests(pa.array(list(self.symbols), pa.binary())).view(np.int64).tolist()
+        named = {key: (symbol,) for key, symbol in zip(keys, self.symbols.values())}
+        heads = {symbol for word, symbol in self.symbols.items() if self.counts[word] * CONTEXT_WORDS >= self.total}
+        for level in levels:
+            longer = {}
+            for r in level.where(F.col("c") * SEQUENCES >= self.total).collect():
+                if r["ctx"] in named and r["suffix"] in named:
+                    context, symbol = named[r["ctx"]], named[r["suffix"]][-1]
+                    longer[r["key"]] = (*context, symbol)
+                    if r["own"] and heads.issuperset(context):
+                        self.states.setdefault(context, (r["rest"], {}))[1][symbol] = r["p"]
+            named = longer
+
+    def hold(self) -> None:
+        """Take what is frequent, and the filter of all else, from the table of gains."""
+        rows = self.gains.where("frequent").select("key", "base", "score").toPandas()
+        keys, place = np.unique(rows["key"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
+        self.frequent = (keys, *(np.bincount(place, rows[c].to_numpy(float), len(keys)) for c in ("base", "score")))
+        others = self.gains.where("not frequent")
+        self.filter = Filter(others, others.count())
+
+
+def longer_digests(found: np.ndarray, length: int) -> np.ndarray:
+    """Digests of the sequences of ``length`` that end at each word, from those one shorter; meaningless where a text has too few."""
+    return np.concatenate([found[:1], sequence_digests(found[:-1], found[1:], length)])
+
+
+def words_before(lengths: np.ndarray) -> np.ndarray:
+    """How many words stand before each in its text."""
+    return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
+def sequences(texts: pa.Array, length: int, known: Filter) -> tuple[np.ndarray, np.ndarray]:
+    """Digests of all but the last word and of all but the first, of every sequence whose two parts are known."""
+    words, numbers, lengths = numbered_words(texts)
+    found, before = digests(words), words_before(lengths)
+    if length == 2:
+        ok, found = known.passes(found)[numbers], found[numbers]
+    else:
+        found = found[numbers]
+        for shorter in range(2, length):
+            found = longer_digests(found, shorter)
+        ok = known.passes(found) & (before >= length - 2)
+    at = np.flatnonzero(ok[1:] & ok[:-1] & (before[1:] >= length - 1))
+    return found[at], found[at + 1]
+
+
+def sequence_counts(texts: DataFrame, known: Filter, length: int) -> DataFrame:
+    """(ctx, suffix, c) of the sequences of ``length`` words that stand at least ``LEAST`` times. known: those one shorter."""
+    shared = texts.sparkSession.sparkContext.broadcast(known)
+
+    def packed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        contexts, suffixes = (np.concatenate(part) for part in zip(*held))
+        held.clear()
+        _, first, c = np.unique(sequence_digests(contexts, suffixes, length), return_index=True, return_counts=True)
+        order = np.argsort(contexts[first])  # rows of one context beside each other compress better
+        first, c = first[order], c[order]
+        contexts, suffixes = contexts[first], suffixes[first]
+        columns = [contexts.view(np.int64), suffixes.view(np.int64), c.astype(np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(column) for column in columns], ["ctx", "suffix", "c"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, shorter = shared.value
         held, size = [], 0
         for batch in batches:
-            for _, lists in chunks([text.as_py() for text in batch.column(0)]):
-                ids, _, before = symbol_ids(lists, known)
-                at = np.flatnonzero((ids >= 0) & (before >= length - 1))
-                for back in range(1, length):
-                    ahead = ids[at - back]
-                    at = at[(ahead >= 0) & (ahead < heads)]
-                code = np.zeros(len(at), np.int64)
-                for back in range(length - 1, -1, -1):
-                    code = (code << 20) | ids[at - back]
-                if shorter is not None:
-                    code = code[member(code >> 20, shorter)[1]]
-                    code = code[member(code & ((1 << 20 * (length - 1)) - 1), shorter)[1]]
-                held.append(code)
-                size += len(code)
+            for texts in chunks(batch.column(0)):
+                held.append(sequences(texts, length, shared.value))
+                size += len(held[-1][0])
                 if size >= HELD_SEQUENCES:
                     yield packed(held)
-                    held, size = [], 0
+                    size = 0
         if held:
             yield packed(held)
 
-    return texts.select("text").mapInArrow(run, "sequence long, c long").groupBy("sequence").agg(F.sum("c").alias("c"))
+    counted = texts.select("text").mapInArrow(run, "ctx long, suffix long, c long")
+    return counted.groupBy("ctx", "suffix").agg(F.sum("c").alias("c")).where(F.col("c") >= LEAST)
 
 
-def unpacked(code: int, length: int) -> tuple[int, ...]:
-    return tuple(code >> 20 * k & 0xFFFFF for k in range(length - 1, -1, -1))
+def with_keys(found: DataFrame, length: int) -> DataFrame:
+    """Add the digests ``key`` of sequences to (ctx, suffix, ...)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            contexts, suffixes = (batch.column(name).to_numpy().view(np.uint64) for name in ("ctx", "suffix"))
+            key = sequence_digests(contexts, suffixes, length).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(key), *batch.columns], ["key", *batch.schema.names])
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema.fields)
+    return found.mapInArrow(run, f"key long, {kinds}")
+
+
+def with_shorter(found: DataFrame, by: str, shorter: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``found`` with the columns of ``shorter`` that ``by`` names: rows of its frequent keys, which are broadcast, and all others."""
+    table = shorter.withColumnRenamed("key", by)
+    hot, cold = (table.where(c).drop("frequent") for c in ("frequent", "not frequent"))
+    return found.join(F.broadcast(hot), by), found.join(F.broadcast(hot.select(by)), by, "left_anti").join(cold, by)
+
+
+def grown(found: DataFrame, shorter: DataFrame) -> DataFrame:
+    """What the tree says about sequences: the probability ``p``, whether it is the state's ``own``, and the state's ``rest``.
+
+    found: (ctx, suffix, c). shorter: (key, c, p, frequent) of all sequences one shorter. Sequences of a frequent
+    context meet by partial sums and a broadcast, the others by shuffle.
+    """
+    after = shorter.select("key", F.col("p").alias("expected"), "frequent")
+    found = cut(DataFrame.unionByName(*with_shorter(found, "suffix", after)), "expected")
+    drop_shuffles(found.sparkSession)
+    n, c, expected = F.col("n"), F.col("c"), F.col("expected")
+    smooth = (c + PRIOR * expected) / (n + PRIOR)
+
+    def settled(rows: DataFrame, few: bool) -> DataFrame:
+        rows = rows.withColumn("gain", c * F.log(c / (n * expected)) - c + n * expected)
+        strong = rows.where(F.col("gain") >= SYMBOL_DIVERGENCE).groupBy("ctx")
+        sums = strong.agg(F.sum("gain").alias("gains"), (1 - F.sum(smooth)).alias("left"), (1 - F.sum(expected)).alias("below"))
+        states = sums.where((F.col("gains") >= DIVERGENCE) & (F.col("left") > 1e-9) & (F.col("below") > 1e-9))
+        states = states.select("ctx", (F.col("left") / F.col("below")).alias("rest"))
+        return rows.join(F.broadcast(states) if few else states, "ctx", "left")
+
+    context = shorter.select("key", F.col("c").alias("n"), "frequent")
+    few, many = with_shorter(found, "ctx", context)
+    both = settled(few, True).unionByName(settled(many, False))
+    own = F.col("rest").isNotNull() & (F.col("gain") >= SYMBOL_DIVERGENCE)
+    below = F.coalesce("rest", F.lit(1.0)) * expected
+    return both.select(
+        "ctx", "suffix", "c", "n", own.alias("own"), "rest", F.when(own, smooth).otherwise(below).alias("p"),
+        F.when(own, F.log10(smooth / below)).otherwise(0.0).alias("score"),
+    )
 
 
 def train(texts: DataFrame) -> tuple[Tree, DataFrame] | None:
-    """Tree over the column ``text``, and the table (word, c) of all words; None without rows."""
+    """Tree over the column ``text``, and the table (word, c, key) of all words; None without rows. ``texts`` is read ``DEPTH`` + 1 times."""
+    spark = texts.sparkSession
     counts = cut(count_words(texts), "words")
-    facts = counts.agg(F.sum("c").alias("total"), F.count("*").alias("distinct"), F.count(F.when(F.col("c") == 1, 1)).alias("once"), F.count(F.when(F.col("c") == 2, 1)).alias("twice")).first()
+    facts = counts.agg(
+        F.sum("c").alias("total"), F.count("*").alias("distinct"), F.count(F.when(F.col("c") == 1, 1)).alias("once"),
+        F.count(F.when(F.col("c") == 2, 1)).alias("twice"),
+    ).first()
     if not facts["distinct"]:
         return None
-    frequent = counts.where((F.col("c") * VOCABULARY >= facts["total"]) & (F.octet_length("word") <= LONGEST)).collect()
-    tree = Tree({bytes(r["word"]): r["c"] for r in frequent}, facts["total"], facts["distinct"], facts["once"], facts["twice"])
-    ordered = sorted(tree.counts.values(), reverse=True)
-    heads = sum(c * CONTEXT_WORDS >= tree.total for c in ordered)
-    by_symbol = [0] * len(tree.symbols)
-    for word, symbol in tree.symbols.items():
-        by_symbol[symbol] = tree.counts[word]
-    seen, parts = {(s,): by_symbol[s] for s in range(heads)}, None
-    for length in range(2, DEPTH + 2):
-        # The end is no context: a text stops there. Its symbol never precedes another, as texts are kept apart.
-        enough = sequence_counts(texts, tree.symbols, heads, parts, length).where(F.col("c") * SEQUENCES >= tree.total)
-        found = {r["sequence"]: r["c"] for r in enough.where("c > 1").collect()}
-        if not found:
-            break
-        named = {unpacked(code, length): c for code, c in found.items()}
-        tree.grow(named, seen, by_symbol)
-        seen, parts = named, frozenset(found)
+    shown = counts.where((F.col("c") * VOCABULARY >= facts["total"]) & (F.octet_length("word") <= LONGEST)).collect()
+    tree = Tree({bytes(r["word"]): r["c"] for r in shown}, facts["total"], facts["distinct"], facts["once"], facts["twice"])
+    base, zero = F.log10(F.col("c") + 1), F.lit(0.0)
+    frequent_word, frequent = F.col("c") * VOCABULARY >= tree.total, F.col("c") * SEQUENCES >= tree.total
+    shorter = counts.select("key", "c", ((F.col("c") - tree.discount) / tree.total).alias("p"), frequent_word.alias("frequent"))
+    gains = [shorter.select("key", "frequent", base.alias("base"), (F.log10("p") - math.log10(tree.root(0))).alias("score"))]
+    kept, levels = new_folder(spark, "gains"), []
+    with scratch(spark):
+        for length in range(2, DEPTH + 2):
+            shorter = shorter.where(F.col("c") >= LEAST)
+            folder = new_folder(spark, "level")
+            with scratch(spark):
+                counted = cut(sequence_counts(texts, Filter(shorter, shorter.count()), length), "sequences")
+                drop_shuffles(spark)
+                level = grown(counted, shorter)
+                # Frequent sequences stay although they say nothing: tasks know them all, and never send one away.
+                level = with_keys(level if length <= DEPTH else level.where(F.col("own") | frequent), length)
+                names = ("ctx", "suffix", "n", "rest")
+                said = level.withColumns({name: F.when(F.col("own") | frequent, F.col(name)) for name in names})
+                said.write.parquet(folder)
+            drop_shuffles(spark)
+            level = spark.read.schema(said.schema).parquet(folder)
+            levels.append(level)
+            gains.append(level.where(F.col("own") | frequent).select("key", frequent.alias("frequent"), zero.alias("base"), "score"))
+            states = level.where("own").groupBy(F.col("ctx").alias("key")).agg(F.max("n").alias("c"), F.log10(F.max("rest")).alias("score"))
+            gains.append(states.select("key", (frequent_word if length == 2 else frequent).alias("frequent"), zero.alias("base"), "score"))
+            shorter = level.select("key", "c", "p", frequent.alias("frequent"))
+        reduce(DataFrame.unionByName, gains).write.parquet(kept)
+        tree.show(levels)
+    drop_shuffles(spark)
+    tree.gains = spark.read.schema("key long, frequent boolean, base double, score double").parquet(kept)
+    tree.hold()
     return tree, counts
 
 
-class Lookup:
-    """A tree as sorted arrays: for each length the states' rests, and their own symbols' probabilities, as log10."""
-
-    def __init__(self, tree: Tree):
-        by_symbol = np.zeros(len(tree.symbols) + 1)
-        for word, symbol in tree.symbols.items():
-            by_symbol[symbol] = tree.counts[word]
-        self.known = tree.symbols
-        self.base = np.log10(by_symbol + 1) - math.log10(tree.total + tree.distinct + 1)
-        self.root = np.array([math.log10(tree.root(c)) if c else 0.0 for c in by_symbol])
-        self.base[-1] = 0.0  # at -1: other words, which the join adds
-        self.levels = []
-        for n in range(1, DEPTH + 1):
-            states = sorted((self.pack(context), rest, own) for context, (rest, own) in tree.states.items() if len(context) == n)
-            own = sorted((code << 20 | symbol, p) for code, _, symbols in states for symbol, p in symbols.items())
-            self.levels.append((
-                np.array([code for code, _, _ in states], np.int64), np.log10([rest for _, rest, _ in states]),
-                np.array([code for code, _ in own], np.int64), np.log10([p for _, p in own]),
-            ))
-
-    @staticmethod
-    def pack(context: tuple[int, ...]) -> int:
-        code = 0
-        for symbol in context:
-            code = code << 20 | symbol
-        return code
-
-    def scores(self, ids: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """log10 probability of each symbol; of other words without what the root gives them."""
-        out = self.root[ids]
-        at, code = np.arange(len(ids)), np.zeros(len(ids), np.int64)
-        for n, (states, rest, own, p) in enumerate(self.levels, 1):
-            # From shorter to longer contexts: each state there is overrules or scales what its suffix said.
-            ok = (before[at] >= n) & (ids[at - n] >= 0)
-            at, code = at[ok], code[ok]
-            code = code | ids[at - n] << 20 * (n - 1)
-            place, there = member(code, states)
-            where, place, context = at[there], place[there], code[there]
-            symbol = ids[where]
-            found, hit = member(context << 20 | np.maximum(symbol, 0), own)
-            hit &= symbol >= 0
-            out[where] = np.where(hit, p[found] if len(p) else 0.0, rest[place] + out[where])
-        return out
-
-
 def score(docs: DataFrame, tree: Tree, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, n_tokens, n_known, train_tokens, base_score (add-one words), score (the tree)."""
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
+    """One row per row of ``docs``: id, n_tokens, n_known, train_tokens, base_score (add-one words), score (the tree).
+
+    counts: the words that ``tree.gains`` stands for. Rows are numbered by their place in ``docs``, which must not change while it runs.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((tree.frequent, tree.filter))
+    names = ["row", "key", "id", "n_tokens", "n_known", "base", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each document with what its frequent words say, and a row for each of its other words."""
-        lookup, task, number = Lookup(shared.value), TaskContext.get().partitionId() << 40, 0
-        names = ["row", "id", "word", "n", "n_known", "base", "score"]
-        kinds = [pa.int64(), id_type, pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        pack = lambda *columns: pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], names)
+        """A row for each document with what is frequent in it, and a row for each of its other words and sequences that may say something."""
+        (keys, base, gain), wanted = shared.value
+        kinds = [pa.int64(), pa.int64(), id_type, pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        task, number = TaskContext.get().partitionId() << 40, 0
         for batch in batches:
-            doc_ids = batch.column(0).to_pylist()
-            for first, lists in chunks([text.as_py() for text in batch.column(1)]):
-                ids, starts, before = symbol_ids(lists, lookup.known)
-                rows = task + number + np.arange(len(lists))
-                number += len(lists)
-                sums = lambda values: np.add.reduceat(values, starts)  # noqa: E731  every text has its end
-                yield pack(
-                    rows, doc_ids[first : first + len(lists)], [None] * len(lists), list(map(len, lists)),
-                    sums((ids >= 0).astype(np.int64)), sums(lookup.base[ids]), sums(lookup.scores(ids, before)),
-                )
-                others = [(int(row), word, n) for row, words in zip(rows, lists) for word, n in Counter(w for w in words if w not in lookup.known).items()]
-                none, zeros = [None] * len(others), np.zeros(len(others))
-                yield pack([o[0] for o in others], none, [o[1] for o in others], [o[2] for o in others], zeros.astype(np.int64), zeros, zeros)
+            first = 0
+            for texts in chunks(batch.column(1)):
+                words, numbers, lengths = numbered_words(texts)
+                rows, before = task + number + np.arange(len(texts)), words_before(lengths)
+                number += len(texts)
+                starts, row_of = np.cumsum(lengths) - lengths, np.repeat(rows, lengths)
+                found = digests(words)
+                sums, others = np.zeros((3, len(texts))), []
+                for length in range(1, DEPTH + 2):
+                    if length > 1:
+                        found = longer_digests(found, length)
+                    place = np.minimum(np.searchsorted(keys, found), len(keys) - 1) if len(keys) else np.zeros(len(found), np.int64)
+                    there = keys[place] == found if len(keys) else np.zeros(len(found), bool)
+                    said = [np.where(there, values[place], 0.0) if len(keys) else np.zeros(len(found)) for values in (base, gain)]
+                    said = [(said[0] > 0).astype(float), *said]
+                    away = ~there & wanted.passes(found)
+                    if length == 1:  # looked up once for each distinct word
+                        found, away, said = found[numbers], away[numbers], [values[numbers] for values in said]
+                    ok = before >= length - 1
+                    sums += [np.add.reduceat(np.where(ok, values, 0.0), starts) for values in said]
+                    away &= ok
+                    others.append((row_of[away], found[away]))
+                # A document's own key meets nothing, and spreads these rows.
+                own = sequence_digests(rows.view(np.uint64), rows.view(np.uint64), 0).view(np.int64)
+                ids = batch.column(0).slice(first, len(texts))
+                first += len(texts)
+                columns = [rows, own, ids, lengths, sums[0].astype(np.int64), sums[1], sums[2]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) if c is not ids else c for c, kind in zip(columns, kinds)], names)
+                columns = [np.concatenate([o[0] for o in others]), np.concatenate([o[1] for o in others]).view(np.int64)]
+                none = [pa.nulls(len(columns[0]), kind) for kind in kinds[2:]]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), *none], names)
 
     id_kind = docs.schema[id_col].dataType.simpleString()
     numbers = id_kind in ("bigint", "int", "smallint", "tinyint")
     id_type, wide = (pa.int64(), "bigint") if numbers else (pa.string(), "string")
     narrow = docs.select(F.col(id_col).cast(wide).alias("id"), F.col(text_col).cast("string").alias("text"))
-    parts = cut(narrow.mapInArrow(run, f"row long, id {wide}, word binary, n long, n_known long, base double, score double"), "parts")
-    whole = parts.where("word is null")
-    norm = math.log10(tree.total + tree.distinct + 1)
-    unknown = math.log10(tree.root(0))
-    c = F.coalesce("c", F.lit(0))
-    root = F.when(c > 0, F.log10((c - tree.discount) / tree.total)).otherwise(F.lit(unknown))
-    others = (
-        parts.where("word is not null")
-        .select("row", "word", "n")
-        .join(counts, "word", "left")
+    said = narrow.mapInArrow(run, f"row long, key long, id {wide}, n_tokens long, n_known long, base double, score double")
+    table = tree.gains.where("not frequent").select(F.col("key").alias("of"), F.col("base").alias("more_base"), F.col("score").alias("more_score"))
+    zero = lambda name: F.coalesce(name, F.lit(0))
+    whole = (
+        said.join(table, (F.col("key") == F.col("of")) & F.col("n_tokens").isNull(), "left")
         .groupBy("row")
         .agg(
-            F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("more_known"),
-            F.sum(F.col("n") * (F.log10(c + 1) - norm)).alias("more_base"),
-            F.sum(F.col("n") * root).alias("more_score"),
+            F.max("id").alias("id"), F.max("n_tokens").alias("n_tokens"),
+            F.sum(zero("n_known") + F.when(F.col("more_base") > 0, 1).otherwise(0)).alias("n_known"),
+            F.sum(zero("base") + zero("more_base")).alias("base"), F.sum(zero("score") + zero("more_score")).alias("score"),
         )
-    )
-    zero = lambda name: F.coalesce(name, F.lit(0))
-    return whole.join(others, "row", "left").select(
-        F.col("id").cast(id_kind).alias(id_col), F.col("n").alias("n_tokens"), (F.col("n_known") + zero("more_known")).alias("n_known"),
-        F.lit(tree.total).cast("long").alias("train_tokens"), (F.col("base") + zero("more_base")).alias("base_score"),
-        (F.col("score") + zero("more_score")).alias("score"),
+    )
+    return whole.select(
+        F.col("id").cast(id_kind).alias(id_col), "n_tokens", "n_known", F.lit(tree.total).cast("long").alias("train_tokens"),
+        (F.col("base") - F.col("n_tokens") * math.log10(tree.total + tree.distinct + 1)).alias("base_score"),
+        (F.col("score") + F.col("n_tokens") * math.log10(tree.root(0))).alias("score"),
     )

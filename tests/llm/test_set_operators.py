@@ -227,6 +227,62 @@ def test_suffix_tree(spark, monkeypatch):
     assert suffix_tree.train(training.limit(0)) is None and suffix_tree.score(docs.limit(0), tree, counts).collect() == []
 
 
+def test_suffix_tree_against_every_sequence(spark, monkeypatch):
+    """Rare words and sequences are states and symbols like frequent ones, whatever is looked up in place."""
+    draw = random.Random(29)
+    rare = [f"Rare{k} {'y' * (80 if k == 4 else k)}" for k in range(9)]
+    texts = [" ".join(f"v{min(int(draw.paretovariate(0.7)), 90)}" for _ in range(draw.randrange(120))) for _ in range(150)]
+    for k, passage in ((3, rare), (70, rare), (5, rare[:4]), (9, ["a b c"] * 30), (149, ["a b c"] * 3), *((k, [f"m{draw.randrange(5)} x n"] * 3) for k in range(20, 60))):
+        texts[k] = " ".join([texts[k], *passage, texts[k + 1 if k < 140 else 0]])
+        texts[k] = " ".join(w + before[1:] if w == "n" else w for before, w in zip(["", "", *texts[k].split()], texts[k].split()))  # n after m3 x is n3
+    texts += [None, "", " \t ", "\x0bunseen\x0cA\r\nB  c unseen \u00c4 ", *rare[:2], " ".join(rare), "v1 v2 " * 500]
+    learned = texts[:-4]
+    every = [suffix_tree.words_of(t) for t in learned]
+    total = sum(map(len, every))
+    counts = {n: Counter(tuple(w[k : k + n]) for w in every for k in range(len(w) - n + 1)) for n in (1, 2, 3)}
+    words = counts[1]
+    once, twice = (sum(c == k for c in words.values()) for k in (1, 2))
+    discount = min(max(once / (once + 2 * twice), 0.1), 0.9)
+    states = {}
+
+    def probability(context, word):
+        while context and context not in states:
+            context = context[1:]
+        if not context:
+            c = words[(word,)]
+            return (c - discount) / total if c else discount * len(words) / total
+        rest, own = states[context]
+        return own[word] if word in own else rest * probability(context[1:], word)
+
+    for n in (2, 3):
+        after = {}
+        for sequence, c in counts[n].items():
+            if c >= suffix_tree.LEAST:
+                after.setdefault(sequence[:-1], {})[sequence[-1]] = c
+        for context, follow in after.items():
+            seen = counts[n - 1][context]
+            e = {w: probability(context[1:], w) for w in follow}
+            gain = {w: c * math.log(c / (seen * e[w])) - c + seen * e[w] for w, c in follow.items()}
+            own = {w: (follow[w] + suffix_tree.PRIOR * e[w]) / (seen + suffix_tree.PRIOR) for w, g in gain.items() if g >= suffix_tree.SYMBOL_DIVERGENCE}
+            if sum(gain[w] for w in own) >= suffix_tree.DIVERGENCE:
+                states[context] = ((1 - sum(own.values())) / (1 - sum(e[w] for w in own)), own)
+    assert any(words[context[:1]] < 8 for context in states) and {1, 2} == set(map(len, states))
+    want = {k: sum(math.log10(probability(tuple(w[max(0, t - 2) : t]), w[t])) for t in range(len(w))) for k, w in enumerate(map(suffix_tree.words_of, texts))}
+    docs = spark.createDataFrame([(k, t, "en", "s", 0, "", "") for k, t in enumerate(texts)], DOCS).repartition(3).localCheckpoint()
+    training = docs.where(f"doc_id < {len(learned)}").select("text")
+    for share, bits in ((32, 1 << 15), (1 << 17, 1 << 28)):
+        for name, value in (("VOCABULARY", share), ("SEQUENCES", share), ("FILTER_BITS", bits), ("CHUNK_CHARS", 5000), ("HELD_SEQUENCES", 300), ("COUNTED_WORDS", 50)):
+            monkeypatch.setattr(suffix_tree, name, value)
+        tree, table = suffix_tree.train(training)
+        assert {bytes(r["word"]): r["c"] for r in table.collect()} == {w[0]: c for w, c in words.items()}
+        found = {r["doc_id"]: r for r in suffix_tree.score(docs, tree, table).collect()}
+        assert len(found) == len(texts)
+        for k, w in enumerate(map(suffix_tree.words_of, texts)):
+            assert (found[k]["n_tokens"], found[k]["n_known"]) == (len(w), sum(words[(x,)] > 0 for x in w))
+            assert abs(found[k]["base_score"] - sum(math.log10((words[(x,)] + 1) / (total + len(words) + 1)) for x in w)) < 1e-6
+            assert abs(found[k]["score"] - want[k]) < 1e-6, k
+
+
 PAGES = "page_id long, url string, html string, node string, bytes string"
 
 
