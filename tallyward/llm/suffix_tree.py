@@ -356,12 +356,14 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, id_col: str = "doc_id"
     counts: the words that ``tree.gains`` stands for. Rows are numbered by their place in ``docs``, which must not change while it runs.
     """
     shared = docs.sparkSession.sparkContext.broadcast((tree.frequent, tree.filter))
-    names = ["row", "key", "id", "n_tokens", "n_known", "base", "score"]
+    names = ["id", "n_tokens", "n_known", "base", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each document with what is frequent in it, and a row for each of its other words and sequences that may say something."""
         (keys, base, gain), wanted = shared.value
-        kinds = [pa.int64(), pa.int64(), id_type, pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        kinds = [id_type, pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        whole = pa.struct(list(zip(names, kinds)))
+        pack = lambda *columns: pa.RecordBatch.from_arrays([*map(pa.array, columns[:2]), columns[2]], ["row", "key", "doc"])
         task, number = TaskContext.get().partitionId() << 40, 0
         for batch in batches:
             first = 0
@@ -390,26 +392,26 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, id_col: str = "doc_id"
                 own = sequence_digests(rows.view(np.uint64), rows.view(np.uint64), 0).view(np.int64)
                 ids = batch.column(0).slice(first, len(texts))
                 first += len(texts)
-                columns = [rows, own, ids, lengths, sums[0].astype(np.int64), sums[1], sums[2]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, kind) if c is not ids else c for c, kind in zip(columns, kinds)], names)
-                columns = [np.concatenate([o[0] for o in others]), np.concatenate([o[1] for o in others]).view(np.int64)]
-                none = [pa.nulls(len(columns[0]), kind) for kind in kinds[2:]]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), *none], names)
+                columns = [lengths, sums[0].astype(np.int64), sums[1], sums[2]]
+                columns = [ids.cast(id_type), *map(pa.array, columns, kinds[1:])]
+                yield pack(rows, own, pa.StructArray.from_arrays(columns, names))
+                row_of, found = (np.concatenate(part) for part in zip(*others))
+                yield pack(row_of, found.view(np.int64), pa.nulls(len(row_of), whole))
 
     id_kind = docs.schema[id_col].dataType.simpleString()
     numbers = id_kind in ("bigint", "int", "smallint", "tinyint")
     id_type, wide = (pa.int64(), "bigint") if numbers else (pa.string(), "string")
     narrow = docs.select(F.col(id_col).cast(wide).alias("id"), F.col(text_col).cast("string").alias("text"))
-    said = narrow.mapInArrow(run, f"row long, key long, id {wide}, n_tokens long, n_known long, base double, score double")
+    said = narrow.mapInArrow(run, f"row long, key long, doc struct<id: {wide}, n_tokens: long, n_known: long, base: double, score: double>")
     table = tree.gains.where("not frequent").select(F.col("key").alias("of"), F.col("base").alias("more_base"), F.col("score").alias("more_score"))
     zero = lambda name: F.coalesce(name, F.lit(0))
     whole = (
-        said.join(table, (F.col("key") == F.col("of")) & F.col("n_tokens").isNull(), "left")
+        said.join(table, (F.col("key") == F.col("of")) & F.col("doc").isNull(), "left")
         .groupBy("row")
         .agg(
-            F.max("id").alias("id"), F.max("n_tokens").alias("n_tokens"),
-            F.sum(zero("n_known") + F.when(F.col("more_base") > 0, 1).otherwise(0)).alias("n_known"),
-            F.sum(zero("base") + zero("more_base")).alias("base"), F.sum(zero("score") + zero("more_score")).alias("score"),
+            F.max("doc.id").alias("id"), F.max("doc.n_tokens").alias("n_tokens"),
+            F.sum(zero("doc.n_known") + F.when(F.col("more_base") > 0, 1).otherwise(0)).alias("n_known"),
+            F.sum(zero("doc.base") + zero("more_base")).alias("base"), F.sum(zero("doc.score") + zero("more_score")).alias("score"),
         )
     )
     return whole.select(
