@@ -33,10 +33,11 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.sources.shared import cut, drop_shuffles, new_folder, scratch
+from tallyward.sources.shared import cut, drop_shuffles, new_folder, scratch, shuffles_dropped
 
 DEPTH = 2
 LEAST = 2
@@ -51,6 +52,8 @@ PRIOR = 20.0
 COUNTED_WORDS = 400_000
 HELD_SEQUENCES = 1 << 21
 CHUNK_CHARS = 1 << 22
+# Documents are scored in so many parts by the hash of their id, one after the other: what one part looks up lies on disk at a time.
+SLICES = 4
 FILTER_BITS = 1 << 28
 # Positions that one bitmap of ``bitmap_construct_agg`` has.
 BITMAP_BITS = 1 << 15
@@ -274,15 +277,18 @@ def with_shorter(found: DataFrame, by: str, shorter: DataFrame) -> tuple[DataFra
     return found.join(F.broadcast(hot), by), found.join(F.broadcast(hot.select(by)), by, "left_anti").join(cold, by)
 
 
+def with_expected(found: DataFrame, shorter: DataFrame) -> DataFrame:
+    """Add to (ctx, suffix, c) the probability ``expected`` of the sequence without its first word."""
+    after = shorter.select("key", F.col("p").alias("expected"), "frequent")
+    return DataFrame.unionByName(*with_shorter(found, "suffix", after))
+
+
 def grown(found: DataFrame, shorter: DataFrame) -> DataFrame:
     """What the tree says about sequences: the probability ``p``, whether it is the state's ``own``, and the state's ``rest``.
 
-    found: (ctx, suffix, c). shorter: (key, c, p, frequent) of all sequences one shorter. Sequences of a frequent
+    found: (ctx, suffix, c, expected). shorter: (key, c, p, frequent) of all sequences one shorter. Sequences of a frequent
     context meet by partial sums and a broadcast, the others by shuffle.
     """
-    after = shorter.select("key", F.col("p").alias("expected"), "frequent")
-    found = cut(DataFrame.unionByName(*with_shorter(found, "suffix", after)), "expected")
-    drop_shuffles(found.sparkSession)
     n, c, expected = F.col("n"), F.col("c"), F.col("expected")
     smooth = (c + PRIOR * expected) / (n + PRIOR)
 
@@ -322,14 +328,19 @@ def train(texts: DataFrame) -> tuple[Tree, DataFrame] | None:
     shorter = counts.select("key", "c", ((F.col("c") - tree.discount) / tree.total).alias("p"), frequent_word.alias("frequent"))
     gains = [shorter.select("key", "frequent", base.alias("base"), (F.log10("p") - math.log10(tree.root(0))).alias("score"))]
     kept, levels = new_folder(spark, "gains"), []
-    with scratch(spark):
+    with scratch(spark), shuffles_dropped(spark):
         for length in range(2, DEPTH + 2):
             shorter = shorter.where(F.col("c") >= LEAST)
             folder = new_folder(spark, "level")
             with scratch(spark):
-                counted = cut(sequence_counts(texts, Filter(shorter, shorter.count()), length), "sequences")
+                expected = new_folder(spark, "expected")
+                with scratch(spark):
+                    counted = cut(sequence_counts(texts, Filter(shorter, shorter.count()), length), "sequences")
+                    drop_shuffles(spark)
+                    found = with_expected(counted, shorter)
+                    found.write.parquet(expected)
                 drop_shuffles(spark)
-                level = grown(counted, shorter)
+                level = grown(spark.read.schema(found.schema).parquet(expected), shorter)
                 # Frequent sequences stay although they say nothing: tasks know them all, and never send one away.
                 level = with_keys(level if length <= DEPTH else level.where(F.col("own") | frequent), length)
                 names = ("ctx", "suffix", "n", "rest")
@@ -353,9 +364,20 @@ def train(texts: DataFrame) -> tuple[Tree, DataFrame] | None:
 def score(docs: DataFrame, tree: Tree, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, n_tokens, n_known, train_tokens, base_score (add-one words), score (the tree).
 
-    counts: the words that ``tree.gains`` stands for. Rows are numbered by their place in ``docs``, which must not change while it runs.
+    counts: the words that ``tree.gains`` stands for. ``docs`` is read, and its scores are written, ``SLICES`` times a part of it.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((tree.frequent, tree.filter))
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast((tree.frequent, tree.filter))
+    parts, slice_of = [], F.pmod(F.xxhash64(id_col), F.lit(SLICES))
+    for k in range(SLICES):
+        with shuffles_dropped(spark):
+            parts.append(cut(score_slice(docs.where(slice_of == k), tree, shared, id_col, text_col), "scores"))
+        drop_shuffles(spark)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def score_slice(docs: DataFrame, tree: Tree, shared: Broadcast, id_col: str, text_col: str) -> DataFrame:
+    """``score`` in one go. shared: the frequent rows and the filter. Rows are numbered by their place in ``docs``, which must not change while it runs."""
     names = ["id", "n_tokens", "n_known", "base", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -405,8 +427,9 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, id_col: str = "doc_id"
     said = narrow.mapInArrow(run, f"row long, key long, doc struct<id: {wide}, n_tokens: long, n_known: long, base: double, score: double>")
     table = tree.gains.where("not frequent").select(F.col("key").alias("of"), F.col("base").alias("more_base"), F.col("score").alias("more_score"))
     zero = lambda name: F.coalesce(name, F.lit(0))
+    # A part of the table is small beside what is looked up in it, which then needs no sorting.
     whole = (
-        said.join(table, (F.col("key") == F.col("of")) & F.col("doc").isNull(), "left")
+        said.join(table.hint("shuffle_hash"), (F.col("key") == F.col("of")) & F.col("doc").isNull(), "left")
         .groupBy("row")
         .agg(
             F.max("doc.id").alias("id"), F.max("doc.n_tokens").alias("n_tokens"),

@@ -283,6 +283,29 @@ def test_suffix_tree_against_every_sequence(spark, monkeypatch):
             assert abs(found[k]["score"] - want[k]) < 1e-6, k
 
 
+def test_suffix_tree_keeps_little_on_disk(spark, monkeypatch):
+    """What is shuffled for one table goes as soon as it is written, and documents are scored part by part."""
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = [files.apply(i).getName() for i in range(files.size())]
+        return {n for n in names if n.startswith("shuffle_")}
+
+    words = ["a b c", "c a b a", "b b", "", None]
+    texts = spark.createDataFrame([(k if k % 9 else None, words[k % 5]) for k in range(80)], "doc_id long, text string").repartition(3).localCheckpoint()
+    monkeypatch.setattr(suffix_tree, "drop_shuffles", lambda spark: None)  # nothing waits for the JVM to collect
+    tree, counts = suffix_tree.train(texts.select("text"))
+    got = {}
+    for parts in (1, 3):
+        monkeypatch.setattr(suffix_tree, "SLICES", parts)
+        before = shuffled()
+        scored = suffix_tree.score(texts, tree, counts)
+        assert not shuffled() - before
+        got[parts] = sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 9), round(r["score"], 9)) for r in scored.collect())
+        assert len(scored.inputFiles()) >= parts
+    assert got[1] == got[3] and len(got[1]) == 80
+
+
 PAGES = "page_id long, url string, html string, node string, bytes string"
 
 
