@@ -51,12 +51,17 @@ SYMBOL_DIVERGENCE = 6.0
 PRIOR = 20.0
 COUNTED_WORDS = 400_000
 HELD_SEQUENCES = 1 << 21
+HELD_LOOKUPS = 1 << 19
 CHUNK_CHARS = 1 << 22
+# Rows that a bucket of packed rows holds, about.
+BUCKET_ROWS = 1 << 18
 # Documents are scored in so many parts by the hash of their id, one after the other: what one part looks up lies on disk at a time.
 SLICES = 4
 FILTER_BITS = 1 << 28
 # Positions that one bitmap of ``bitmap_construct_agg`` has.
 BITMAP_BITS = 1 << 15
+#: Packed rows of a bucket: of the tree, to look up in it, and documents.
+TABLE, LOOKUPS, DOCUMENT = range(3)
 #: The end of a text, as a word that no text holds.
 END = b"\n"
 
@@ -134,23 +139,107 @@ def count_words(texts: DataFrame) -> DataFrame:
     return sums.mapInArrow(with_key, "word binary, c long, key long")
 
 
-class Filter:
-    """A set of digests as bits: what is in the table passes, and little else."""
+def bucket_bits(rows: int) -> int:
+    """How many of the highest bits of a digest tell its bucket, for so many rows."""
+    return max(1, (rows // BUCKET_ROWS).bit_length())
 
-    def __init__(self, keys: DataFrame, n: int):
-        self.mask = max(BITMAP_BITS, min(FILTER_BITS, 1 << (16 * n).bit_length())) - 1
-        slot = F.col("key").bitwiseAND(self.mask)
-        bitmaps = keys.groupBy(F.expr(f"(key & {self.mask}) div {BITMAP_BITS}").alias("at")).agg(F.bitmap_construct_agg(slot % BITMAP_BITS).alias("bits"))
-        self.bits = np.zeros((self.mask + 1) // 8, np.uint8)
-        size = BITMAP_BITS // 8
-        for at, bits in bitmaps.toLocalIterator():
-            self.bits[at * size : at * size + size] = np.frombuffer(bits, np.uint8)
+
+def roughly(keys: np.ndarray) -> np.ndarray:
+    """Their order by all but the lowest bits: places stand there instead, as numbers sort several times faster than they are ranked."""
+    low = np.uint64((1 << len(keys).bit_length()) - 1)
+    return (np.sort(keys & ~low | np.arange(len(keys), dtype=np.uint64)) & low).astype(np.int64)
+
+
+def ordered(keys: np.ndarray) -> np.ndarray:
+    order = roughly(keys)
+    at = keys[order]
+    return order if (at[1:] >= at[:-1]).all() else np.argsort(keys)
+
+
+def firsts(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys starts."""
+    return np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+
+
+def dealt(keys: np.ndarray, order: np.ndarray, columns: list[np.ndarray], bits: int) -> tuple[list[int], list[bytes]]:
+    """Buckets, and the rows of each in ``order``: columns of eight bytes, one behind the other. The order keeps the keys of a bucket together."""
+    rows = np.empty((len(columns), len(order)), np.uint64)
+    for row, column in zip(rows, columns):
+        np.take(column.view(np.uint64), order, out=row, mode="clip")
+    bucket = (keys[order] >> np.uint64(64 - bits)).astype(np.int64)
+    edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1)) if len(bucket) else np.zeros(0, np.int64)
+    return bucket[edges[:-1]].tolist(), [rows[:, a:z].tobytes() for a, z in zip(edges[:-1], edges[1:])]
+
+
+PACKED = "bucket int, rows binary"
+
+
+def packed_rows(buckets: list[int], rows: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(rows, pa.binary())], ["bucket", "rows"])
+
+
+def unpacked(rows: pa.Scalar, width: int) -> np.ndarray:
+    return np.frombuffer(rows.as_buffer(), np.uint64).reshape(width, -1)
+
+
+def whole_buckets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket with all its rows, from (bucket, rows) in the order of buckets."""
+    held: list[np.ndarray] = []
+    of = None
+    for batch in batches:
+        for bucket, rows in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if held and bucket != of:
+                yield of, np.concatenate(held, axis=1)
+                held = []
+            held.append(unpacked(rows, width))
+            of = bucket
+    if held:
+        yield of, np.concatenate(held, axis=1)
+
+
+def by_bucket(packed: DataFrame, *then: str) -> DataFrame:
+    return packed.repartition("bucket").sortWithinPartitions("bucket", *then)
+
+
+class Bits:
+    """A set of digests as bits: what was added passes, and little else."""
+
+    def __init__(self, size: int):
+        self.mask = size - 1
+        self.bits = np.zeros(size // 8, np.uint8)
+
+    def add(self, found: np.ndarray) -> None:
+        slot = np.unique(found[~self.passes(found)] & np.uint64(self.mask))
+        np.add.at(self.bits, slot >> np.uint64(3), np.uint8(1) << (slot & np.uint64(7)).astype(np.uint8))
 
     def passes(self, found: np.ndarray) -> np.ndarray:
         slot = found & np.uint64(self.mask)
         return (self.bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
+class Filter(Bits):
+    """The column ``key`` of ``n`` rows as bits. Tasks send the bitmaps that their rows fill."""
+
+    def __init__(self, keys: DataFrame, n: int):
+        size, page = max(BITMAP_BITS, min(FILTER_BITS, 1 << (16 * n).bit_length())), BITMAP_BITS // 8
+        super().__init__(size)
+
+        def pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = Bits(size)
+            for batch in batches:
+                own.add(batch.column(0).to_numpy().view(np.uint64))
+            rows = own.bits.reshape(-1, page)
+            filled = np.flatnonzero(rows.any(axis=1))
+            for first in range(0, len(filled), 1024):
+                at = filled[first : first + 1024]
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array([rows[k].tobytes() for k in at], pa.binary())], ["at", "bits"])
+
+        bitmaps = keys.select("key").mapInArrow(pages, "at long, bits binary").groupBy("at").agg(F.bitmap_or_agg("bits").alias("bits"))
+        # At once: an iterator would come back for shuffle files that ``shuffles_dropped`` has removed, and Spark would make them again.
+        for at, bits in bitmaps.collect():
+            self.bits[at * page : at * page + page] = np.frombuffer(bits, np.uint8)
+
+
 class Tree:
     """Totals of the training words, and what is frequent: words with their counts, and states below the root."""
 
@@ -160,10 +249,11 @@ class Tree:
         self.counts = words
         self.symbols = {w: k for k, w in enumerate(sorted(words, key=lambda w: (-words[w], w)))}
         self.states: dict[tuple[int, ...], tuple[float, dict[int, float]]] = {}
-        #: (key, base, score) of every word and sequence: the whole tree. frequent: the same of frequent ones, as sorted arrays.
+        #: (key, base, score) of every word and sequence: the whole tree. frequent: the same of frequent ones, as bits and sorted arrays.
         self.gains: DataFrame | None = None
-        self.frequent: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+        self.frequent: tuple[Bits, np.ndarray, np.ndarray, np.ndarray] | None = None
         self.filter: Filter | None = None
+        self.bits = 1
 
     def root(self, c: float) -> float:
         """Probability of a word with count ``c``; 0 is the unknown word."""
@@ -197,9 +287,41 @@ class Tree:
         """Take what is frequent, and the filter of all else, from the table of gains."""
         rows = self.gains.where("frequent").select("key", "base", "score").toPandas()
         keys, place = np.unique(rows["key"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
-        self.frequent = (keys, *(np.bincount(place, rows[c].to_numpy(float), len(keys)) for c in ("base", "score")))
+        often = Bits(max(BITMAP_BITS, 1 << (16 * len(keys)).bit_length()))
+        often.add(keys)
+        self.frequent = (often, keys, *(np.bincount(place, rows[c].to_numpy(float), len(keys)) for c in ("base", "score")))
         others = self.gains.where("not frequent")
-        self.filter = Filter(others, others.count())
+        n = others.count()
+        self.filter, self.bits = Filter(others, n), bucket_bits(n)
+
+    def packed(self) -> DataFrame:
+        """(bucket, rows): digest, base and score of all that is not frequent, in the order of digests; one row a bucket."""
+        bits = self.bits
+
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[pa.RecordBatch] = []
+            for batch in batches:
+                held.append(batch)
+                if sum(map(len, held)) >= HELD_LOOKUPS:
+                    yield of(held)
+            if held:
+                yield of(held)
+
+        def of(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            keys, base, score = (np.concatenate([batch.column(k).to_numpy() for batch in held]) for k in range(3))
+            held.clear()
+            keys = keys.view(np.uint64)
+            return packed_rows(*dealt(keys, roughly(keys), [keys, base, score], bits))
+
+        def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for bucket, (keys, base, score) in whole_buckets(batches, 3):
+                order = ordered(keys)
+                first = firsts(keys[order])
+                sums = [np.add.reduceat(values.view(float)[order], first) for values in (base, score)]
+                yield packed_rows([bucket], [np.stack([keys[order[first]], *(x.view(np.uint64) for x in sums)]).tobytes()])
+
+        rows = self.gains.where("not frequent").select("key", "base", "score")
+        return by_bucket(rows.mapInArrow(pack, PACKED)).mapInArrow(merged, PACKED)
 
 
 def longer_digests(found: np.ndarray, length: int) -> np.ndarray:
@@ -227,19 +349,26 @@ def sequences(texts: pa.Array, length: int, known: Filter) -> tuple[np.ndarray,
     return found[at], found[at + 1]
 
 
-def sequence_counts(texts: DataFrame, known: Filter, length: int) -> DataFrame:
-    """(ctx, suffix, c) of the sequences of ``length`` words that stand at least ``LEAST`` times. known: those one shorter."""
+def sequence_counts(texts: DataFrame, known: Filter, length: int, total: int) -> DataFrame:
+    """(ctx, suffix, c) of the sequences of ``length`` words that stand at least ``LEAST`` times. known: those one shorter. total: all words.
+
+    Most sequences stand once, so a row each would be shuffled and dropped behind: tasks count what they meet and send
+    packed buckets of it, and each bucket is summed as a whole.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(known)
+    bits = bucket_bits(total)
+    high = np.uint64((1 << bits) - 1 << 64 - bits)
 
     def packed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         contexts, suffixes = (np.concatenate(part) for part in zip(*held))
         held.clear()
-        _, first, c = np.unique(sequence_digests(contexts, suffixes, length), return_index=True, return_counts=True)
-        order = np.argsort(contexts[first])  # rows of one context beside each other compress better
-        first, c = first[order], c[order]
-        contexts, suffixes = contexts[first], suffixes[first]
-        columns = [contexts.view(np.int64), suffixes.view(np.int64), c.astype(np.int64)]
-        return pa.RecordBatch.from_arrays([pa.array(column) for column in columns], ["ctx", "suffix", "c"])
+        keys = sequence_digests(contexts, suffixes, length)
+        order = roughly(keys)  # few equal ones stand apart, and meet in their bucket
+        first = firsts(keys[order])
+        c, at = np.diff(first, append=len(keys)), order[first]
+        keys, contexts, suffixes = keys[at], contexts[at], suffixes[at]
+        order = roughly(keys & high | contexts >> np.uint64(bits))  # rows of one context beside each other compress better
+        return packed_rows(*dealt(keys, order, [contexts, suffixes, c.astype(np.int64)], bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -253,8 +382,19 @@ def sequence_counts(texts: DataFrame, known: Filter, length: int) -> DataFrame:
         if held:
             yield packed(held)
 
-    counted = texts.select("text").mapInArrow(run, "ctx long, suffix long, c long")
-    return counted.groupBy("ctx", "suffix").agg(F.sum("c").alias("c")).where(F.col("c") >= LEAST)
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, (contexts, suffixes, c) in whole_buckets(batches, 3):
+            keys = sequence_digests(contexts, suffixes, length)
+            order = ordered(keys)
+            first = firsts(keys[order])
+            sums = np.add.reduceat(c.view(np.int64)[order], first)
+            often = sums >= LEAST
+            at = order[first[often]]
+            columns = [contexts[at].view(np.int64), suffixes[at].view(np.int64), sums[often]]
+            yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], ["ctx", "suffix", "c"])
+
+    counted = texts.select("text").mapInArrow(run, PACKED)
+    return by_bucket(counted).mapInArrow(summed, "ctx long, suffix long, c long")
 
 
 def with_keys(found: DataFrame, length: int) -> DataFrame:
@@ -335,7 +475,7 @@ def train(texts: DataFrame) -> tuple[Tree, DataFrame] | None:
             with scratch(spark):
                 expected = new_folder(spark, "expected")
                 with scratch(spark):
-                    counted = cut(sequence_counts(texts, Filter(shorter, shorter.count()), length), "sequences")
+                    counted = cut(sequence_counts(texts, Filter(shorter, shorter.count()), length, tree.total), "sequences")
                     drop_shuffles(spark)
                     found = with_expected(counted, shorter)
                     found.write.parquet(expected)
@@ -368,24 +508,39 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, id_col: str = "doc_id"
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((tree.frequent, tree.filter))
+    with shuffles_dropped(spark):
+        packed = cut(tree.packed(), "packed_gains")
     parts, slice_of = [], F.pmod(F.xxhash64(id_col), F.lit(SLICES))
     for k in range(SLICES):
         with shuffles_dropped(spark):
-            parts.append(cut(score_slice(docs.where(slice_of == k), tree, shared, id_col, text_col), "scores"))
+            parts.append(cut(score_slice(docs.where(slice_of == k), tree, packed, shared, id_col, text_col), "scores"))
         drop_shuffles(spark)
     return reduce(DataFrame.unionByName, parts)
 
 
-def score_slice(docs: DataFrame, tree: Tree, shared: Broadcast, id_col: str, text_col: str) -> DataFrame:
-    """``score`` in one go. shared: the frequent rows and the filter. Rows are numbered by their place in ``docs``, which must not change while it runs."""
-    names = ["id", "n_tokens", "n_known", "base", "score"]
+def score_slice(docs: DataFrame, tree: Tree, packed: DataFrame, shared: Broadcast, id_col: str, text_col: str) -> DataFrame:
+    """``score`` in one go. packed: the other rows by bucket. shared: the frequent rows and the filter. Rows are numbered by their place in ``docs``, which must not change while it runs."""
+    names, bits = ["id", "n_tokens", "n_known", "base", "score"], tree.bits
+    id_kind = docs.schema[id_col].dataType.simpleString()
+    numbers = id_kind in ("bigint", "int", "smallint", "tinyint")
+    id_type, wide = (pa.int64(), "bigint") if numbers else (pa.string(), "string")
+    kinds = [id_type, pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+
+    def of_bucket(buckets: list[int], rows: list[bytes]) -> pa.RecordBatch:
+        n = len(buckets)
+        columns = [pa.array(buckets, pa.int32()), pa.array(np.full(n, LOOKUPS, np.int32)), pa.array(rows, pa.binary()), pa.nulls(n, pa.int64())]
+        return pa.RecordBatch.from_arrays([*columns, pa.nulls(n, pa.struct(list(zip(names, kinds))))], ["bucket", "kind", "rows", "row", "doc"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each document with what is frequent in it, and a row for each of its other words and sequences that may say something."""
-        (keys, base, gain), wanted = shared.value
-        kinds = [id_type, pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        whole = pa.struct(list(zip(names, kinds)))
-        pack = lambda *columns: pa.RecordBatch.from_arrays([*map(pa.array, columns[:2]), columns[2]], ["row", "key", "doc"])
+        """A row for each document with what is frequent in it, and packed rows of its other words and sequences that may say something."""
+        (often, keys, base, gain), wanted = shared.value
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def sent() -> pa.RecordBatch:
+            rows, found = (np.concatenate(part) for part in zip(*waiting))
+            waiting.clear()
+            return of_bucket(*dealt(found, roughly(found), [found, rows], bits))
+
         task, number = TaskContext.get().partitionId() << 40, 0
         for batch in batches:
             first = 0
@@ -399,44 +554,78 @@ def score_slice(docs: DataFrame, tree: Tree, shared: Broadcast, id_col: str, tex
                 for length in range(1, DEPTH + 2):
                     if length > 1:
                         found = longer_digests(found, length)
-                    place = np.minimum(np.searchsorted(keys, found), len(keys) - 1) if len(keys) else np.zeros(len(found), np.int64)
-                    there = keys[place] == found if len(keys) else np.zeros(len(found), bool)
-                    said = [np.where(there, values[place], 0.0) if len(keys) else np.zeros(len(found)) for values in (base, gain)]
-                    said = [(said[0] > 0).astype(float), *said]
-                    away = ~there & wanted.passes(found)
-                    if length == 1:  # looked up once for each distinct word
+                    # Most aren't frequent, and a bit tells so sooner than a search.
+                    at = np.flatnonzero(often.passes(found))
+                    place = np.searchsorted(keys, found[at])
+                    hit = keys[np.minimum(place, len(keys) - 1)] == found[at] if len(at) else np.zeros(0, bool)
+                    at, place = at[hit], place[hit]
+                    away = wanted.passes(found)
+                    away[at] = False
+                    said = [np.zeros(len(found)) for _ in range(2 if length == 1 else 1)]
+                    for values, all_values in zip(said, (gain, base)):
+                        values[at] = all_values[place]
+                    if length == 1:  # looked up once for each distinct word; only words have a base
+                        said.append((said[1] > 0).astype(float))
                         found, away, said = found[numbers], away[numbers], [values[numbers] for values in said]
                     ok = before >= length - 1
-                    sums += [np.add.reduceat(np.where(ok, values, 0.0), starts) for values in said]
+                    for total, values in zip(sums[::-1], said):
+                        total += np.add.reduceat(np.where(ok, values, 0.0), starts)
                     away &= ok
                     others.append((row_of[away], found[away]))
-                # A document's own key meets nothing, and spreads these rows.
-                own = sequence_digests(rows.view(np.uint64), rows.view(np.uint64), 0).view(np.int64)
+                # A document's own key only spreads these rows.
+                own = sequence_digests(rows.view(np.uint64), rows.view(np.uint64), 0) >> np.uint64(64 - bits)
                 ids = batch.column(0).slice(first, len(texts))
                 first += len(texts)
                 columns = [lengths, sums[0].astype(np.int64), sums[1], sums[2]]
                 columns = [ids.cast(id_type), *map(pa.array, columns, kinds[1:])]
-                yield pack(rows, own, pa.StructArray.from_arrays(columns, names))
-                row_of, found = (np.concatenate(part) for part in zip(*others))
-                yield pack(row_of, found.view(np.int64), pa.nulls(len(row_of), whole))
+                n = len(rows)
+                columns = [pa.array(own.astype(np.int32)), pa.array(np.full(n, DOCUMENT, np.int32)), pa.nulls(n, pa.binary()), pa.array(rows), pa.StructArray.from_arrays(columns, names)]
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "kind", "rows", "row", "doc"])
+                waiting += others
+                if sum(len(found) for _, found in waiting) >= HELD_LOOKUPS:
+                    yield sent()
+        if waiting:
+            yield sent()
+
+    def found_sums(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        rows, base, score = (np.concatenate(part) for part in zip(*found))
+        found.clear()
+        row, place = np.unique(rows, return_inverse=True)
+        sums = [np.bincount(place, values, len(row)) for values in (base > 0, base, score)]
+        columns = [pa.array(row.view(np.int64)), pa.nulls(len(row), id_type), pa.nulls(len(row), pa.int64())]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(sums[0].astype(np.int64)), *map(pa.array, sums[1:])], ["row", *names])
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Documents as they are, and sums over what was looked up for them; a bucket of the tree stands before what is looked up in it."""
+        of, found, size = None, [], 0
+        keys = base = score = np.zeros(0)
+        for batch in batches:
+            docs = batch.filter(pc.equal(batch.column(1), DOCUMENT))
+            yield pa.RecordBatch.from_arrays([docs.column(3), *docs.column(4).flatten()], ["row", *names])
+            for bucket, kind, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if kind == TABLE:
+                    of, (keys, base, score) = bucket, unpacked(rows, 3)
+                    base, score = base.view(float), score.view(float)
+                elif kind == LOOKUPS and bucket == of:
+                    wanted, row = unpacked(rows, 2)
+                    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+                    there = keys[place] == wanted
+                    found.append((row[there], base[place[there]], score[place[there]]))
+                    size += len(found[-1][0])
+                    if size >= HELD_LOOKUPS:
+                        yield found_sums(found)
+                        size = 0
+        if found:
+            yield found_sums(found)
 
-    id_kind = docs.schema[id_col].dataType.simpleString()
-    numbers = id_kind in ("bigint", "int", "smallint", "tinyint")
-    id_type, wide = (pa.int64(), "bigint") if numbers else (pa.string(), "string")
     narrow = docs.select(F.col(id_col).cast(wide).alias("id"), F.col(text_col).cast("string").alias("text"))
-    said = narrow.mapInArrow(run, f"row long, key long, doc struct<id: {wide}, n_tokens: long, n_known: long, base: double, score: double>")
-    table = tree.gains.where("not frequent").select(F.col("key").alias("of"), F.col("base").alias("more_base"), F.col("score").alias("more_score"))
-    zero = lambda name: F.coalesce(name, F.lit(0))
-    # A part of the table is small beside what is looked up in it, which then needs no sorting.
-    whole = (
-        said.join(table.hint("shuffle_hash"), (F.col("key") == F.col("of")) & F.col("doc").isNull(), "left")
-        .groupBy("row")
-        .agg(
-            F.max("doc.id").alias("id"), F.max("doc.n_tokens").alias("n_tokens"),
-            F.sum(zero("doc.n_known") + F.when(F.col("more_base") > 0, 1).otherwise(0)).alias("n_known"),
-            F.sum(zero("doc.base") + zero("more_base")).alias("base"), F.sum(zero("doc.score") + zero("more_score")).alias("score"),
-        )
-    )
+    doc = f"id: {wide}, n_tokens: long, n_known: long, base: double, score: double"
+    said = narrow.mapInArrow(run, f"bucket int, kind int, rows binary, row long, doc struct<{doc}>")
+    table = packed.select("bucket", F.lit(TABLE).alias("kind"), "rows")
+    met = by_bucket(said.unionByName(table, allowMissingColumns=True), "kind")
+    whole = met.mapInArrow(look_up, f"row long, {doc.replace(':', '')}").groupBy("row").agg(
+        F.max("id").alias("id"), F.max("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base"), F.sum("score").alias("score")
+    )
     return whole.select(
         F.col("id").cast(id_kind).alias(id_col), "n_tokens", "n_known", F.lit(tree.total).cast("long").alias("train_tokens"),
         (F.col("base") - F.col("n_tokens") * math.log10(tree.total + tree.distinct + 1)).alias("base_score"),

@@ -283,6 +283,29 @@ def test_suffix_tree_against_every_sequence(spark, monkeypatch):
             assert abs(found[k]["score"] - want[k]) < 1e-6, k
 
 
+def test_suffix_tree_shuffles_packed_rows(spark, monkeypatch):
+    """Sequences are sent as a few packed buckets, not a row each, and counted as Counter does, wherever equal digests stand."""
+    draw = random.Random(17)
+    texts = [" ".join(f"v{draw.randrange(40)}" for _ in range(60)) for _ in range(100)] + ["", None, "v1"]
+    words = [suffix_tree.words_of(t) for t in texts]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3).localCheckpoint()
+    total = sum(map(len, words))
+    for name, value in (("BUCKET_ROWS", 500), ("HELD_SEQUENCES", 700), ("CHUNK_CHARS", 3000)):
+        monkeypatch.setattr(suffix_tree, name, value)
+    keys = suffix_tree.cut(suffix_tree.count_words(frame), "words")
+    found = suffix_tree.sequence_counts(frame, suffix_tree.Filter(keys, keys.count()), 2, total)
+    number = {r["key"]: bytes(r["word"]) for r in keys.collect()}
+    want = {p: c for p, c in Counter(p for w in words for p in zip(w, w[1:])).items() if c >= suffix_tree.LEAST}
+    assert {(number[r["ctx"]], number[r["suffix"]]): r["c"] for r in found.collect()} == want
+    sent = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in sent and "rows" in sent
+    equal = np.array([5, 9, 5, 7, 9, 5], np.uint64)
+    for order in (suffix_tree.ordered(equal), suffix_tree.ordered(equal + np.uint64(2**63))):
+        assert equal[order].tolist() == [5, 5, 5, 7, 9, 9]
+    buckets, rows = suffix_tree.dealt(equal << np.uint64(61), suffix_tree.ordered(equal << np.uint64(61)), [equal], 3)
+    assert buckets == [1, 5, 7] and [np.frombuffer(r, np.uint64).tolist() for r in rows] == [[9, 9], [5, 5, 5], [7]]
+
+
 def test_suffix_tree_keeps_little_on_disk(spark, monkeypatch):
     """What is shuffled for one table goes as soon as it is written, and documents are scored part by part."""
 
