@@ -50,8 +50,9 @@ DIVERGENCE = 20.0
 SYMBOL_DIVERGENCE = 6.0
 PRIOR = 20.0
 COUNTED_WORDS = 400_000
-HELD_SEQUENCES = 1 << 21
+HELD_SEQUENCES = 1 << 20
 HELD_LOOKUPS = 1 << 19
+SENT_ROWS = 1 << 17
 CHUNK_CHARS = 1 << 22
 # Rows that a bucket of packed rows holds, about.
 BUCKET_ROWS = 1 << 18
@@ -359,7 +360,7 @@ def sequence_counts(texts: DataFrame, known: Filter, length: int, total: int) ->
     bits = bucket_bits(total)
     high = np.uint64((1 << bits) - 1 << 64 - bits)
 
-    def packed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    def packed(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         contexts, suffixes = (np.concatenate(part) for part in zip(*held))
         held.clear()
         keys = sequence_digests(contexts, suffixes, length)
@@ -368,7 +369,10 @@ def sequence_counts(texts: DataFrame, known: Filter, length: int, total: int) ->
         c, at = np.diff(first, append=len(keys)), order[first]
         keys, contexts, suffixes = keys[at], contexts[at], suffixes[at]
         order = roughly(keys & high | contexts >> np.uint64(bits))  # rows of one context beside each other compress better
-        return packed_rows(*dealt(keys, order, [contexts, suffixes, c.astype(np.int64)], bits))
+        # A few at a time, as Spark holds a batch beside its heap.
+        for at in range(0, len(order), SENT_ROWS):
+            yield packed_rows(*dealt(keys, order[at : at + SENT_ROWS], [contexts, suffixes, c], bits))
+        pa.default_memory_pool().release_unused()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -377,10 +381,10 @@ def sequence_counts(texts: DataFrame, known: Filter, length: int, total: int) ->
                 held.append(sequences(texts, length, shared.value))
                 size += len(held[-1][0])
                 if size >= HELD_SEQUENCES:
-                    yield packed(held)
+                    yield from packed(held)
                     size = 0
         if held:
-            yield packed(held)
+            yield from packed(held)
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, (contexts, suffixes, c) in whole_buckets(batches, 3):
@@ -586,6 +590,7 @@ def score_slice(docs: DataFrame, tree: Tree, packed: DataFrame, shared: Broadcas
                     yield sent()
         if waiting:
             yield sent()
+        pa.default_memory_pool().release_unused()
 
     def found_sums(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         rows, base, score = (np.concatenate(part) for part in zip(*found))
