@@ -1,6 +1,8 @@
 """BPE, licences, quotations, decontamination and perplexity against plain definitions."""
 
+import collections
 import hashlib
+import math
 import random
 import re
 
@@ -327,3 +329,45 @@ def test_quality_learns_from_all_trusted_texts(spark, monkeypatch, few):
     monkeypatch.setattr(perplexity, "train", lambda texts: learned.extend(r["_id"] for r in texts.collect()))
     perplexity.Judge(docs, labels)
     assert sorted(learned) == [r["doc_id"] for r in docs.where("doc_id % 4 <> 0").orderBy("doc_id").collect()]
+
+
+def kneser_ney(texts, tested):
+    """Log10 probability of each byte of ``tested`` by the definition: dictionaries of n-grams of whole bytes."""
+    grams = lambda t: [(None, None, None, *t.encode())[i : i + 4] for i in range(len(t.encode()))]
+    tables = [collections.Counter(g for t in texts for g in grams(t))]
+    for _ in range(3):
+        tables.append(collections.Counter(g[1:] for g in tables[-1]))
+
+    def probability(gram, table):
+        if not gram:
+            return 1 / 255
+        counts = tables[table]
+        n = [max(1, sum(c == k for c in counts.values())) for k in (1, 2, 3, 4)]
+        y = n[0] / (n[0] + 2 * n[1])
+        d = [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.1), k - 0.05) for k in (1, 2, 3)]
+        same = [c for g, c in counts.items() if g[:-1] == gram[:-1]]
+        shorter = probability(gram[1:], table + 1)
+        if not same:
+            return shorter
+        own = counts[gram] - d[min(counts[gram], 3) - 1] if gram in counts else 0
+        return own / sum(same) + sum(d[min(c, 3) - 1] for c in same) / sum(same) * shorter
+
+    return [math.log10(probability(g, 0)) for g in grams(tested)]
+
+
+@pytest.mark.parametrize("size", [40, 1 << 23])
+def test_every_byte_counts(spark, monkeypatch, size):
+    # Capitals, digits and bytes beyond ASCII are symbols of their own, among the earlier ones too, whatever the shards.
+    texts = ["Ein Haus in Köln, 1234 mal 77.", "THE END of 1234 days\n\tand 42 nights", "naïve déjà vu: 12:30", "Ein HAUS."]
+    monkeypatch.setattr(perplexity, "SHARD_GRAMS", size)
+    model = perplexity.train(docs_of(spark, texts).select("text"))
+    assert (len(model.shards) > 1) == (size == 40)
+    tested = ["Ein Haus 1234", "EIN hAUS 4321", "Köln déjà", "K÷ln dèjá", "\x01\x02 中文 zzz", "the end of days"]
+    rows = spark.createDataFrame(list(enumerate(tested)), "k int, text string")
+    found = rows.select("k", perplexity.cost_column(spark, model, F.col("text")).alias("c")).orderBy("k").collect()
+    for text, row in zip(tested, found):
+        expected = kneser_ney(texts, text)
+        assert row["c"]["n_bytes"] == len(expected) == len(text.encode())
+        assert abs(row["c"]["cost"] + sum(expected) / len(expected)) < 1e-5
+    costs = [row["c"]["cost"] for row in found]
+    assert costs[0] < costs[1] and costs[2] < costs[3]
