@@ -4,6 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tallyward.plans import catalog
 from tallyward.sources import landing, lineitem_dump, shared
 from tallyward.sources.contract import HEADERS, RAW_COLUMNS
 
@@ -308,3 +309,32 @@ def test_landing_keeps_files_open_instead_of_sorting(spark, tmp_path):
     assert seen == [str(shared.OPEN_FILES)] and spark.conf.get(name) == before
     stored = landing.read_landed(spark, table)
     assert {(r.source_file, r.ingestion_id) for r in stored.collect()} == {(f"d{k % many}", k) for k in range(200)}
+
+
+def test_lines_are_parsed_once(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    write(folder, "b.csv", ["UUID,REFID,Bookmaker", "u1,r1,  BM one  ", ",,", "u2,,", ",,x"])
+    got = landing.landing_scan(spark, folder, with_raw_payload=False)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("from_csv") + plan.lower().count("csvtostructs") == 1
+    rows = got.orderBy("source_row_number").collect()
+    assert [(r.source_row_number, r.source_uuid, r.refid, r.bookmaker) for r in rows] == [(2, "u1", "r1", "BM one"), (4, "u2", None, None), (5, None, None, "x")]
+
+
+def test_multi_line_dumps_go_once_they_are_landed(spark, tmp_path, monkeypatch):
+    items = [
+        (k, k, k, k % 7 + 1, 1.0 + k % 30, 1000.0 + k, 0.01 * (k % 11), 0.01 * (k % 9), "ANR"[k % 3] if k % 10 else None, "OF"[k % 2], "1996-03-13")
+        for k in range(60)
+    ]
+    names = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate string"
+    spark.createDataFrame(items, names).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    root = spark.conf.get("spark.checkpoint.dir")
+    texts = lambda: {f"{at}/{n}" for at, _, found in os.walk(root) for n in found if n.endswith(".csv")}
+    before, seen = texts(), []
+    for rows in (1, 1 << 24):
+        monkeypatch.setattr(catalog, "ROUND_ROWS", rows)
+        seen.append(sorted(map(str, catalog.landing_multi_line(spark, str(tmp_path)).collect())))
+        assert texts() == before
+    assert seen[0] == seen[1] and len(seen[0]) == 60
+    assert [len(r) for r in lineitem_dump.rounds_of_dumps(spark, str(tmp_path), 1)] == [1, 1, 1, 1]
+    assert [len(r) for r in lineitem_dump.rounds_of_dumps(spark, str(tmp_path), 30)] == [2, 1, 1]

@@ -118,3 +118,11 @@ def test_cells_to_text(spark):
         "2026-03-01T12:30:29", "2026-03-01T12:30:29.500000", "2026-03-01", "true", "$1,000.00", "7",
         "12345678.5", "1.0", None, "20000000.0",
     ]
+
+
+def test_cells_lose_all_white_space_of_unicode(spark):
+    points = [chr(c) for c in range(1, 0x3100) if not 0xD800 <= c < 0xE000] + ["﻿", "🙂"]
+    cells = spark.createDataFrame([(f"{c}{c}a{c}b{c}",) for c in points] + [(None,), ("",), (" \t　",)], "cell string")
+    found = cells.select("cell", P.cell_to_text(F.col("cell")).alias("got"), F.regexp_replace("cell", r"(?U)^\s+|\s+\z", "").alias("stripped"))
+    assert found.where(~F.col("got").eqNullSafe(F.col("stripped"))).collect() == []
+    assert "regexp_replace" not in cells.select(P.cell_to_text(F.col("cell")))._jdf.queryExecution().optimizedPlan().toString()
