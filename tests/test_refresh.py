@@ -1,12 +1,14 @@
 """Reports kept up to date dump by dump equal the reports of a whole run."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
-from tallyward.operators import bets, staging
-from tallyward.plans import refresh
+from tallyward.operators import bets, reconcile, staging
+from tallyward.plans import pipeline, refresh
 from tallyward.plans.pipeline import build_reports
-from tallyward.sources import exports, landing
+from tallyward.sources import exports, landing, shared
 from tests.demo import demo_raw
 
 
@@ -104,3 +106,42 @@ def test_reload_of_files(spark, tmp_path):
     assert set(rows) == set(exports.EXPORTS)
     assert rows["daily_reconciliation_summary"] == 1
     assert landing.read_landed(spark, table).count() == 592
+
+
+def files_under(spark, kind):
+    found = os.walk(spark.conf.get("spark.checkpoint.dir"))
+    return {f"{at}/{n}" for at, _, names in found for n in names if f"/{kind}" in at and n.endswith(".parquet")}
+
+
+def test_bets_go_once_a_refresh_has_what_they_add(spark, tmp_path):
+    table, partials = str(tmp_path / "raw"), str(tmp_path / "partials")
+    landing.land(dump(spark, "a").unionByName(dump(spark, "b", 1000)), table)
+    before = files_under(spark, "bets")
+    refresh.refresh_reports(spark, table, partials)
+    same(refresh.refresh_reports(spark, table, partials, names_of(spark, "a")), whole(spark, table))
+    assert files_under(spark, "bets") == before
+
+
+def test_report_bets_are_the_keyed_bets_without_digests_on_disk(spark):
+    staged = staging.stage_bets(dump(spark, "a"))
+    before = files_under(spark, "bets")
+    found = pipeline.report_bets(staged)
+    expected = bets.key_bets(staged).select(*pipeline.REPORT_INPUT)
+    assert found.dtypes == expected.dtypes and sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    written = spark.read.parquet(*(files_under(spark, "bets") - before))
+    assert not set(pipeline.REPORT_KEYS) & set(written.columns) and written.count() == staged.count()
+    # Nor in the shuffle of what is counted by business key.
+    plan = reconcile.source_day_measures(found)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and not any("bet_business_key" in line for line in exchanges)
+
+
+def test_shuffles_of_a_lean_cut_go_with_it(spark):
+    root = spark.conf.get("spark.local.dir", None) or spark.sparkContext._jvm.org.apache.spark.util.Utils.getLocalDir(spark.sparkContext._jsc.sc().conf())
+    shuffled = lambda: {n for _, _, names in os.walk(root) for n in names if n.startswith("shuffle_")}
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    spark.sparkContext._jvm.System.gc()
+    before = shuffled()
+    assert shared.cut_lean(rows, "counts").count() == 7
+    # The count of the table itself leaves one shuffle.
+    assert len({n.split("_")[1] for n in shuffled() - before}) <= 1
