@@ -4,8 +4,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tallyward.operators import ranking
+from tallyward.operators import bets, ranking, staging
 from tallyward.operators.ranking import may_repeat, number_repeated_keys, number_within_key
+from tallyward.plans import catalog
+from tests.demo import demo_raw
 
 
 def rows_with_hot_keys(seed):
@@ -96,3 +98,14 @@ def test_long_dumps_are_no_join_keys(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     semi = [line for line in plan.splitlines() if "LeftSemi" in line]
     assert semi and all("BroadcastHashJoin" in line for line in semi)
+
+
+def test_facts_shuffle_only_rows_whose_key_may_repeat(spark):
+    raw = demo_raw(spark)
+    plan = catalog.queries()["fct_bets"]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(catalog, "lineitem_raw", lambda *a, **k: raw)
+        found = plan(spark, "")
+        expected = catalog.plain(bets.fct_bets(bets.key_bets(staging.stage_bets(raw))).drop("raw_payload"))
+    assert "bitmap_construct_agg" in found._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(str, found.drop("ingested_at").collect())) == sorted(map(str, expected.drop("ingested_at").collect()))
